@@ -8,20 +8,37 @@ passes usually need a few of the columns: Parquet prunes them and answers
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillgrain.session import shared_folder
+from tillgrain.sources.paths import delete
 
-
-def scratch_root(spark: SparkSession) -> str:
-    """Where this application keeps its intermediate tables."""
-    return f"{shared_folder(spark)}/tillgrain/{spark.sparkContext.applicationId}"
+_written: ContextVar[list[str] | None] = ContextVar("_written", default=None)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as read back."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/tillgrain/{application}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def dropping_intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside the block when it ends."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            delete(spark, path)
