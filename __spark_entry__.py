@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import lru_cache
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from tillgrain.operators.materialize import materialize  # noqa: E402
 from tillgrain.plans import cleaning, customers, dashboard, metrics, orders  # noqa: E402
-from tillgrain.plans import performance, reports, scoring, snapshots  # noqa: E402
+from tillgrain.plans import clusters, performance, reports, scoring, snapshots  # noqa: E402
+from tillgrain.plans import training  # noqa: E402
+from tillgrain.operators.ordered import exact_medians  # noqa: E402
 from tillgrain.sources import star_schema  # noqa: E402
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -89,6 +92,74 @@ def _regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _metrics_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics report over metrics of the stand-in scores."""
+    holdout = materialize(_holdout(spark, folder), "holdout")
+    found = {
+        "churn_classification": metrics.classifier_metrics(holdout, "p", "churn"),
+        "customer_value_regression": metrics.regression_metrics(holdout, "actual", "guess"),
+    }
+    long = [
+        values.unpivot([], values.columns, "metric", "value").select(
+            F.lit(kind).alias("model_type"),
+            F.lit("stand-in").alias("model_name"),
+            F.lit("test").alias("evaluation_split"),
+            F.lit(star_schema.SNAPSHOTS[-1]).alias("evaluation_snapshot"),
+            "metric",
+            "value",
+            F.lit(True).alias("selected_model"),
+        )
+        for kind, values in found.items()
+    ]
+    return reports.metrics_report(long[0].unionByName(long[1]))
+
+
+def _feature_medians(spark: SparkSession, folder: str) -> DataFrame:
+    names = ["avg_days_between_orders", "average_order_value", "recency_days"]
+    found = exact_medians(_training(spark, folder), names)
+    return spark.range(1).select(*[F.lit(found[n]).alias(n) for n in names])
+
+
+def _cluster_profile_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of clusters that SQL can assign as well."""
+    features = _customer_features(spark, folder)
+    assigned = features.withColumn("rfm_cluster", (F.col("customer_id").cast("long") % 2).cast("int"))
+    found = clusters.cluster_profiles(assigned)
+    return found.select(
+        "rfm_cluster",
+        "customers",
+        *[F.round(c, 3).alias(c) for c in found.columns if c not in ("rfm_cluster", "customers")],
+    )
+
+
+# Fits are kept per session and folder, so queries on the same models share them.
+@lru_cache(maxsize=4)
+def _shared(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    lines = _stored_lines(spark, folder)
+    return lines, materialize(orders.sequenced(orders.invoices(lines)), "sequence")
+
+
+@lru_cache(maxsize=4)
+def _clustering(spark: SparkSession, folder: str) -> clusters.Clustering:
+    features = customers.customer_features(*_shared(spark, folder))
+    return clusters.fit_rfm_clusters(materialize(features, "features"))
+
+
+@lru_cache(maxsize=4)
+def _models(spark: SparkSession, folder: str) -> training.TrainedModels:
+    lines, sequence = _shared(spark, folder)
+    return training.train_models(
+        snapshots.snapshot_dataset(lines, star_schema.SNAPSHOTS, sequenced_invoices=sequence)
+    )
+
+
+def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    lines, sequence = _shared(spark, folder)
+    current = snapshots.current_features(lines, sequenced_invoices=sequence)
+    assigned = _clustering(spark, folder).assigned
+    return training.score_customers(current, _models(spark, folder), assigned)
+
+
 def _churn_distribution(spark: SparkSession, folder: str) -> DataFrame:
     features, scores = _features_and_scores(_stored_lines(spark, folder))
     return reports.churn_distribution(scores, features)
@@ -140,6 +211,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retention_targets": lambda s, d: reports.retention_targets(
             *_features_and_scores(_stored_lines(s, d))
         ),
+        "metrics_report": _metrics_report,
+        "feature_medians": _feature_medians,
+        "cluster_profile_rules": _cluster_profile_rules,
+        "rfm_clusters": lambda s, d: _clustering(s, d).assigned.select(
+            "customer_id", "rfm_cluster"
+        ),
+        "cluster_profiles": lambda s, d: _clustering(s, d).profiles,
+        "model_metrics": lambda s, d: reports.metrics_report(_models(s, d).metrics),
+        "customer_analytics": _model_scores,
         "order_gaps": lambda s, d: reports.order_gaps(orders.order_history(_lines(s, d))),
         "pareto": lambda s, d: reports.pareto(_customer_features(s, d)),
     }

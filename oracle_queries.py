@@ -460,6 +460,45 @@ SELECT customer_id, primary_country, rfm_segment, recency_days, features.frequen
        churn_probability, predicted_90d_value
 FROM analytics JOIN features USING (customer_id)
 WHERE churn_risk_band = 'High' ORDER BY monetary DESC, customer_id LIMIT 50""",
+        ),
+        "metrics_report": _with(
+            LINES
+            + HOLDOUT
+            + """,
+named AS (
+  SELECT 'churn_classification' AS model_type,
+         unnest(['roc_auc', 'pr_auc', 'f1', 'precision', 'recall']) AS metric,
+         unnest([ranked / (pp * nn), gained / pp, 2 * hits / (hits + alarms + pp),
+                 hits / (hits + alarms), hits / pp]) AS value
+  FROM sums
+  UNION ALL
+  SELECT 'customer_value_regression', unnest(['mae', 'rmse', 'r2']),
+         unnest([avg(abs(actual - guess)), sqrt(avg((actual - guess) * (actual - guess))),
+                 1 - sum((actual - guess) * (actual - guess)) / (var_pop(actual) * count(*))])
+  FROM holdout)""",
+            """
+SELECT model_type, 'stand-in' AS model_name, 'test' AS evaluation_split,
+       DATE '2001-03-01' AS evaluation_snapshot, metric, CAST(value AS DECIMAL(20,4)) AS value,
+       TRUE AS selected_model
+FROM named""",
+        ),
+        "feature_medians": _with(
+            LINES + SNAPSHOTS,
+            """
+SELECT median(avg_days_between_orders) AS avg_days_between_orders,
+       median(average_order_value) AS average_order_value,
+       CAST(median(recency_days) AS DOUBLE) AS recency_days
+FROM training""",
+        ),
+        "cluster_profile_rules": _with(
+            LINES + FEATURES,
+            """
+SELECT CAST(CAST(customer_id AS BIGINT) % 2 AS INTEGER) AS rfm_cluster,
+       count(DISTINCT customer_id) AS customers,
+       round(avg(recency_days), 3) AS avg_recency, round(avg(frequency), 3) AS avg_frequency,
+       round(avg(monetary), 3) AS avg_monetary,
+       round(CAST(sum(monetary) AS DOUBLE), 3) AS total_revenue
+FROM features GROUP BY 1""",
         ),
         "order_gaps": _with(
             LINES + ORDERS + HISTORY,

@@ -131,7 +131,7 @@ def tile_scores(
             )
             score = score + at_or_after.cast("int")
         scores[name] = score
-    return scores
+    return {name: scores[name] for name in measures}
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
