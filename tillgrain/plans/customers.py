@@ -9,7 +9,7 @@ from tillgrain.functions.exact import ratio
 from tillgrain.functions.labels import churn_status, rfm_segment
 from tillgrain.operators.materialize import materialize
 from tillgrain.operators.ordered import tile_scores
-from tillgrain.plans.orders import invoices
+from tillgrain.plans.orders import invoice_totals
 
 SCORES = ("recency_score", "frequency_score", "monetary_score")
 
@@ -73,5 +73,5 @@ def scored(measures: DataFrame) -> DataFrame:
 
 def customer_features(transactions: DataFrame, invoice_rows: DataFrame | None = None) -> DataFrame:
     if invoice_rows is None:
-        invoice_rows = invoices(transactions)
+        invoice_rows = invoice_totals(transactions)
     return scored(lifetime_measures(transactions, invoice_rows))

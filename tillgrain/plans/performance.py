@@ -42,14 +42,24 @@ def country_performance(transactions: DataFrame) -> DataFrame:
 
 
 def product_performance(transactions: DataFrame) -> DataFrame:
-    return (
-        transactions.filter(is_merchandise(F.col("stock_code")))
+    """Merchandise only. The greatest description and the sums come from a branch of
+    their own, reduced to one row per description first: a text maximum next to the
+    distinct counts would make Spark sort all lines instead of hashing them."""
+    merchandise = transactions.filter(is_merchandise(F.col("stock_code")))
+    totals = (
+        merchandise.groupBy("stock_code", "description")
+        .agg(F.sum("quantity").alias("units"), F.sum("revenue").alias("revenue"))
         .groupBy("stock_code")
         .agg(
             product_name(F.max("description")).alias("description"),
-            F.sum("quantity").alias("units_sold"),
-            F.count_distinct("invoice_no").alias("orders"),
-            F.count_distinct("customer_id").alias("customers"),
+            F.sum("units").alias("units_sold"),
             F.sum("revenue").cast("decimal(16,2)").alias("revenue"),
         )
     )
+    reach = merchandise.groupBy("stock_code").agg(
+        F.count_distinct("invoice_no").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
+    )
+    return totals.join(reach, "stock_code").select(
+        "stock_code", "description", "units_sold", "orders", "customers", "revenue"
+    )

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.plans.orders import invoices, sequenced
+from tillgrain.plans.orders import invoice_totals, sequenced
 from tillgrain.schemas import OBSERVATION_DAYS, PREDICTION_DAYS, SNAPSHOT_DATES
 
 
@@ -21,13 +21,26 @@ def _midnight(date: Column) -> Column:
     return date.cast("timestamp_ntz")
 
 
-def _serving(snapshots: Sequence[dt.date], moment: Column, before: int, after: int) -> Column:
-    """Snapshots with ``moment`` in ``[snapshot - before, snapshot + after)`` days."""
-    dates = F.array(*[F.lit(s) for s in snapshots])
-    day = F.to_date(moment)
-    # Day bounds are midnights, so comparing dates equals comparing timestamps.
-    return F.filter(
-        dates, lambda s: (day >= F.date_sub(s, before)) & (day < F.date_add(s, after))
+def _tagged(
+    df: DataFrame, snapshots: Sequence[dt.date], moment: str, before: int, after: int
+) -> DataFrame:
+    """Rows once per snapshot with ``moment`` in ``[snapshot - before, snapshot + after)`` days.
+
+    The overall range is a filter that reaches the scan. The tags are plain comparisons
+    in an exploded array, which stays in generated code; a lambda over the dates or a
+    join on ranges would not.
+    """
+
+    def day(date: dt.date, shift: int) -> Column:
+        return _midnight(F.lit(date + dt.timedelta(days=shift)))
+
+    at = F.col(moment)
+    in_reach = (at >= day(min(snapshots), -before)) & (at < day(max(snapshots), after))
+    tags = [F.when((at >= day(s, -before)) & (at < day(s, after)), F.lit(s)) for s in snapshots]
+    return (
+        df.filter(in_reach)
+        .withColumn("snapshot_date", F.explode(F.array(*tags)))
+        .filter(F.col("snapshot_date").isNotNull())
     )
 
 
@@ -76,16 +89,11 @@ def snapshot_dataset(
     check_spacing(snapshots, prediction_days)
     orders = sequenced_invoices
     if orders is None:
-        orders = sequenced(invoices(transactions))
+        orders = sequenced(invoice_totals(transactions))
     keys = ["snapshot_date", "customer_id"]
     snapshot = F.col("snapshot_date")
 
-    tagged = orders.withColumn(
-        "snapshot_date",
-        F.explode(
-            _serving(snapshots, F.col("order_timestamp"), observation_days, prediction_days)
-        ),
-    )
+    tagged = _tagged(orders, snapshots, "order_timestamp", observation_days, prediction_days)
     inside = F.col("order_timestamp") < _midnight(snapshot)
     outcome = F.coalesce(F.sum(F.when(~inside, F.col("exact_revenue"))), F.lit(0))
     measured = (
@@ -104,10 +112,7 @@ def snapshot_dataset(
         .filter(F.col("frequency") > 0)
     )
     variety = (
-        transactions.withColumn(
-            "snapshot_date",
-            F.explode(_serving(snapshots, F.col("invoice_date"), observation_days, 0)),
-        )
+        _tagged(transactions, snapshots, "invoice_date", observation_days, 0)
         .groupBy(*keys)
         .agg(F.count_distinct("stock_code").alias("unique_products"))
     )
@@ -148,14 +153,16 @@ def current_features(
     """
     orders = sequenced_invoices
     if orders is None:
-        orders = sequenced(invoices(transactions))
-    last_day = transactions.agg(F.max("invoice_date").cast("date").alias("day")).scalar()
-    today = F.date_add(last_day, 1)
-    start = F.date_sub(today, observation_days)
-    dated = orders.withColumn("_start", start)
-    inside = F.col("order_timestamp") >= _midnight(F.col("_start"))
-    measured = dated.groupBy("customer_id").agg(
-        *[c.alias(name) for name, c in _history_measures(inside, F.col("_start")).items()],
+        orders = sequenced(invoice_totals(transactions))
+    # One value, read first: as a literal it lets the scan skip lines before the window.
+    last_day = transactions.agg(F.max("invoice_date").cast("date").alias("day")).first()["day"]
+    if last_day is None:
+        raise ValueError("There are no transactions.")
+    today = F.lit(last_day + dt.timedelta(days=1))
+    start = F.lit(last_day + dt.timedelta(days=1 - observation_days))
+    inside = F.col("order_timestamp") >= _midnight(start)
+    measured = orders.groupBy("customer_id").agg(
+        *[c.alias(name) for name, c in _history_measures(inside, start).items()],
         F.to_date(F.min("order_timestamp")).alias("first_day"),
         F.to_date(F.max("order_timestamp")).alias("last_day"),
     )
