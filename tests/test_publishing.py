@@ -141,6 +141,13 @@ def test_full_run_from_raw_csv_to_reports(spark, tmp_path):
     reports = full_run.analyst_reports(spark, out)
     assert len(reports) == 10 and all(not df.isEmpty() for df in reports.values())
 
+    full_run.register_views(spark, out)
+    rows = spark.sql("SELECT count(*) FROM dashboard_dataset").first()[0]
+    assert rows == counts["Transaction"] + counts["Customer"]
+    assert spark.sql(
+        "SELECT customer_id FROM customer_dashboard WHERE churn_probability IS NULL"
+    ).isEmpty()
+
     # A run that fails leaves the published tables alone.
     before = sorted(p.name for p in Path(out).iterdir())
     with pytest.raises(ValueError, match="three snapshot"):

@@ -23,7 +23,13 @@ from tillgrain.schemas import (
 from tillgrain.sources.export import export_dataset
 from tillgrain.sources.paths import delete, exists, replace
 from tillgrain.sources.raw_lines import load_periods
-from tillgrain.sources.tables import model_inputs, write_clean_csv, write_json, write_table
+from tillgrain.sources.tables import (
+    model_inputs,
+    register_view,
+    write_clean_csv,
+    write_json,
+    write_table,
+)
 
 TABLES = (
     "transactions",
@@ -169,9 +175,27 @@ def _build(
     return dashboard.dashboard_dataset(transactions, features, analytics)
 
 
+def published_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{out.rstrip('/')}/{name}") for name in TABLES}
+
+
+def register_views(spark: SparkSession, out: str) -> None:
+    """Make the published tables and the three reporting views available to ``spark.sql``."""
+    t = published_tables(spark, out)
+    features, scores = t["customer_features"], t["customer_analytics"]
+    views = {
+        **t,
+        "executive_dashboard": dashboard.executive_dashboard(t["transactions"]),
+        "customer_dashboard": dashboard.customer_dashboard(features, scores),
+        "dashboard_dataset": dashboard.dashboard_dataset(t["transactions"], features, scores),
+    }
+    for name, df in views.items():
+        register_view(df, name)
+
+
 def analyst_reports(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The ten analyst reports over the published tables."""
-    t = {name: spark.read.parquet(f"{out.rstrip('/')}/{name}") for name in TABLES}
+    t = published_tables(spark, out)
     return {
         "data_validation": reports.data_validation(t["transactions"]),
         "mom_growth": reports.month_growth(t["transactions"]),
