@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -67,9 +69,8 @@ def temporal_split(snapshots: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     )
 
 
-def _inputs(rows: DataFrame) -> list:
-    """Stages that turn feature columns into one vector, with medians fitted on ``rows``."""
-    medians = exact_medians(rows, IMPUTED)
+def _inputs(medians: Mapping[str, float]) -> list:
+    """Stages that turn feature columns into one vector, missing values set to medians."""
 
     def expression(name: str) -> str:
         number = f"CAST({name} AS DOUBLE)"
@@ -94,7 +95,9 @@ def _balanced(rows: DataFrame) -> tuple[DataFrame, int]:
     return rows.withColumn("class_weight", weight), n
 
 
-def fit_classifier(name: str, rows: DataFrame, settings: ModelSettings) -> PipelineModel:
+def fit_classifier(
+    name: str, rows: DataFrame, medians: Mapping[str, float], settings: ModelSettings
+) -> PipelineModel:
     weighted, n = _balanced(rows)
     if name == LOGISTIC_NAME:
         # Weights sum to n, so a penalty of 1/n equals an inverse strength of 1.
@@ -122,7 +125,7 @@ def fit_classifier(name: str, rows: DataFrame, settings: ModelSettings) -> Pipel
                 seed=settings.seed,
             )
         ]
-    return Pipeline(stages=[*_inputs(rows), *stages]).fit(weighted)
+    return Pipeline(stages=[*_inputs(medians), *stages]).fit(weighted)
 
 
 def churn_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -132,11 +135,13 @@ def churn_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
-def fit_value_model(rows: DataFrame, settings: ModelSettings) -> PipelineModel:
+def fit_value_model(
+    rows: DataFrame, medians: Mapping[str, float], settings: ModelSettings
+) -> PipelineModel:
     """Boosted trees on the log of future revenue; the last stage turns logs back."""
     target = F.log1p(F.greatest(F.col("future_revenue").cast("double"), F.lit(0.0)))
     stages = [
-        *_inputs(rows),
+        *_inputs(medians),
         GBTRegressor(
             featuresCol="inputs",
             labelCol="log_revenue",
@@ -160,7 +165,11 @@ def value_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def train_models(snapshots: DataFrame, settings: ModelSettings = ModelSettings()) -> TrainedModels:
     """Select the classifier on the validation date, refit on all dates before the test
-    date, and evaluate once on the test date."""
+    date, and evaluate once on the test date.
+
+    The fits that do not wait for the selection run side by side: each is a long row of
+    short jobs, so one alone leaves executors idle.
+    """
     stored = materialize(snapshots, "training")
     train, validation, test, validation_date, test_date = temporal_split(stored)
     if train.isEmpty():
@@ -170,13 +179,16 @@ def train_models(snapshots: DataFrame, settings: ModelSettings = ModelSettings()
     def evaluated(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
         return classifier_metrics(churn_scores(model, rows), "churn_score", "churn").first().asDict()
 
-    on_validation = {
-        name: evaluated(fit_classifier(name, train, settings), validation)
-        for name in (LOGISTIC_NAME, FOREST_NAME)
-    }
-    best = max(on_validation, key=lambda name: on_validation[name]["roc_auc"])
-    classifier = fit_classifier(best, development, settings)
-    value_model = fit_value_model(development, settings)
+    train_medians = exact_medians(train, IMPUTED)
+    medians = exact_medians(development, IMPUTED)
+    names = (LOGISTIC_NAME, FOREST_NAME)
+    with ThreadPoolExecutor(len(names) + 1) as pool:
+        value_fit = pool.submit(fit_value_model, development, medians, settings)
+        fits = {n: pool.submit(fit_classifier, n, train, train_medians, settings) for n in names}
+        on_validation = {name: evaluated(fits[name].result(), validation) for name in names}
+        best = max(on_validation, key=lambda name: on_validation[name]["roc_auc"])
+        classifier = fit_classifier(best, development, medians, settings)
+        value_model = value_fit.result()
     value_found = regression_metrics(
         value_scores(value_model, test), "future_revenue", "value_score"
     ).first().asDict()
