@@ -71,7 +71,7 @@ seq AS (
 HISTORY = """,
 history AS (
   SELECT customer_id, invoice_no, placed AS order_timestamp, CAST(placed AS DATE) AS order_date,
-         CAST(exact_revenue AS DECIMAL(14,2)) AS order_revenue,
+         CAST(exact_revenue AS DECIMAL(22,2)) AS order_revenue,
          CAST(items AS BIGINT) AS items_purchased, products AS unique_products, country,
          CAST(placed_before AS DATE) AS previous_order_date,
          CAST(date_diff('day', CAST(placed_before AS DATE), CAST(placed AS DATE)) AS INTEGER)
@@ -93,8 +93,8 @@ range_of AS (
 person AS (
   SELECT customer_id, min(order_date) AS first_purchase_date, max(order_date) AS last_purchase_date,
          count(DISTINCT invoice_no) AS frequency,
-         CAST(sum(order_revenue) AS DECIMAL(14,2)) AS monetary,
-         CAST({_mean_money("sum(order_revenue)", "count(*)", 2)} AS DECIMAL(14,2)) AS average_order_value,
+         CAST(sum(order_revenue) AS DECIMAL(22,2)) AS monetary,
+         CAST({_mean_money("sum(order_revenue)", "count(*)", 2)} AS DECIMAL(22,2)) AS average_order_value,
          CAST(sum(items_purchased) AS BIGINT) AS total_items,
          CAST({_quotient("coalesce(CAST(sum(days_since_previous_order) AS HUGEINT), 0)", "count(days_since_previous_order)", 2)}
               AS DECIMAL(10,2)) AS avg_days_between_orders
@@ -257,22 +257,22 @@ MONTHLY = f""",
 monthly AS (
   SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month,
          count(DISTINCT invoice_no) AS total_orders, count(DISTINCT customer_id) AS active_customers,
-         CAST(sum(quantity) AS BIGINT) AS items_sold, CAST(sum(revenue) AS DECIMAL(16,2)) AS revenue,
-         CAST({_mean_money("sum(revenue)", "count(DISTINCT invoice_no)", 3)} AS DECIMAL(14,2)) AS average_order_value
+         CAST(sum(quantity) AS BIGINT) AS items_sold, CAST(sum(revenue) AS DECIMAL(22,2)) AS revenue,
+         CAST({_mean_money("sum(revenue)", "count(DISTINCT invoice_no)", 3)} AS DECIMAL(22,2)) AS average_order_value
   FROM lines GROUP BY 1)"""
 
 COUNTRIES = f""",
 countries AS (
   SELECT country, count(DISTINCT customer_id) AS customers, count(DISTINCT invoice_no) AS orders,
-         CAST(sum(revenue) AS DECIMAL(16,2)) AS revenue,
-         CAST({_mean_money("sum(revenue)", "count(DISTINCT invoice_no)", 3)} AS DECIMAL(14,2)) AS average_order_value
+         CAST(sum(revenue) AS DECIMAL(22,2)) AS revenue,
+         CAST({_mean_money("sum(revenue)", "count(DISTINCT invoice_no)", 3)} AS DECIMAL(22,2)) AS average_order_value
   FROM lines GROUP BY country)"""
 
 PRODUCTS = """,
 products AS (
   SELECT stock_code, coalesce(max(description), 'Unknown Product') AS description,
          CAST(sum(quantity) AS BIGINT) AS units_sold, count(DISTINCT invoice_no) AS orders,
-         count(DISTINCT customer_id) AS customers, CAST(sum(revenue) AS DECIMAL(16,2)) AS revenue
+         count(DISTINCT customer_id) AS customers, CAST(sum(revenue) AS DECIMAL(22,2)) AS revenue
   FROM lines WHERE regexp_full_match(stock_code, '[0-9]{5}[A-Z]?') GROUP BY stock_code)"""
 
 EXECUTIVE = """
@@ -436,10 +436,10 @@ FROM paired ORDER BY month""",
             LINES + FEATURES,
             f"""
 SELECT rfm_segment, count(*) AS customers,
-       CAST(sum(monetary) AS DECIMAL(24,2)) AS historical_revenue,
+       CAST(sum(monetary) AS DECIMAL(32,2)) AS historical_revenue,
        CAST({_quotient("CAST(sum(recency_days) AS HUGEINT)", "count(*)", 1)} AS DECIMAL(12,1)) AS average_recency,
        CAST({_quotient("CAST(sum(frequency) AS HUGEINT)", "count(*)", 1)} AS DECIMAL(12,1)) AS average_frequency,
-       CAST({_mean_money("sum(monetary)", "count(*)", 2)} AS DECIMAL(14,2)) AS average_monetary
+       CAST({_mean_money("sum(monetary)", "count(*)", 2)} AS DECIMAL(22,2)) AS average_monetary
 FROM features GROUP BY rfm_segment ORDER BY historical_revenue DESC, rfm_segment""",
         ),
         "churn_distribution": _with(
@@ -447,7 +447,7 @@ FROM features GROUP BY rfm_segment ORDER BY historical_revenue DESC, rfm_segment
             f"""
 SELECT churn_risk_band, count(*) AS customers,
        CAST({_mean_money("sum(churn_probability)", "count(*)", 4, 4)} AS DECIMAL(6,4)) AS average_probability,
-       CAST(sum(monetary) AS DECIMAL(24,2)) AS historical_revenue,
+       CAST(sum(monetary) AS DECIMAL(32,2)) AS historical_revenue,
        CAST(sum(predicted_90d_value) AS DECIMAL(26,2)) AS predicted_90d_value
 FROM analytics JOIN features USING (customer_id)
 GROUP BY churn_risk_band

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.functions.exact import ratio
+from tillgrain.functions.exact import MONEY, mean
 from tillgrain.functions.labels import churn_status, rfm_segment
 from tillgrain.operators.materialize import materialize
 from tillgrain.operators.ordered import tile_scores
@@ -21,17 +21,17 @@ def lifetime_measures(transactions: DataFrame, invoice_rows: DataFrame) -> DataF
     mean needs no window. The analysis date is a scalar subquery, not a join.
     """
     order_date = F.to_date("order_timestamp")
-    order_revenue = F.col("exact_revenue").cast("decimal(14,2)")
+    order_revenue = F.col("exact_revenue").cast(MONEY)
     first, last = F.min(order_date), F.max(order_date)
     orders = F.count(F.lit(1))
     per_customer = invoice_rows.groupBy("customer_id").agg(
         first.alias("first_purchase_date"),
         last.alias("last_purchase_date"),
         orders.alias("frequency"),
-        F.sum(order_revenue).cast("decimal(14,2)").alias("monetary"),
-        ratio(F.sum(order_revenue), orders, "decimal(14,2)").alias("average_order_value"),
+        F.sum(order_revenue).cast(MONEY).alias("monetary"),
+        mean(F.sum(order_revenue), orders, 2, MONEY).alias("average_order_value"),
         F.sum("items_purchased").alias("total_items"),
-        ratio(F.datediff(last, first).cast("decimal(10,0)"), orders - 1, "decimal(10,2)").alias(
+        mean(F.datediff(last, first), orders - 1, 2, "decimal(10,2)").alias(
             "avg_days_between_orders"
         ),
         F.mode("country", deterministic=True).alias("primary_country"),
@@ -51,7 +51,7 @@ def lifetime_measures(transactions: DataFrame, invoice_rows: DataFrame) -> DataF
 def scored(measures: DataFrame) -> DataFrame:
     """Add quartile scores and labels; ties are broken by customer id."""
     stored = materialize(measures, "measures")
-    shared_type = "decimal(20,2)"
+    shared_type = MONEY
     tiles = tile_scores(
         stored,
         {

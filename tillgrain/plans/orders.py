@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillgrain.functions.exact import MONEY
 from tillgrain.operators.materialize import materialize
 from tillgrain.operators.neighbours import SPLIT_ABOVE_ROWS, with_previous
 
@@ -70,7 +71,7 @@ def history_rows(sequenced_invoices: DataFrame) -> DataFrame:
         "invoice_no",
         "order_timestamp",
         order_date.alias("order_date"),
-        F.col("exact_revenue").cast("decimal(14,2)").alias("order_revenue"),
+        F.col("exact_revenue").cast(MONEY).alias("order_revenue"),
         "items_purchased",
         "unique_products",
         "country",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.functions.exact import ratio
+from tillgrain.functions.exact import MONEY, mean
 from tillgrain.functions.text import is_merchandise, product_name
 
 
@@ -19,7 +19,7 @@ def month_of(moment: Column) -> Column:
 
 
 def _order_value() -> Column:
-    return ratio(F.sum("revenue"), F.count_distinct("invoice_no"), "decimal(14,2)")
+    return mean(F.sum("revenue"), F.count_distinct("invoice_no"), 2, MONEY)
 
 
 def monthly_sales(transactions: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def monthly_sales(transactions: DataFrame) -> DataFrame:
         F.count_distinct("invoice_no").alias("total_orders"),
         F.count_distinct("customer_id").alias("active_customers"),
         F.sum("quantity").alias("items_sold"),
-        F.sum("revenue").cast("decimal(16,2)").alias("revenue"),
+        F.sum("revenue").cast(MONEY).alias("revenue"),
         _order_value().alias("average_order_value"),
     )
 
@@ -36,7 +36,7 @@ def country_performance(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("country").agg(
         F.count_distinct("customer_id").alias("customers"),
         F.count_distinct("invoice_no").alias("orders"),
-        F.sum("revenue").cast("decimal(16,2)").alias("revenue"),
+        F.sum("revenue").cast(MONEY).alias("revenue"),
         _order_value().alias("average_order_value"),
     )
 
@@ -53,7 +53,7 @@ def product_performance(transactions: DataFrame) -> DataFrame:
         .agg(
             product_name(F.max("description")).alias("description"),
             F.sum("units").alias("units_sold"),
-            F.sum("revenue").cast("decimal(16,2)").alias("revenue"),
+            F.sum("revenue").cast(MONEY).alias("revenue"),
         )
     )
     reach = merchandise.groupBy("stock_code").agg(

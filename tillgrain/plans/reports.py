@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrain.functions.exact import percent, ratio
+from tillgrain.functions.exact import MONEY, mean, percent
 from tillgrain.operators.ordered import POSITION, SLICE, slice_offsets, spread_in_order
 from tillgrain.plans.performance import month_of
 
@@ -51,17 +51,14 @@ def top_products(product_performance: DataFrame, limit: int = 20) -> DataFrame:
 def segment_contribution(customer_features: DataFrame) -> DataFrame:
     customers = F.count(F.lit(1))
 
-    def mean(column: str, result_type: str):
-        return ratio(F.sum(F.col(column).cast("decimal(14,2)")), customers, result_type)
-
     return (
         customer_features.groupBy("rfm_segment")
         .agg(
             customers.alias("customers"),
             F.sum("monetary").alias("historical_revenue"),
-            mean("recency_days", "decimal(12,1)").alias("average_recency"),
-            mean("frequency", "decimal(12,1)").alias("average_frequency"),
-            mean("monetary", "decimal(14,2)").alias("average_monetary"),
+            mean(F.sum("recency_days"), customers, 1, "decimal(12,1)").alias("average_recency"),
+            mean(F.sum("frequency"), customers, 1, "decimal(12,1)").alias("average_frequency"),
+            mean(F.sum("monetary"), customers, 2, MONEY).alias("average_monetary"),
         )
         .orderBy(F.desc("historical_revenue"), "rfm_segment")
     )
@@ -77,9 +74,9 @@ def churn_distribution(customer_analytics: DataFrame, customer_features: DataFra
         .groupBy("churn_risk_band")
         .agg(
             customers.alias("customers"),
-            ratio(F.sum("churn_probability"), customers, "decimal(6,4)").alias(
-                "average_probability"
-            ),
+            mean(
+                F.sum("churn_probability"), customers, 4, "decimal(6,4)", scale=4
+            ).alias("average_probability"),
             F.sum("monetary").alias("historical_revenue"),
             F.sum("predicted_90d_value").alias("predicted_90d_value"),
         )

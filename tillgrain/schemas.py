@@ -158,8 +158,8 @@ CUSTOMER_ONLY = {
     "last_purchase_date": "date",
     "recency_days": "int",
     "frequency": "bigint",
-    "monetary": "decimal(14,2)",
-    "average_order_value": "decimal(14,2)",
+    "monetary": "decimal(22,2)",
+    "average_order_value": "decimal(22,2)",
     "total_items": "bigint",
     "unique_products": "bigint",
     "active_months": "bigint",
