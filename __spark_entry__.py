@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from functools import lru_cache
+from functools import wraps
 from pathlib import Path
+from typing import Any
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -13,59 +14,142 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
-from tillgrain.operators.materialize import materialize  # noqa: E402
-from tillgrain.plans import cleaning, customers, dashboard, metrics, orders  # noqa: E402
-from tillgrain.plans import clusters, performance, reports, scoring, snapshots  # noqa: E402
-from tillgrain.plans import training  # noqa: E402
+from tillgrain.operators.materialize import materialize, recording_intermediates  # noqa: E402
 from tillgrain.operators.ordered import exact_medians  # noqa: E402
-from tillgrain.sources import star_schema  # noqa: E402
+from tillgrain.plans import cleaning, clusters, customers, dashboard, metrics  # noqa: E402
+from tillgrain.plans import orders, performance, reports, scoring, snapshots  # noqa: E402
+from tillgrain.plans import training  # noqa: E402
+from tillgrain.sources import paths, star_schema  # noqa: E402
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+# --- Tables and fits that several queries share -----------------------------------------
+# Like tables loaded before they are queried, they are built on first use. A change of the
+# input files, another session or a lost intermediate builds them anew.
+
+
+def _kept(build: Callable[[SparkSession, str], Any]) -> Callable[[SparkSession, str], Any]:
+    kept: dict[tuple, tuple[Any, list[str]]] = {}
+
+    @wraps(build)
+    def get(spark: SparkSession, folder: str) -> Any:
+        inputs = [star_schema.table_path(folder, name) for name in star_schema.TABLES]
+        key = (
+            spark.sparkContext.applicationId,
+            folder,
+            *[paths.fingerprint(spark, path) for path in inputs],
+        )
+        if key in kept and all(paths.exists(spark, path) for path in kept[key][1]):
+            return kept[key][0]
+        with recording_intermediates() as written:
+            result = build(spark, folder)
+        kept[key] = (result, written)
+        return result
+
+    return get
+
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines for queries that read them once."""
     return star_schema.clean_lines(spark, folder)
 
 
+@_kept
 def _stored_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines written once, for queries that read them several times."""
     return materialize(_lines(spark, folder), "lines")
 
 
+@_kept
 def _transactions(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.number_transactions(_lines(spark, folder))
 
 
+@_kept
+def _sequence(spark: SparkSession, folder: str) -> DataFrame:
+    totals = orders.invoice_totals(_stored_lines(spark, folder))
+    return materialize(orders.sequenced(totals), "sequence")
+
+
+@_kept
+def _customer_features(spark: SparkSession, folder: str) -> DataFrame:
+    return customers.customer_features(_stored_lines(spark, folder), _sequence(spark, folder))
+
+
+@_kept
+def _current(spark: SparkSession, folder: str) -> DataFrame:
+    found = snapshots.current_features(
+        _stored_lines(spark, folder), sequenced_invoices=_sequence(spark, folder)
+    )
+    return materialize(found, "current")
+
+
+@_kept
+def _training(spark: SparkSession, folder: str) -> DataFrame:
+    found = snapshots.snapshot_dataset(
+        _stored_lines(spark, folder),
+        star_schema.SNAPSHOTS,
+        sequenced_invoices=_sequence(spark, folder),
+    )
+    return materialize(found, "snapshots")
+
+
+@_kept
+def _clustering(spark: SparkSession, folder: str) -> clusters.Clustering:
+    return clusters.fit_rfm_clusters(_customer_features(spark, folder))
+
+
+@_kept
+def _models(spark: SparkSession, folder: str) -> training.TrainedModels:
+    return training.train_models(_training(spark, folder))
+
+
+# --- Queries -------------------------------------------------------------------------------
+
+
 def _distinct(spark: SparkSession, folder: str) -> DataFrame:
     raw = star_schema.dirty_lines(spark, folder)
     return cleaning.distinct_lines(cleaning.normalise(raw, star_schema.COUNTRY_SPELLINGS))
 
 
-def _stand_in_scores(current: DataFrame) -> DataFrame:
+def _order_history(spark: SparkSession, folder: str) -> DataFrame:
+    return orders.order_history(_stored_lines(spark, folder))
+
+
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    return performance.product_performance(_stored_lines(spark, folder))
+
+
+def _stand_in_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Scores that SQL can compute as well, in place of model output."""
     return scoring.customer_analytics(
-        current.withColumn("rfm_cluster", F.col("customer_id").cast("long") % 2),
+        _current(spark, folder).withColumn("rfm_cluster", F.col("customer_id").cast("long") % 2),
         (F.col("recency_days") * 37 % 1000) / F.lit(1000.0),
         F.col("frequency") * F.lit(12.25),
     )
 
 
-def _features_and_scores(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    sequence = orders.sequenced(orders.invoice_totals(lines))
-    features = customers.customer_features(lines, sequence)
-    current = snapshots.current_features(lines, sequenced_invoices=sequence)
-    return features, _stand_in_scores(current)
+def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return training.score_customers(
+        _current(spark, folder), _models(spark, folder), _clustering(spark, folder).assigned
+    )
 
 
-def _training(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshots.snapshot_dataset(_stored_lines(spark, folder), star_schema.SNAPSHOTS)
+def _dataset(spark: SparkSession, folder: str) -> DataFrame:
+    return dashboard.dashboard_dataset(
+        _transactions(spark, folder),
+        _customer_features(spark, folder),
+        _stand_in_scores(spark, folder),
+    )
 
 
 def _holdout(spark: SparkSession, folder: str) -> DataFrame:
-    last = star_schema.SNAPSHOTS[-1]
+    """Stand-in scores and outcomes of the last snapshot."""
     return (
         _training(spark, folder)
-        .filter(F.col("snapshot_date") == F.lit(last))
+        .filter(F.col("snapshot_date") == F.lit(star_schema.SNAPSHOTS[-1]))
         .select(
             "churn",
             F.col("future_revenue").cast("double").alias("actual"),
@@ -75,11 +159,6 @@ def _holdout(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _dataset(spark: SparkSession, folder: str) -> DataFrame:
-    transactions = _transactions(spark, folder)
-    return dashboard.dashboard_dataset(transactions, *_features_and_scores(transactions))
-
-
 def _classifier_metrics(spark: SparkSession, folder: str) -> DataFrame:
     found = metrics.classifier_metrics(_holdout(spark, folder), "p", "churn")
     return found.select(*[F.round(c, 9).alias(c) for c in found.columns])
@@ -94,7 +173,7 @@ def _regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def _metrics_report(spark: SparkSession, folder: str) -> DataFrame:
     """The metrics report over metrics of the stand-in scores."""
-    holdout = materialize(_holdout(spark, folder), "holdout")
+    holdout = _holdout(spark, folder)
     found = {
         "churn_classification": metrics.classifier_metrics(holdout, "p", "churn"),
         "customer_value_regression": metrics.regression_metrics(holdout, "actual", "guess"),
@@ -122,9 +201,10 @@ def _feature_medians(spark: SparkSession, folder: str) -> DataFrame:
 
 def _cluster_profile_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Profiles of clusters that SQL can assign as well."""
-    features = _customer_features(spark, folder)
-    assigned = features.withColumn("rfm_cluster", (F.col("customer_id").cast("long") % 2).cast("int"))
-    found = clusters.cluster_profiles(assigned)
+    number = (F.col("customer_id").cast("long") % 2).cast("int")
+    found = clusters.cluster_profiles(
+        _customer_features(spark, folder).withColumn("rfm_cluster", number)
+    )
     return found.select(
         "rfm_cluster",
         "customers",
@@ -132,68 +212,29 @@ def _cluster_profile_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Fits are kept per session and folder, so queries on the same models share them.
-@lru_cache(maxsize=4)
-def _shared(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    lines = _stored_lines(spark, folder)
-    return lines, materialize(orders.sequenced(orders.invoice_totals(lines)), "sequence")
-
-
-@lru_cache(maxsize=4)
-def _clustering(spark: SparkSession, folder: str) -> clusters.Clustering:
-    features = customers.customer_features(*_shared(spark, folder))
-    return clusters.fit_rfm_clusters(materialize(features, "features"))
-
-
-@lru_cache(maxsize=4)
-def _models(spark: SparkSession, folder: str) -> training.TrainedModels:
-    lines, sequence = _shared(spark, folder)
-    return training.train_models(
-        snapshots.snapshot_dataset(lines, star_schema.SNAPSHOTS, sequenced_invoices=sequence)
-    )
-
-
-def _model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    lines, sequence = _shared(spark, folder)
-    current = snapshots.current_features(lines, sequenced_invoices=sequence)
-    assigned = _clustering(spark, folder).assigned
-    return training.score_customers(current, _models(spark, folder), assigned)
-
-
-def _churn_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    features, scores = _features_and_scores(_stored_lines(spark, folder))
-    return reports.churn_distribution(scores, features)
-
-
-def _customer_features(spark: SparkSession, folder: str) -> DataFrame:
-    return customers.customer_features(_stored_lines(spark, folder))
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """Customer features with RFM scores and segments."""
     return _customer_features(spark, SMOKE_FOLDER)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries() -> dict[str, Query]:
     return {
         "transactions": _transactions,
         "clean_transactions": lambda s, d: cleaning.accepted_lines(_distinct(s, d)),
         "quality_report": lambda s, d: cleaning.quality_report(_distinct(s, d)),
-        "order_history": lambda s, d: orders.order_history(_lines(s, d)),
+        "order_history": _order_history,
         "customer_features": _customer_features,
         "monthly_sales": lambda s, d: performance.monthly_sales(_lines(s, d)),
         "country_performance": lambda s, d: performance.country_performance(_lines(s, d)),
-        "product_performance": lambda s, d: performance.product_performance(_lines(s, d)),
+        "product_performance": _products,
         "snapshot_dataset": _training,
-        "current_features": lambda s, d: snapshots.current_features(_stored_lines(s, d)),
-        "customer_analytics_rules": lambda s, d: _stand_in_scores(
-            snapshots.current_features(_stored_lines(s, d))
-        ),
+        "current_features": _current,
+        "customer_analytics_rules": _stand_in_scores,
         "classifier_metrics": _classifier_metrics,
         "regression_metrics": _regression_metrics,
         "executive_dashboard": lambda s, d: dashboard.executive_dashboard(_transactions(s, d)),
         "customer_dashboard": lambda s, d: dashboard.customer_dashboard(
-            *_features_and_scores(_stored_lines(s, d))
+            _customer_features(s, d), _stand_in_scores(s, d)
         ),
         "dashboard_dataset": _dataset,
         "dashboard_integrity": lambda s, d: dashboard.integrity_metrics(_dataset(s, d)),
@@ -203,24 +244,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "country_ranking": lambda s, d: reports.country_ranking(
             performance.country_performance(_lines(s, d))
         ),
-        "top_products": lambda s, d: reports.top_products(
-            performance.product_performance(_lines(s, d))
-        ),
+        "top_products": lambda s, d: reports.top_products(_products(s, d)),
         "segment_contribution": lambda s, d: reports.segment_contribution(_customer_features(s, d)),
-        "churn_distribution": _churn_distribution,
+        "churn_distribution": lambda s, d: reports.churn_distribution(
+            _stand_in_scores(s, d), _customer_features(s, d)
+        ),
         "retention_targets": lambda s, d: reports.retention_targets(
-            *_features_and_scores(_stored_lines(s, d))
+            _customer_features(s, d), _stand_in_scores(s, d)
         ),
         "metrics_report": _metrics_report,
         "feature_medians": _feature_medians,
         "cluster_profile_rules": _cluster_profile_rules,
-        "rfm_clusters": lambda s, d: _clustering(s, d).assigned.select(
-            "customer_id", "rfm_cluster"
-        ),
+        "rfm_clusters": lambda s, d: _clustering(s, d).assigned.select("customer_id", "rfm_cluster"),
         "cluster_profiles": lambda s, d: _clustering(s, d).profiles,
         "model_metrics": lambda s, d: reports.metrics_report(_models(s, d).metrics),
         "customer_analytics": _model_scores,
-        "order_gaps": lambda s, d: reports.order_gaps(orders.order_history(_lines(s, d))),
+        "order_gaps": lambda s, d: reports.order_gaps(_order_history(s, d)),
         "pareto": lambda s, d: reports.pareto(_customer_features(s, d)),
     }
 

@@ -32,13 +32,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def dropping_intermediates(spark: SparkSession) -> Iterator[None]:
-    """Delete the intermediate tables written inside the block when it ends."""
-    paths: list[str] = []
+def recording_intermediates() -> Iterator[list[str]]:
+    """Collect the paths of the intermediate tables written inside the block."""
+    outer, paths = _written.get(), []
     token = _written.set(paths)
     try:
-        yield
+        yield paths
     finally:
         _written.reset(token)
-        for path in paths:
-            delete(spark, path)
+        if outer is not None:
+            outer.extend(paths)
+
+
+@contextmanager
+def dropping_intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside the block when it ends."""
+    with recording_intermediates() as paths:
+        try:
+            yield
+        finally:
+            for path in paths:
+                delete(spark, path)

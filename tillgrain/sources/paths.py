@@ -15,6 +15,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Size, file count and change time of a file or folder, to notice new content."""
+    files, target = _resolve(spark, path)
+    summary = files.getContentSummary(target)
+    changed = files.getFileStatus(target).getModificationTime()
+    return summary.getLength(), summary.getFileCount(), changed
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, target = _resolve(spark, path)
     files.delete(target, True)

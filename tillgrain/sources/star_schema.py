@@ -21,6 +21,7 @@ SNAPSHOTS = (
     dt.date(2000, 12, 1),
     dt.date(2001, 3, 1),
 )
+TABLES = ("lineitem", "orders", "part", "supplier", "nation")
 COUNTRY_SPELLINGS = {"NATION_3": "Nation Three"}
 
 
@@ -28,9 +29,13 @@ def _moment(value: dt.datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def table_path(folder: str, name: str) -> str:
+    return f"{folder}/{name}.parquet"
+
+
 def _joined_lines(spark: SparkSession, folder: str) -> DataFrame:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.parquet(table_path(folder, name))
 
     return (
         table("lineitem")
