@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 MEASURES = ("recency_days", "frequency", "monetary")
 SEED = 42
+# An upper bound only: fits stop once centres move less than the tolerance.
+MAX_ITERATIONS = 300
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,11 @@ def fit_rfm_clusters(
     def fit(job: tuple[int, int]) -> KMeansModel:
         k, restart = job
         return KMeans(
-            k=k, seed=SEED + restart, featuresCol="scaled_rfm", predictionCol="raw_cluster"
+            k=k,
+            seed=SEED + restart,
+            maxIter=MAX_ITERATIONS,
+            featuresCol="scaled_rfm",
+            predictionCol="raw_cluster",
         ).fit(scaled)
 
     def cheapest(models: Sequence[KMeansModel]) -> KMeansModel:

@@ -122,10 +122,8 @@ def _build(
     def table(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, f"{staging}/{name}")
 
-    cleaning.check_customer_ids(raw)
-    distinct = materialize(
-        cleaning.distinct_lines(cleaning.normalise(raw, country_map)), "distinct"
-    )
+    lines = cleaning.normalise(raw, country_map, strict=True)
+    distinct = materialize(cleaning.distinct_lines(lines), "distinct")
     write_json(cleaning.quality_report(distinct), f"{staging}/data_quality_report")
     accepted = cleaning.accepted_lines(distinct)
     if clean_csv:
