@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillgrain.llm import byte_bpe, simhash, suffix_matches, token_files
+from tillgrain.llm import byte_bpe, language, simhash, suffix_matches, token_files, toxicity
 from tillgrain.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +18,35 @@ def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words=3, budget=2)
 
 
+def _language(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages by markup, address and host; documents by text and source."""
+    documents = table(spark, folder, "documents")
+    model = language.train(documents)
+    none = F.lit(None).cast("bigint")
+    pages = table(spark, folder, "pages").select(
+        none.alias("doc_id"), F.col("page_id").cast("bigint").alias("page_id"), "html",
+        language.host_of().alias("_host"), language.declared_language().alias("_declared"),
+    )
+    texts = documents.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), none.alias("page_id"), "text",
+        F.col("source").cast("string").alias("_host"), F.lit(None).cast("string").alias("_declared"),
+    )
+    keys = ["doc_id", "page_id"]
+    return language.identify(texts, keys, "text", model).unionByName(
+        language.identify(pages, keys, "html", model, markup=True)
+    )
+
+
 def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_matches.match_digests(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
 
 
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encoded_digests(
         table(spark, folder, "documents"),
@@ -42,7 +66,9 @@ def _token_files(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
+        "op2_language_id": _language,
         "op3_decontamination": _decontamination,
+        "op4_toxicity": _toxicity,
         "op5_byte_bpe": _byte_bpe,
         "op10_token_files": _token_files,
     }

@@ -124,6 +124,36 @@ def append_columns(
     return mapped.select("row.*", "found.*")
 
 
+def labelled_sample(
+    texts: DataFrame, labels: DataFrame, rows: int, limit: int
+) -> list[tuple[int, str, Any]]:
+    """At most ``rows`` (id, text, label), chosen by the hash of the id, ordered by id.
+
+    ``texts`` has columns id and body, ``labels`` id and label. Texts above ``limit`` bytes are
+    left out, so what is collected is bounded by ``rows * limit`` bytes.
+    """
+    chosen = (
+        labels.filter("id is not null and label is not null")
+        .groupBy("id").agg(F.max("label").alias("label"))
+        .orderBy(F.xxhash64("id"), "id")
+        .limit(rows)
+        .collect()
+    )
+    if not chosen:
+        return []
+    few = labels.sparkSession.createDataFrame(
+        [tuple(r) for r in chosen], f"id bigint, label {labels.schema['label'].dataType.simpleString()}"
+    )
+    found = (
+        texts.filter(F.length("body") <= limit)
+        .join(F.broadcast(few), "id")  # at most ``rows`` rows
+        .dropDuplicates(["id"])
+        .select("id", "body", "label")
+        .collect()
+    )
+    return sorted((r["id"], text_of(bytes(r["body"])), r["label"]) for r in found)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by a table in the shared folder of the session."""
     return materialize(df, f"llm-{label}")

@@ -26,17 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes, text_of
+from tillgrain.llm.rows import append_columns, as_bytes, labelled_sample, text_of
 
-TRAIN_ROWS = 4000
+TRAIN_ROWS = 3500
 TRAIN_BYTES = 16_384
 TABLE_ROWS = 1 << 17
-DIMENSIONS = 6
-SEGMENT_WORDS = 16
-GRAMS = (3, 4, 5)
+DIMENSIONS = 4
+SEGMENT_WORDS = 2
+GRAMS = (3, 4, 5, 6)
 EPOCHS = 40
-STEP = 0.1
-SHRINK = 1e-6
+STEP = 0.15
+SHRINK = 1e-5
 #: Texts in which a gram must occur to be learned, and the table row of words without such grams.
 LEAST_TEXTS = 5
 SPARE = 0
@@ -191,26 +191,11 @@ def held_out(doc_id: str = "doc_id"):
 
 def training_rows(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, int]]:
     """A bounded sample of labelled texts outside the held-out fifth."""
-    spark = documents.sparkSession
-    chosen = (
-        labels.filter("doc_id is not null and toxic is not null")
-        .filter(~held_out())
-        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-        .collect()
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("id"), as_bytes().alias("body"))
+    known = labels.filter(~held_out()).select(
+        F.col("doc_id").cast("bigint").alias("id"), F.col("toxic").cast("int").alias("label")
     )
-    if not chosen:
-        return []
-    few = spark.createDataFrame([(r[0], r[1]) for r in chosen], "doc_id bigint, toxic int")
-    texts = (
-        documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("body"))
-        .filter(F.length("body") <= TRAIN_BYTES)
-        .join(F.broadcast(few), "doc_id")  # at most ``rows`` ids
-        .dropDuplicates(["doc_id"])
-    )
-    found = sorted((r["doc_id"], text_of(bytes(r["body"])), r["toxic"]) for r in texts.collect())
-    return [(text, label) for _, text, label in found]
+    return [(text, label) for _, text, label in labelled_sample(texts, known, rows, TRAIN_BYTES)]
 
 
 def _score(parts: Iterator[pa.RecordBatch], model):
