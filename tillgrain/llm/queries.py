@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.llm import byte_bpe, language, simhash, suffix_matches, token_files, toxicity
+from tillgrain.llm import byte_bpe, language, simhash, suffix_matches, surrogates, token_files
+from tillgrain.llm import toxicity, wrappers
 from tillgrain.llm.rows import table
 
+#: Key of the surrogates; a deployment passes a secret of its own to the operator.
+SURROGATE_KEY = b"key of the registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -55,6 +59,17 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.extract_pages(table(spark, folder, "pages"))
+
+
+def _surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.pseudonymised(documents, SURROGATE_KEY).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("_entities").alias("n_entities")
+    )
+
+
 def _token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = token_files.new_folder(spark)
     parts = token_files.write_tokens(
@@ -70,6 +85,8 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": _decontamination,
         "op4_toxicity": _toxicity,
         "op5_byte_bpe": _byte_bpe,
+        "op8_html_main_text": _main_text,
+        "op9_pii_surrogates": _surrogates,
         "op10_token_files": _token_files,
     }
 
