@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain.llm import byte_bpe, language, simhash, suffix_matches, surrogates, token_files
-from tillgrain.llm import toxicity, wrappers
+from tillgrain.llm import toxicity, vector_tree, wrappers
 from tillgrain.llm.rows import table
 
 #: Key of the surrogates; a deployment passes a secret of its own to the operator.
@@ -59,6 +59,10 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_tree.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def _main_text(spark: SparkSession, folder: str) -> DataFrame:
     return wrappers.extract_pages(table(spark, folder, "pages"))
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": _decontamination,
         "op4_toxicity": _toxicity,
         "op5_byte_bpe": _byte_bpe,
+        "op7_nearest_neighbours": _neighbours,
         "op8_html_main_text": _main_text,
         "op9_pii_surrogates": _surrogates,
         "op10_token_files": _token_files,

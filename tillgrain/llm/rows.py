@@ -54,7 +54,7 @@ def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _find_package(df: DataFrame) -> None:
+def find_package(df: DataFrame) -> None:
     """Let Python workers on this machine import the package from where it lies.
 
     On a cluster the package is installed or shipped with ``--py-files``.
@@ -75,7 +75,7 @@ def map_texts(
     ``fields`` names each output column with its Arrow and its Spark type.
     """
     schema = pa.schema([(name, kind) for name, kind, _ in fields])
-    _find_package(df)
+    find_package(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in task(slices(batches, column, limit), *arguments):
@@ -99,7 +99,7 @@ def append_columns(
     ``df`` as a struct ``row``, so their names cannot clash.
     """
     schema = pa.schema([(name, kind) for name, kind, _ in fields])
-    _find_package(df)
+    find_package(df)
     packed = df.select(F.struct("*").alias("row"), body.alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
