@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.llm import byte_bpe, language, simhash, suffix_matches, surrogates, token_files
-from tillgrain.llm import toxicity, vector_tree, wrappers
+from tillgrain.llm import byte_bpe, language, repeated_bytes, simhash, suffix_matches, surrogates
+from tillgrain.llm import token_files, toxicity, vector_tree, wrappers
 from tillgrain.llm.rows import table
 
 #: Key of the surrogates; a deployment passes a secret of its own to the operator.
@@ -59,6 +59,10 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes.with_repeats_removed(table(spark, folder, "documents"), keep=False)
+
+
 def _neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return vector_tree.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -89,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": _decontamination,
         "op4_toxicity": _toxicity,
         "op5_byte_bpe": _byte_bpe,
+        "op6_repeated_bytes": _repeated_bytes,
         "op7_nearest_neighbours": _neighbours,
         "op8_html_main_text": _main_text,
         "op9_pii_surrogates": _surrogates,

@@ -32,7 +32,7 @@ from tillgrain.llm.rows import as_bytes, map_texts, stored, text_of
 from tillgrain.session import shared_folder
 
 #: Distinct words whose ids a worker remembers before it starts over.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 500_000
 # ASCII punctuation but the apostrophe, which opens a token of its own kind with letters.
 PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 # White space of str.split() that the tokenizer's \s does not know.
@@ -122,6 +122,12 @@ class WordEncoder:
         ]
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, kind: str) -> WordEncoder:
+    """The encoder of a worker, so that its tasks share what it has learnt."""
+    return WordEncoder(path, kind)
+
+
 def _opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (
         fs.LocalFileSystem(), uri
@@ -129,7 +135,7 @@ def _opened(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def _encode(parts: Iterator[pa.RecordBatch], path: str, folder: str, end_id: int, kind: str):
-    encode, disk = WordEncoder(path, kind), None
+    encode, disk = encoder(path, kind), None
     last, size = np.array([end_id], dtype=kind).tobytes(), np.dtype(kind).itemsize
     offset, documents = 0, 0
     number = TaskContext.get().partitionId()
