@@ -139,47 +139,45 @@ def _normal(logs: Column) -> Column:
     return F.transform(scaled, lambda x: x / total)
 
 
-def _conditional(rows: DataFrame, column: str, totals: DataFrame, n: int) -> DataFrame:
+def _conditional(rows: DataFrame, column: str, totals: list[float], n: int) -> DataFrame:
     """Log-likelihood of each value of ``column`` by language, from grouped counts."""
-    by_value = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(*_sums(n))
-    kinds = by_value.select(*[(F.col(f"n{i}") + 1.0).alias(f"n{i}") for i in range(n)], column)
-    whole = totals.select(*[F.col(f"n{i}").alias(f"t{i}") for i in range(n)])
-    return kinds.join(F.broadcast(whole), how="cross").select(  # one row of totals
-        column, _array(n, lambda i: F.log(F.col(f"n{i}") / (F.col(f"t{i}") + 10.0))).alias(f"_{column}")
+    counts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(*_sums(n))
+    return counts.select(
+        column,
+        _array(n, lambda i: F.log((F.col(f"n{i}") + 1.0) / (totals[i] + 10.0))).alias(f"_{column}"),
     )
 
 
-def identify(
-    texts: DataFrame, key: list[str], body: str, model: TextModel, markup: bool = False
-) -> DataFrame:
-    """Per row: ``key``, lang, confidence, kept, and the share each kind of evidence had.
+@dataclass
+class Priors:
+    """What grouped counts say: tables of log-likelihoods and priors, and the corpus prior."""
 
-    ``texts`` has the columns of ``key``, ``body`` and, NULL where unknown, _host and _declared.
-    """
-    n = len(model.languages)
-    kept = [*key, F.col("_host").alias("host"), F.col("_declared").alias("declared")]
-    if n == 0:
-        return texts.select(
-            *kept, F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("confidence"),
-            F.lit(False).alias("kept"),
-        )
-    sent = texts.sparkSession.sparkContext.broadcast(model)
-    found = append_columns(
-        texts.select(*kept, F.col(body).alias("_text")), as_bytes("_text"), _likelihoods, EVIDENCE, sent, markup
-    )
+    languages: list[str]
+    base: list[float]
+    hosts: DataFrame
+    declared: DataFrame
+    suffixes: DataFrame
+
+
+def _located(rows: DataFrame) -> DataFrame:
     labels = F.split("host", r"\.")
-    evidence = stored(
-        found.drop("_text")
-        .withColumn("suffix", F.element_at(labels, -1))
-        .withColumn("domain", F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(F.col("host")))
-        .withColumn("_own", _normal(F.col("_loglik"))),
-        "language-evidence",
-    )
-    counted = evidence.filter("_letters > 0")
+    domain = F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(F.col("host"))
+    return rows.withColumn("suffix", F.element_at(labels, -1)).withColumn("domain", domain)
+
+
+def _evidence(rows: DataFrame, body: str, model: TextModel, markup: bool) -> DataFrame:
+    """``rows`` with _loglik and _letters of the text in column ``body``."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+    return append_columns(rows, as_bytes(body), _likelihoods, EVIDENCE, sent, markup)
+
+
+def _counted(evidence: DataFrame, model: TextModel) -> Priors:
+    """Likelihoods and hierarchically smoothed priors; evidence: host, declared, _loglik, _letters."""
+    n = len(model.languages)
+    counted = _located(evidence).filter("_letters > 0").withColumn("_own", _normal(F.col("_loglik")))
     totals = counted.agg(*[F.coalesce(F.sum(F.col("_own")[i]), F.lit(0.0)).alias(f"n{i}") for i in range(n)])
     whole = totals.first()
-    rows = sum(whole)
-    base = [(whole[i] + 1.0) / (rows + n) for i in range(n)]
+    base = [(whole[i] + 1.0) / (sum(whole) + n) for i in range(n)]
 
     # Hosts, domains and suffixes with their counts; each level starts from the one above.
     hosts = counted.filter("host is not null").groupBy("host", "domain", "suffix").agg(*_sums(n))
@@ -197,22 +195,72 @@ def identify(
     by_host = hosts.join(by_domain, ["domain", "suffix"]).select(
         "host", _array(n, smoothed(lambda i: F.col("_up")[i])).alias("_prior")
     )
-    declared = _conditional(counted, "declared", totals, n)
-    suffix = _conditional(counted, "suffix", totals, n)
+    return Priors(
+        model.languages, base,
+        stored(by_host, "host-priors"),
+        stored(_conditional(counted, "declared", whole, n), "declared"),
+        stored(_conditional(counted, "suffix", whole, n), "suffixes"),
+    )
+
+
+def _decided(rows: DataFrame, priors: Priors) -> DataFrame:
+    """``rows`` with _lang, _confidence and _accepted; rows: host, declared, _loglik, _letters."""
+    n = len(priors.languages)
     none = _array(n, lambda i: F.lit(0.0))
-    prior = _array(n, lambda i: F.lit(float(base[i])))
-    joined = evidence.join(by_host, "host", "left").join(declared, "declared", "left").join(suffix, "suffix", "left")
+    prior = _array(n, lambda i: F.lit(float(priors.base[i])))
+    joined = (
+        _located(rows).join(priors.hosts, "host", "left")
+        .join(priors.declared, "declared", "left").join(priors.suffixes, "suffix", "left")
+    )
     logs = _array(
         n,
         lambda i: F.log(F.coalesce("_prior", prior)[i])
         + F.coalesce("_declared", none)[i] + F.coalesce("_suffix", none)[i] + F.col("_loglik")[i],
     )
-    posterior = joined.withColumn("_posterior", _normal(logs))
     best = F.array_max("_posterior")
-    names = F.array(*[F.lit(x) for x in model.languages])
-    return posterior.select(
-        *key, "host", "declared",
-        F.get(names, (F.array_position("_posterior", best) - 1).cast("int")).alias("lang"),
-        F.round(best, 9).alias("confidence"),
-        ((F.col("_letters") > 0) & (best >= LEAST_POSTERIOR)).alias("kept"),
+    names = F.array(*[F.lit(x) for x in priors.languages])
+    return joined.withColumn("_posterior", _normal(logs)).select(
+        *rows.columns,
+        F.get(names, (F.array_position("_posterior", best) - 1).cast("int")).alias("_lang"),
+        F.round(best, 9).alias("_confidence"),
+        ((F.col("_letters") > 0) & (best >= LEAST_POSTERIOR)).alias("_accepted"),
+    )
+
+
+def identify(
+    texts: DataFrame, key: list[str], body: str, model: TextModel, markup: bool = False
+) -> DataFrame:
+    """Per row: ``key``, host, declared, lang, confidence, kept.
+
+    ``texts`` has the columns of ``key``, ``body`` and, NULL where unknown, _host and _declared.
+    """
+    rows = texts.select(
+        F.struct(*key).alias("_key"), F.col("_host").alias("host"), F.col("_declared").alias("declared"),
+        F.col(body).alias("_text"),
+    )
+    if not model.languages:
+        lost = rows.select("_key.*", "host", "declared", F.lit(None).cast("string").alias("lang"))
+        return lost.select("*", F.lit(None).cast("double").alias("confidence"), F.lit(False).alias("kept"))
+    evidence = stored(_evidence(rows, "_text", model, markup).drop("_text"), "language-evidence")
+    found = _decided(evidence, _counted(evidence, model))
+    return found.select(
+        "_key.*", "host", "declared", F.col("_lang").alias("lang"), F.col("_confidence").alias("confidence"),
+        F.col("_accepted").alias("kept"),
+    )
+
+
+def accepted(documents: DataFrame, model: TextModel) -> DataFrame:
+    """``documents`` (text, source as host) without those whose language is rejected.
+
+    The texts are read twice: for the counts, and to be judged by them. Without labelled texts
+    there is nothing to judge by, and all documents stay.
+    """
+    if not model.languages:
+        return documents
+    rows = documents.select(
+        F.struct("*").alias("_row"), F.col("source").cast("string").alias("host"),
+        F.lit(None).cast("string").alias("declared"), F.col("text").alias("_text"),
     )
+    evidence = stored(_evidence(rows.drop("_row"), "_text", model, False).drop("_text"), "language-evidence")
+    judged = _decided(_evidence(rows, "_text", model, False).drop("_text"), _counted(evidence, model))
+    return judged.filter("_accepted").select("_row.*")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import as_bytes, map_texts, stored
+from tillgrain.llm.rows import append_columns, as_bytes, map_texts, stored
 
 BITS = 64
 HASH_SEED = 42
@@ -67,6 +67,11 @@ def _fingerprints(parts: Iterator[pa.RecordBatch], words: int):
         ]
 
 
+def _row_prints(parts: Iterator[pa.RecordBatch], words: int):
+    for part in parts:
+        yield [(_fingerprint(shingle_hashes(raw, words)),) for raw in part.column("body").to_pylist()]
+
+
 def fingerprints(documents: DataFrame, words: int) -> DataFrame:
     """doc_id and the fingerprint as a signed number, ``bits``."""
     bodies = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("body"))
@@ -170,20 +175,42 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
         roots = jumped
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, budget: int = 2) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hex digits), component_id (least reachable id)."""
-    prints = stored(fingerprints(documents, words), "fingerprints")
+def _components(prints: DataFrame, budget: int) -> DataFrame:
+    """Per distinct fingerprint: bits, first (least id) and root, one fingerprint per component."""
     distinct = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("first")), "distinct")
     found = stored(links(distinct.select("bits"), budget), "pairs")
     if found.isEmpty():
-        components = distinct.select("bits", F.col("first").alias("component_id"))
-    else:
-        roots = smallest_reachable(found).withColumnRenamed("vertex", "bits")
-        known = distinct.join(roots, "bits", "left").select(
+        return distinct.withColumn("root", F.col("bits"))
+    roots = smallest_reachable(found).withColumnRenamed("vertex", "bits")
+    return stored(
+        distinct.join(roots, "bits", "left").select(
             "bits", "first", F.coalesce("root", "bits").alias("root")
-        )
-        least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-        components = stored(known.join(least, "root").select("bits", "component_id"), "components")
+        ),
+        "components",
+    )
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, budget: int = 2) -> DataFrame:
+    """Per document: doc_id, fingerprint (16 hex digits), component_id (least reachable id)."""
+    prints = stored(fingerprints(documents, words), "fingerprints")
+    known = _components(prints, budget)
+    least = known.groupBy("root").agg(F.min("first").alias("component_id"))
+    components = stored(known.join(least, "root").select("bits", "component_id"), "component-ids")
     return prints.join(components, "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def deduplicated(documents: DataFrame, words: int = 5, budget: int = 2) -> DataFrame:
+    """``documents`` with one row of every component: that of the least id.
+
+    Rows that share this id and its fingerprint count as one.
+    """
+    found = append_columns(documents, as_bytes(), _row_prints, [("_bits", pa.int64(), "bigint")], words)
+    prints = stored(found.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("_bits").alias("bits")), "fingerprints")
+    known = _components(prints, budget)
+    one = F.min(F.struct(F.col("first").isNull(), "first", F.col("bits").alias("print"))).alias("one")
+    stays = known.groupBy("root").agg(one).select("one.first", "one.print")
+    rows = found.select(F.struct(*documents.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), "_bits")
+    kept = rows.join(stays, (F.col("_bits") == F.col("print")) & F.col("_id").eqNullSafe(F.col("first")))
+    return kept.dropDuplicates(["_id", "_bits"]).select("_row.*")
