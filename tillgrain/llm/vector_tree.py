@@ -34,10 +34,10 @@ from tillgrain.llm.rows import batch_of, find_package, stored
 
 SAMPLE_ROWS = 20_000
 BRANCHES = 8
-LEAF_SAMPLE_ROWS = 48
+LEAF_SAMPLE_ROWS = 256
 ITERATIONS = 8
 CALIBRATION_QUERIES = 100
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.95
 BLOCK_ROWS = 8192
 RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 
@@ -213,19 +213,25 @@ def _block_best(n: int):
         keys = right["vec_id"].to_numpy()
         order = np.argsort(keys, kind="stable")
         vectors, keys = vectors[order], keys[order]
-        out = []
+        asked, hits, values = [], [], []
         for at in range(0, len(left), 256):
             some = left.iloc[at : at + 256]
             scores = np.array(some["embedding"].tolist(), dtype=np.float64) @ vectors.T
-            for query, row in zip(some["query"], scores):
-                if len(row) > n:
-                    cut = np.partition(row, len(row) - n)[len(row) - n]
-                    mine = np.flatnonzero(row >= cut)
-                    mine = mine[np.argsort(-row[mine], kind="stable")][:n]
-                else:
-                    mine = np.arange(len(row))
-                out.append(pd.DataFrame({"query": query, "vec_id": keys[mine], "score": row[mine]}))
-        return pd.concat(out)
+            if scores.shape[1] > n:
+                mine = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+                cut = np.take_along_axis(scores, mine, axis=1).min(axis=1)
+                # Where equal scores straddle the cut, the smaller ids win.
+                for i in np.flatnonzero((scores >= cut[:, None]).sum(axis=1) > n):
+                    tied = np.flatnonzero(scores[i] >= cut[i])
+                    mine[i] = tied[np.argsort(-scores[i][tied], kind="stable")][:n]
+            else:
+                mine = np.tile(np.arange(scores.shape[1]), (len(scores), 1))
+            asked.append(np.repeat(some["query"].to_numpy(), mine.shape[1]))
+            hits.append(keys[mine].ravel())
+            values.append(np.take_along_axis(scores, mine, axis=1).ravel())
+        return pd.DataFrame(
+            {"query": np.concatenate(asked), "vec_id": np.concatenate(hits), "score": np.concatenate(values)}
+        )
 
     return best
 
