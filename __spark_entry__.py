@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from contextvars import ContextVar
 from functools import wraps
 from pathlib import Path
 from typing import Any
@@ -14,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
-from tillgrain.operators.materialize import materialize, recording_intermediates  # noqa: E402
+from tillgrain.operators.materialize import materialize  # noqa: E402
 from tillgrain.operators.ordered import exact_medians  # noqa: E402
 from tillgrain.plans import cleaning, clusters, customers, dashboard, metrics  # noqa: E402
 from tillgrain.plans import orders, performance, reports, scoring, snapshots  # noqa: E402
 from tillgrain.plans import training  # noqa: E402
-from tillgrain.sources import paths, star_schema  # noqa: E402
+from tillgrain.sources import star_schema  # noqa: E402
 
 try:  # the text operators may be left out of an installation
     import corpus_pipeline
@@ -34,32 +35,40 @@ SMOKE_FOLDER = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# --- Tables and fits that several queries share -----------------------------------------
-# Like tables loaded before they are queried, they are built on first use. A change of the
-# input files, another session or a lost intermediate builds them anew.
+# --- Tables and fits that the parts of one query share -----------------------------------
+# A query builds them from its inputs when it is called, and no later query sees them, so its
+# time does not depend on what ran before. ``drop_intermediates`` deletes what they wrote.
 
+_shared: ContextVar[dict[Any, Any] | None] = ContextVar("_shared", default=None)
 
-def _kept(build: Callable[[SparkSession, str], Any]) -> Callable[[SparkSession, str], Any]:
-    kept: dict[tuple, tuple[Any, list[str]]] = {}
 
+def _kept(build: Callable[[SparkSession, str], Any]) -> Callable[[SparkSession, str], Any]:
     @wraps(build)
     def get(spark: SparkSession, folder: str) -> Any:
-        inputs = [star_schema.table_path(folder, name) for name in star_schema.TABLES]
-        key = (
-            spark.sparkContext.applicationId,
-            folder,
-            *[paths.fingerprint(spark, path) for path in inputs],
-        )
-        if key in kept and all(paths.exists(spark, path) for path in kept[key][1]):
-            return kept[key][0]
-        with recording_intermediates() as written:
-            result = build(spark, folder)
-        kept[key] = (result, written)
-        return result
+        kept = _shared.get()
+        if kept is None:
+            return build(spark, folder)
+        if build not in kept:
+            kept[build] = build(spark, folder)
+        return kept[build]
 
     return get
 
 
+def _alone(query: Query) -> Query:
+    """The query with shared parts of its own."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        token = _shared.set({})
+        try:
+            return query(spark, folder)
+        finally:
+            _shared.reset(token)
+
+    return run
+
+
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines for queries that read them once."""
     return star_schema.clean_lines(spark, folder)
@@ -72,7 +81,7 @@ def _stored_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @_kept
 def _transactions(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.number_transactions(_lines(spark, folder))
+    return cleaning.number_transactions(_stored_lines(spark, folder))
 
 
 @_kept
@@ -228,10 +237,14 @@ def _text_queries() -> dict[str, Query]:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Customer features with RFM scores and segments."""
-    return _customer_features(spark, SMOKE_FOLDER)
+    return _alone(_customer_features)(spark, SMOKE_FOLDER)
 
 
 def queries() -> dict[str, Query]:
+    return {name: _alone(query) for name, query in _own_queries().items()} | _text_queries()
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "transactions": _transactions,
         "clean_transactions": lambda s, d: cleaning.accepted_lines(_distinct(s, d)),
@@ -273,9 +286,8 @@ def queries() -> dict[str, Query]:
         "cluster_profiles": lambda s, d: _clustering(s, d).profiles,
         "model_metrics": lambda s, d: reports.metrics_report(_models(s, d).metrics),
         "customer_analytics": _model_scores,
-        "order_gaps": lambda s, d: reports.order_gaps(_order_history(s, d)),
+        "order_gaps": lambda s, d: reports.order_gaps(orders.order_dates(_sequence(s, d))),
         "pareto": lambda s, d: reports.pareto(_customer_features(s, d)),
-        **_text_queries(),
     }
 
 

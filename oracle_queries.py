@@ -240,8 +240,10 @@ tidy AS (
          CASE WHEN l_partkey % 53 <> 0 THEN p_name END AS description,
          CASE WHEN returned THEN -l_quantity ELSE l_quantity END AS quantity,
          o_orderdate AS invoice_date,
-         CASE WHEN l_partkey % 97 = 0 THEN 0 ELSE p_retailprice END AS price,
-         CASE WHEN o_custkey % 41 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
+         CASE WHEN l_partkey % 97 = 0 THEN 0
+              WHEN l_partkey % 89 <> 0 THEN p_retailprice END AS price,
+         CASE WHEN o_custkey % 43 = 0 THEN CAST(o_custkey + 9007199254740993 AS VARCHAR)
+              WHEN o_custkey % 41 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
          CASE n_name WHEN 'NATION_3' THEN 'Nation Three' ELSE n_name END AS country,
          source_period
   FROM copied),

@@ -66,13 +66,12 @@ def test_exact_medians(spark):
     assert found == {"a": statistics.median([1, 4, 9, 2]), "b": 2.0}
 
 
-@pytest.mark.parametrize("split_above", [10, 5_000_000])
-def test_previous_row_with_and_without_split_groups(spark, split_above):
+def test_previous_row_of_groups_over_several_slices(spark):
     pick = random.Random(3)
     rows = [("hot" if i % 3 else f"g{i % 40}", pick.randrange(1000), i) for i in range(400)]
     rows += [("hot", None, 1000)]
     df = materialize(spark.createDataFrame(rows, "g string, v int, i long"), "test")
-    mine = with_previous(df, ["g"], ["i"], "v", "before", split_above)
+    mine = with_previous(df, ["g"], ["i"], "v", "before")
     plain = df.withColumn("before", F.lag("v").over(Window.partitionBy("g").orderBy("i")))
     assert sorted(mine.select("g", "i", "before").collect(), key=str) == sorted(
         plain.select("g", "i", "before").collect(), key=str

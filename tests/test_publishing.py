@@ -12,7 +12,8 @@ from tillgrain.plans import customers, dashboard, full_run, quality, training
 from tillgrain.schemas import CUSTOMER_ANALYTICS, EXPORT_COLUMNS, SOURCE_COLUMNS, TRANSACTIONS
 from tillgrain.sources import star_schema
 from tillgrain.sources.export import export_dataset, validate_export
-from tillgrain.sources.tables import write_csv
+from tillgrain.sources.raw_lines import load_periods
+from tillgrain.sources.tables import read_csv, write_csv
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -94,7 +95,7 @@ def test_key_checks(spark):
 SMALL = training.ModelSettings(trees=5, forest_depth=4, boosting_rounds=3, logistic_iterations=50)
 
 
-def test_full_run_from_raw_csv_to_reports(spark, tmp_path):
+def test_full_run_from_raw_csv_to_reports(spark, tmp_path, monkeypatch):
     raw = star_schema.dirty_lines(spark, FOLDER)
     periods = {}
     for period in ("Period A", "Period B"):
@@ -112,32 +113,33 @@ def test_full_run_from_raw_csv_to_reports(spark, tmp_path):
     }
     counts = full_run.run(spark, periods, out, **options)
 
-    published = {p.name for p in Path(out).iterdir()}
-    assert published == {
+    first = full_run.published(spark, out, "")
+    at = lambda name: full_run.published(spark, out, name)
+    assert {p.name for p in Path(first).iterdir()} == {
         *full_run.TABLES, *full_run.REPORTS, *full_run.MODELS, full_run.EXPORT, "clean_transactions",
     }
-    report = spark.read.json(f"{out}/data_quality_report").first()
+    report = spark.read.json(at("data_quality_report")).first()
     assert report["raw_rows"] == raw.count()
     assert counts["Transaction"] == report["clean_rows"]
     assert counts["Customer"] == report["clean_customers"]
-    metadata = spark.read.json(f"{out}/model_metadata").first()
+    metadata = spark.read.json(at("model_metadata")).first()
     assert metadata["test_snapshot"] == "2001-03-01"
     assert metadata["validation_snapshot"] == "2000-12-01"
     assert metadata["selected_k"] in range(2, 7)
 
-    found = spark.read.parquet(f"{out}/model_metrics")
+    found = spark.read.parquet(at("model_metrics"))
     chosen = found.filter("evaluation_split = 'test' AND selected_model")
     assert chosen.count() == found.filter("evaluation_split = 'test'").count() == 8
     assert found.filter("evaluation_split = 'validation'").count() == 10
     assert found.filter("metric = 'roc_auc' AND NOT value BETWEEN 0 AND 1").isEmpty()
 
-    profiles = spark.read.parquet(f"{out}/cluster_profiles").orderBy("rfm_cluster").collect()
+    profiles = spark.read.parquet(at("cluster_profiles")).orderBy("rfm_cluster").collect()
     means = [p["avg_monetary"] for p in profiles]
     assert means == sorted(means, reverse=True)
     assert sum(p["customers"] for p in profiles) == counts["Customer"]
 
     for name in full_run.MODELS:
-        assert PipelineModel.load(f"{out}/{name}").stages
+        assert PipelineModel.load(at(name)).stages
     reports = full_run.analyst_reports(spark, out)
     assert len(reports) == 10 and all(not df.isEmpty() for df in reports.values())
 
@@ -148,10 +150,40 @@ def test_full_run_from_raw_csv_to_reports(spark, tmp_path):
         "SELECT customer_id FROM customer_dashboard WHERE churn_probability IS NULL"
     ).isEmpty()
 
-    # A run that fails leaves the published tables alone.
+    # A run that fails half-way leaves the earlier one current and whole.
     before = sorted(p.name for p in Path(out).iterdir())
+    rows = spark.read.parquet(at("customer_features")).count()
     with pytest.raises(ValueError, match="three snapshot"):
         full_run.run(spark, periods, out, **{**options, "snapshot_dates": star_schema.SNAPSHOTS[:2]})
     assert sorted(p.name for p in Path(out).iterdir()) == before
+    monkeypatch.setattr(full_run.performance, "product_performance", lambda _: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        full_run.run(spark, periods, out, **options)
+    assert sorted(p.name for p in Path(out).iterdir()) == before
+    assert full_run.published(spark, out, "") == first
+    assert spark.read.parquet(at("customer_features")).count() == rows
     with pytest.raises(FileNotFoundError):
         full_run.run(spark, {"x": str(tmp_path / "absent")}, out)
+
+
+def test_a_line_break_in_a_text_survives_the_export(spark, dataset, tmp_path):
+    odd = "a\nb\r\\n \\ \"q\", x"
+    changed = dataset.withColumn(
+        "description", F.when(F.col("record_type") == "Transaction", F.lit(odd))
+    )
+    target = str(tmp_path / "odd")
+    counts = export_dataset(changed, target)
+    back = read_csv(spark, target, changed.select(*EXPORT_COLUMNS).schema)
+    assert back.filter(F.col("description") == odd).count() == counts["Transaction"]
+    assert back.count() == sum(counts.values())
+
+
+def test_files_of_one_period_must_share_their_header(spark, tmp_path):
+    folder = tmp_path / "period"
+    folder.mkdir()
+    names = list(SOURCE_COLUMNS)
+    row = dict(zip(names, ["1", "85123A", "x", "3", "2010-01-01 10:00:00", "7", "5", "France"]))
+    for i, order in enumerate((names, [*names[:3], "Price", "InvoiceDate", "Quantity", *names[6:]])):
+        (folder / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join(row[n] for n in order) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_periods(spark, {"p": str(folder)}).collect()

@@ -16,7 +16,7 @@ def twin():
 
 
 def test_only_fitted_models_lack_a_twin():
-    own = set(entry.queries()) - set(entry._text_queries())
+    own = set(entry._own_queries())
     assert own - set(entry.oracle_sql()) == {
         "rfm_clusters", "cluster_profiles", "model_metrics", "customer_analytics",
     }

@@ -20,11 +20,20 @@ from tillgrain.sources.paths import delete
 _written: ContextVar[list[str] | None] = ContextVar("_written", default=None)
 
 
+def intermediates(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_folder(spark)}/tillgrain/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once no result needs them."""
+    delete(spark, intermediates(spark))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as read back."""
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/tillgrain/{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{intermediates(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     if (written := _written.get()) is not None:
         written.append(path)

@@ -1,4 +1,4 @@
-"""Previous row within a group, also for groups too large for one task."""
+"""Previous row within a group, whatever the size of the group."""
 
 from __future__ import annotations
 
@@ -9,67 +9,27 @@ from pyspark.sql import functions as F
 
 from tillgrain.operators.ordered import POSITION, SLICE, spread_in_order
 
-# A window task sorts (and spills) one group; beyond this many rows the group is split.
-SPLIT_ABOVE_ROWS = 5_000_000
-# Upper bound for the list of split groups, which is broadcast.
-MAX_SPLIT_GROUPS = 10_000
-
 
 def with_previous(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    source: str,
-    target: str,
-    split_above: int = SPLIT_ABOVE_ROWS,
+    df: DataFrame, group: Sequence[str], order: Sequence[str], source: str, target: str
 ) -> DataFrame:
     """Add ``target``: the value of ``source`` in the preceding row of the same group.
 
-    ``order`` must be unique within a group. ``df`` should be a stored table, because
-    its row count and, on large input, its group sizes are read first. Groups above
-    ``split_above`` rows are sorted across tasks; all others take one plain window.
+    ``order`` must be unique within a group. Rows are spread over tasks in order of group and
+    ``order``, so a group may run over several slices; each slice hands its last row on to the
+    next. One row per slice is combined and broadcast, at most one per shuffle partition.
     """
-    total = df.count()
-    threshold = max(split_above, total // MAX_SPLIT_GROUPS)
-    plain = Window.partitionBy(*group).orderBy(*order)
-    if total <= threshold:
-        return df.withColumn(target, F.lag(source).over(plain))
-    # At most total / threshold <= MAX_SPLIT_GROUPS groups can pass this filter.
-    large = df.groupBy(*group).count().filter(F.col("count") > threshold).drop("count").collect()
-    if not large:
-        return df.withColumn(target, F.lag(source).over(plain))
-    keys = F.broadcast(df.sparkSession.createDataFrame(large, df.select(*group).schema))
-    small_part = df.join(keys, list(group), "left_anti").withColumn(
-        target, F.lag(source).over(plain)
-    )
-    large_part = _previous_across_slices(
-        df.join(keys, list(group), "left_semi"), group, order, source, target
-    )
-    return small_part.unionByName(large_part)
-
-
-def _previous_across_slices(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], source: str, target: str
-) -> DataFrame:
-    ordered = spread_in_order(df, [*group, *order], "neighbours")
-    # The last row of every slice, handed to the next slice: one row per slice.
-    tails = ordered.groupBy(SLICE).agg(
-        F.max_by(F.struct(*group, source), POSITION).alias("tail")
-    )
-    handed = tails.select(
-        SLICE, F.lag("tail").over(Window.orderBy(SLICE)).alias("handed")
-    )
+    ordered = spread_in_order(df.withColumn("_source", F.col(source)), [*group, *order], "neighbours")
+    tails = ordered.groupBy(SLICE).agg(F.max_by(F.struct(*group, "_source"), POSITION).alias("tail"))
+    handed = tails.select(SLICE, F.lag("tail").over(Window.orderBy(SLICE)).alias("handed"))
     same_group = F.lit(True)
     for column in group:
         same_group = same_group & (F.col(column) == F.col(f"handed.{column}"))
     inside = Window.partitionBy(SLICE, *group).orderBy(POSITION)
-    carried = F.when(same_group, F.col(f"handed.{source}"))
+    carried = F.when(same_group, F.col("handed._source"))
     return (
         ordered.join(F.broadcast(handed), SLICE)
         .withColumn("_nth", F.row_number().over(inside))
-        .withColumn(
-            target,
-            F.when(F.col("_nth") == 1, carried).otherwise(F.lag(source).over(inside)),
-        )
-        .drop(SLICE, POSITION, "handed", "_nth")
+        .withColumn(target, F.when(F.col("_nth") == 1, carried).otherwise(F.lag("_source").over(inside)))
+        .drop(SLICE, POSITION, "handed", "_nth", "_source")
     )

@@ -137,30 +137,42 @@ def tile_scores(
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Interpolated medians of numeric columns, NULLs left out.
 
-    ``F.median`` gathers every distinct value of the column in one task; here the
-    values are sorted across tasks and only the middle rows are read.
+    ``F.median`` gathers every distinct value of the column in one task. Here equal values
+    are counted first, so a value that most rows share is one row; the distinct values are
+    sorted across tasks and only the middle ones are read.
     """
     measures = {c: F.col(c).cast("double") for c in columns}
-    ordered = spread_in_order(
-        _stacked(df, measures).filter(F.col("value").isNotNull()), ["measure", "value"], "medians"
+    counts = (
+        _stacked(df, measures).filter(F.col("value").isNotNull())
+        .groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    counted = {
-        (r["measure"], r[SLICE]): r["count"]
-        for r in ordered.groupBy("measure", SLICE).count().collect()
-    }
-    sizes: dict[int, int] = {}
-    per_column = {c: 0 for c in columns}
-    for (name, home), n in counted.items():
-        sizes[home] = sizes.get(home, 0) + n
-        per_column[name] += n
-    middles, start = {}, 0
-    for name in sorted(columns):
-        n = per_column[name]
-        if n:
-            middles[name] = (start + (n - 1) // 2, start + n // 2)
-        start += n
-    found = rows_at(ordered, {p for pair in middles.values() for p in pair}, sizes)
-    return {
-        name: (found[low]["value"] + found[high]["value"]) / 2
-        for name, (low, high) in middles.items()
-    }
+    ordered = spread_in_order(counts, ["measure", "value"], "medians")
+    held: dict[str, list[tuple[int, int]]] = {c: [] for c in columns}
+    for r in ordered.groupBy("measure", SLICE).agg(F.sum("n").alias("n")).orderBy(SLICE).collect():
+        held[r["measure"]].append((r[SLICE], r["n"]))
+    wanted = {}  # measure -> (slice, rows of the measure before the wanted one) for both middles
+    for name, slices in held.items():
+        total = sum(n for _, n in slices)
+        for middle in {(total - 1) // 2, total // 2} if total else ():
+            before = 0
+            for home, n in slices:
+                if middle < before + n:
+                    wanted.setdefault(name, []).append((home, middle - before))
+                    break
+                before += n
+    match = F.lit(False)
+    for name, places in wanted.items():
+        for home, _ in places:
+            match = match | ((F.col("measure") == name) & (F.col(SLICE) == home))
+    # Distinct values of the slices that hold a middle, with the rows up to each of them.
+    running = Window.partitionBy("measure", SLICE).orderBy(POSITION)
+    upto = ordered.filter(match).withColumn("upto", F.sum("n").over(running))
+    hit = F.lit(False)
+    for name, places in wanted.items():
+        for home, offset in places:
+            covers = (F.col("upto") > offset) & (F.col("upto") - F.col("n") <= offset)
+            hit = hit | ((F.col("measure") == name) & (F.col(SLICE) == home) & covers)
+    values: dict[str, list[float]] = {}
+    for r in upto.filter(hit).select("measure", "value").collect():  # one or two per measure
+        values.setdefault(r["measure"], []).append(r["value"])
+    return {name: sum(v) / len(v) for name, v in values.items()}

@@ -46,14 +46,12 @@ def _scaling() -> Pipeline:
 def fit_rfm_clusters(
     customer_features: DataFrame,
     ks: Sequence[int] = range(2, 7),
-    sweep_restarts: int = 5,
-    final_restarts: int = 10,
+    sweep_restarts: int = 20,
+    final_restarts: int = 30,
     parallel: int = 4,
 ) -> Clustering:
     """Pick k by silhouette over all customers, then keep the fit of lowest cost.
 
-    Spark's parallel seeding samples many candidate centres per restart, so it needs
-    fewer restarts than plain seeding to reach the same cost; raise them if in doubt.
     Clusters are numbered from the highest to the lowest mean revenue, so numbers do
     not depend on which restart won.
     """

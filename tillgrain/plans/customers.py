@@ -34,14 +34,19 @@ def lifetime_measures(transactions: DataFrame, invoice_rows: DataFrame) -> DataF
         mean(F.datediff(last, first), orders - 1, 2, "decimal(10,2)").alias(
             "avg_days_between_orders"
         ),
-        F.mode("country", deterministic=True).alias("primary_country"),
+    )
+    # Counted per country first: F.mode would sort all invoices once the hash map is full.
+    most_orders_first = F.struct((-F.col("orders")).alias("order"), "country")
+    home = (
+        invoice_rows.groupBy("customer_id", "country").agg(orders.alias("orders"))
+        .groupBy("customer_id").agg(F.min(most_orders_first)["country"].alias("primary_country"))
     )
     variety = transactions.groupBy("customer_id").agg(
         F.count_distinct("stock_code").alias("unique_products"),
         F.count_distinct(F.trunc("invoice_date", "month")).alias("active_months"),
     )
     analysis_date = transactions.agg(F.max("invoice_date").cast("date").alias("day")).scalar()
-    return per_customer.join(variety, "customer_id").select(
+    return per_customer.join(home, "customer_id").join(variety, "customer_id").select(
         "*",
         F.datediff(analysis_date, "last_purchase_date").alias("recency_days"),
         F.datediff("last_purchase_date", "first_purchase_date").alias("tenure_days"),

@@ -21,7 +21,7 @@ from tillgrain.schemas import (
     SNAPSHOT_DATES,
 )
 from tillgrain.sources.export import export_dataset
-from tillgrain.sources.paths import delete, exists, replace
+from tillgrain.sources.paths import children, delete, exists, read_text, write_text
 from tillgrain.sources.raw_lines import load_periods
 from tillgrain.sources.tables import (
     model_inputs,
@@ -45,6 +45,8 @@ TABLES = (
 REPORTS = ("data_quality_report", "model_metadata")
 MODELS = ("rfm_clusters", "churn_classifier", "customer_value")
 EXPORT = "dashboard_dataset"
+# The file that names the folder of the current run.
+CURRENT = "_current"
 
 
 def model_metadata(
@@ -87,13 +89,16 @@ def run(
 ) -> dict[str, int]:
     """Build and publish everything under ``out``; returns the exported rows per grain.
 
-    All tables are staged first. If any check fails nothing is published, and what an
-    earlier run left under ``out`` stays as it was.
+    A run writes to a folder of its own, and the one small file that names the current run
+    is replaced last. A run that fails at any step leaves the earlier one current and whole.
+    The folder of the run before stays for those who still read it; older ones go.
     """
     missing = [p for p in periods.values() if not exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"Input not found: {missing}")
-    staging = f"{out.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    base = out.rstrip("/")
+    run_name = f"run-{uuid.uuid4().hex}"
+    staging = f"{base}/{run_name}"
     try:
         with dropping_intermediates(spark):
             raw = load_periods(spark, periods, file_format)
@@ -101,14 +106,25 @@ def run(
                 spark, raw, staging, country_map, snapshot_dates, settings, clean_csv, cluster_options
             )
             counts = export_dataset(parts, f"{staging}/{EXPORT}")
-        names = [*TABLES, *REPORTS, *MODELS, *(["clean_transactions"] if clean_csv else []), EXPORT]
-        for name in names:
-            replace(spark, f"{staging}/{name}", f"{out.rstrip('/')}/{name}")
-    finally:
+        before = read_text(spark, f"{base}/{CURRENT}")
+        write_text(spark, f"{base}/{CURRENT}", run_name)
+    except Exception:
         delete(spark, staging)
+        raise
+    for name in children(spark, base):
+        if name.startswith("run-") and name not in (run_name, before):
+            delete(spark, f"{base}/{name}")
     return counts
 
 
+def published(spark: SparkSession, out: str, name: str) -> str:
+    """Path of a published table, report, model or export of the current run."""
+    current = read_text(spark, f"{out.rstrip('/')}/{CURRENT}")
+    if current is None:
+        raise FileNotFoundError(f"Nothing is published under {out}.")
+    return f"{out.rstrip('/')}/{current}/{name}"
+
+
 def _build(
     spark: SparkSession,
     raw: DataFrame,
@@ -174,7 +190,7 @@ def _build(
 
 
 def published_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{out.rstrip('/')}/{name}") for name in TABLES}
+    return {name: spark.read.parquet(published(spark, out, name)) for name in TABLES}
 
 
 def register_views(spark: SparkSession, out: str) -> None:

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillgrain.functions.exact import MONEY
-from tillgrain.operators.materialize import materialize
-from tillgrain.operators.neighbours import SPLIT_ABOVE_ROWS, with_previous
+from tillgrain.operators.neighbours import with_previous
 
 
 def invoice_totals(transactions: DataFrame) -> DataFrame:
@@ -45,21 +44,32 @@ def invoices(transactions: DataFrame) -> DataFrame:
     return invoice_totals(transactions).join(products, ["customer_id", "invoice_no"])
 
 
-def sequenced(invoice_rows: DataFrame, split_above: int = SPLIT_ABOVE_ROWS) -> DataFrame:
+def sequenced(invoice_rows: DataFrame) -> DataFrame:
     """Invoices with ``previous_timestamp``, the customer's preceding order."""
-    stored = materialize(invoice_rows, "invoices")
     return with_previous(
-        stored,
+        invoice_rows,
         ["customer_id"],
         ["order_timestamp", "invoice_no"],
         "order_timestamp",
         "previous_timestamp",
-        split_above,
     )
 
 
-def order_history(transactions: DataFrame, split_above: int = SPLIT_ABOVE_ROWS) -> DataFrame:
-    return history_rows(sequenced(invoices(transactions), split_above))
+def order_history(transactions: DataFrame) -> DataFrame:
+    return history_rows(sequenced(invoices(transactions)))
+
+
+def order_dates(sequenced_invoices: DataFrame) -> DataFrame:
+    """What the gap report needs of the order history: dates, gaps and revenue."""
+    order_date, previous = F.to_date("order_timestamp"), F.to_date("previous_timestamp")
+    return sequenced_invoices.select(
+        "customer_id",
+        "invoice_no",
+        order_date.alias("order_date"),
+        F.col("exact_revenue").cast(MONEY).alias("order_revenue"),
+        previous.alias("previous_order_date"),
+        F.datediff(order_date, previous).alias("days_since_previous_order"),
+    )
 
 
 def history_rows(sequenced_invoices: DataFrame) -> DataFrame:

@@ -179,8 +179,10 @@ def pareto(customer_features: DataFrame) -> DataFrame:
     cumulative = (
         F.col("revenue_before") + F.sum(revenue).over(within) + F.coalesce("carried", F.lit(0))
     )
+    # Slices are in rank order: one exchange by slice serves the window and the final order.
     return (
-        ordered.join(F.broadcast(offsets), SLICE)
+        ordered.repartitionByRange(SLICE)
+        .join(F.broadcast(offsets), SLICE)
         .join(F.broadcast(carried), [SLICE, "monetary"], "left")
         .select(
             rank.alias("customer_rank"),
@@ -189,5 +191,5 @@ def pareto(customer_features: DataFrame) -> DataFrame:
             percent(rank, customers).alias("customer_pct"),
             percent(cumulative, total_revenue).alias("cumulative_revenue_pct"),
         )
-        .orderBy("customer_rank")
+        .sortWithinPartitions("customer_rank")
     )

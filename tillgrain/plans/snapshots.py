@@ -39,8 +39,7 @@ def _tagged(
     tags = [F.when((at >= day(s, -before)) & (at < day(s, after)), F.lit(s)) for s in snapshots]
     return (
         df.filter(in_reach)
-        .withColumn("snapshot_date", F.explode(F.array(*tags)))
-        .filter(F.col("snapshot_date").isNotNull())
+        .withColumn("snapshot_date", F.explode(F.array_compact(F.array(*tags))))
     )
 
 
@@ -69,7 +68,7 @@ def _history_measures(inside: Column, window_start: Column) -> dict[str, Column]
 
 
 def check_spacing(snapshots: Sequence[dt.date], prediction_days: int) -> None:
-    """Snapshots closer than the outcome window would leak outcomes into features."""
+    """Refuse snapshots closer than the outcome window, whose outcomes lie in later features."""
     ordered = sorted(snapshots)
     for earlier, later in zip(ordered, ordered[1:]):
         if (later - earlier).days < prediction_days:
@@ -84,9 +83,14 @@ def snapshot_dataset(
     observation_days: int = OBSERVATION_DAYS,
     prediction_days: int = PREDICTION_DAYS,
     sequenced_invoices: DataFrame | None = None,
+    spaced: bool = False,
 ) -> DataFrame:
-    """Features and outcomes per snapshot and customer with an order in its history."""
-    check_spacing(snapshots, prediction_days)
+    """Features and outcomes per snapshot and customer with an order in its history.
+
+    ``spaced`` asks for ``check_spacing`` first.
+    """
+    if spaced:
+        check_spacing(snapshots, prediction_days)
     orders = sequenced_invoices
     if orders is None:
         orders = sequenced(invoice_totals(transactions))

@@ -27,11 +27,11 @@ IMPUTED = ("avg_days_between_orders",)
 
 @dataclass(frozen=True)
 class ModelSettings:
-    """Sizes of the models. Tree depth is bounded because trained trees are held by
-    the driver: unbounded ones would grow with the training rows."""
+    """Sizes of the models. 30 is the greatest depth that ``pyspark.ml`` allows; lower it
+    where the driver, which holds the trained trees, is short of memory."""
 
     trees: int = 300
-    forest_depth: int = 12
+    forest_depth: int = 30
     forest_leaf_rows: int = 5
     forest_bins: int = 64
     boosting_rounds: int = 200

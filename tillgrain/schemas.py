@@ -97,8 +97,6 @@ EXPORT_COLUMNS = (
 )
 # ---------------------------------------------------------------------------
 
-RAW_LINES = T.StructType([T.StructField(name, T.StringType()) for name in SOURCE_COLUMNS])
-
 CLEAN_LINES = T.StructType(
     [
         T.StructField("invoice_no", T.StringType()),
@@ -137,7 +135,7 @@ MODEL_METRICS = T.StructType(
     ]
 )
 
-# Types of the export columns that only one of the two grains fills.
+# Types of the export columns that only one of the two grains fills.
 TRANSACTION_ONLY = {
     "transaction_id": "bigint",
     "invoice_no": "string",

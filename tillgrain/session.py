@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,15 +32,16 @@ def build_session(app_name: str = "tillgrain", master: str | None = None, **conf
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder: on a cluster
-    a machine-local folder would be lost with its executor.
+    Only a session whose driver and executors are one process may fall back to a temporary
+    folder, which goes when the process ends: on a cluster other machines would not see it.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
         folder = tempfile.mkdtemp(prefix="tillgrain-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

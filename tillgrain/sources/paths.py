@@ -11,8 +11,42 @@ def _resolve(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a pattern of paths, matches anything."""
     files, target = _resolve(spark, path)
-    return files.exists(target)
+    return bool(files.globStatus(target))
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    files, target = _resolve(spark, path)
+    return [s.getPath().getName() for s in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(target, "*")) or ()]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, put in place in one step where the store can rename."""
+    files, target = _resolve(spark, path)
+    _, aside = _resolve(spark, f"{path}.new")
+    files.mkdirs(target.getParent())
+    stream = files.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    files.delete(target, False)
+    if not files.rename(aside, target):
+        raise OSError(f"Could not write {path}.")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if it is missing."""
+    for place in (path, f"{path}.new"):  # the second holds the text between delete and rename
+        files, target = _resolve(spark, place)
+        if files.exists(target):
+            stream = files.open(target)
+            try:
+                size = files.getFileStatus(target).getLen()
+                return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)).decode()
+            finally:
+                stream.close()
+    return None
 
 
 def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:

@@ -17,18 +17,24 @@ def load_periods(
     """Union of all periods, each row tagged with its period in ``source_period``.
 
     CSV columns are named by the header and stay text: nothing is inferred, so
-    values are parsed once, by the cleaning rules. A column that a period lacks
-    is NULL there.
+    values are parsed once, by the cleaning rules. All files of a period must have
+    the same header, or the job that reads them fails. A column that a period lacks is
+    NULL there.
     """
     if not periods:
         raise ValueError("No input periods given.")
-    reader = spark.read.options(**options)
     if file_format == "csv":
-        reader = reader.option("header", True).option("escape", '"')
-    frames = [
-        reader.format(file_format).load(path).withColumn("source_period", F.lit(period))
-        for period, path in periods.items()
-    ]
+        options = {"header": True, "escape": '"', **options}
+
+    def read(path: str) -> DataFrame:
+        found = spark.read.options(**options).format(file_format).load(path)
+        if file_format != "csv":
+            return found
+        # With the names of one file, and each file's header checked against them.
+        checked = spark.read.options(**{**options, "enforceSchema": False}).schema(found.schema)
+        return checked.csv(path)
+
+    frames = [read(path).withColumn("source_period", F.lit(period)) for period, path in periods.items()]
     lines = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     check_columns(lines)
     return lines

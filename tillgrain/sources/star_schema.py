@@ -89,19 +89,28 @@ def dirty_lines(spark: SparkSession, folder: str) -> DataFrame:
         .alias("StockCode"),
         F.when(F.col("l_partkey") % 53 != 0, F.col("p_name")).alias("Description"),
         F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("Quantity"),
-        F.col("o_orderdate").alias("InvoiceDate"),
+        F.when(F.col("l_linenumber") % 3 == 1, F.date_format("o_orderdate", "M/d/yyyy H:mm"))
+        .when(F.col("l_linenumber") % 3 == 2, F.date_format("o_orderdate", "dd-MMM-yyyy H:mm"))
+        .otherwise(F.col("o_orderdate").cast("string"))
+        .alias("InvoiceDate"),
         F.when(F.col("l_partkey") % 97 == 0, F.lit(0.0))
+        .when(F.col("l_partkey") % 89 == 0, F.lit(float("nan")))
         .otherwise(F.col("p_retailprice"))
         .alias("Price"),
         F.when(
+            F.col("o_custkey") % 43 == 0, (F.col("o_custkey") + F.lit(2**53 + 1)).cast("string")
+        )
+        .when(
             F.col("o_custkey") % 41 != 0, F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))
-        ).alias("Customer ID"),
+        )
+        .alias("Customer ID"),
         F.concat(F.lit(" "), F.col("n_name")).alias("Country"),
         _period().alias("source_period"),
         F.col("l_linenumber"),
+        "o_orderdate",
     )
-    repeated_month = (F.col("InvoiceDate") >= _moment(PERIOD_CHANGE)) & (
-        F.col("InvoiceDate") < _moment(REPEATED_UNTIL)
+    repeated_month = (F.col("o_orderdate") >= _moment(PERIOD_CHANGE)) & (
+        F.col("o_orderdate") < _moment(REPEATED_UNTIL)
     )
     # One pass instead of a union of three: each line lists the periods it appears under.
     copies = F.array_compact(
@@ -111,5 +120,5 @@ def dirty_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.when(repeated_month, F.lit("Period A")),
         )
     )
-    kept = [c for c in base.columns if c not in ("source_period", "l_linenumber")]
+    kept = [c for c in base.columns if c not in ("source_period", "l_linenumber", "o_orderdate")]
     return base.select(*kept, F.explode(copies).alias("source_period"))
