@@ -91,3 +91,31 @@ def token_files(docs, path, end_id=1):
         out.add((key, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
     return out
+
+
+def repeated_bytes(docs, length=400):
+    raws = [(key, (text or "").encode()) for key, text in docs]
+    counts = defaultdict(int)
+    for _, raw in raws:
+        for p in range(len(raw) - length + 1):
+            counts[raw[p : p + length]] += 1
+    out = set()
+    for key, raw in raws:
+        hit = bytearray(len(raw))
+        for p in range(len(raw) - length + 1):
+            if counts[raw[p : p + length]] > 1:
+                hit[p : p + length] = b"\1" * length
+        kept = bytes(b for b, h in zip(raw, hit) if not h)
+        spans = len(re.findall(rb"\x01+", bytes(hit)))
+        out.add((key, len(raw), sum(hit), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def article(source):
+    """Main text of the synthetic pages, whose articles hold headings and paragraphs only."""
+    import html
+
+    body = re.search(r"(?s)<article>(.*?)</article>", source)
+    blocks = re.split(r"</?(?:p|h1)>", body[1] if body else "")
+    blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b.replace("<b>", ""))).split()) for b in blocks)
+    return "\n\n".join(b for b in blocks if b)

@@ -124,6 +124,11 @@ def append_columns(
     return mapped.select("row.*", "found.*")
 
 
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """All of ``df`` as one struct ``_row`` beside the named columns: no name can clash."""
+    return df.select(F.struct("*").alias("_row"), *[F.col(c) for c in columns])
+
+
 def labelled_sample(
     texts: DataFrame, labels: DataFrame, rows: int, limit: int
 ) -> list[tuple[int, str, Any]]:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes, map_texts, stored
+from tillgrain.llm.rows import append_columns, as_bytes, map_texts, packed, stored
 
 BITS = 64
 HASH_SEED = 42
@@ -111,7 +111,8 @@ def links(distinct: DataFrame, budget: int) -> DataFrame:
         ).agg(F.count(F.lit(1)).alias("leaves"))
         left = children.select("trie", F.col("node").alias("a"), F.col("child").alias("ca"), "leaves")
         right = children.select("trie", F.col("node").alias("b"), F.col("child").alias("cb"))
-        errors = (F.col("errors") + F.bit_count(F.col("ca").bitwiseXOR(F.col("cb")))).cast("int")
+        below = F.col("ca").bitwiseXOR(F.col("cb")).bitwiseAND(F.lit((1 << (lower - depth)) - 1))
+        errors = (F.col("errors") + F.bit_count(below)).cast("int")
         ordered = (F.col("a") != F.col("b")) | (F.col("ca") <= F.col("cb"))
         # A node paired with itself is worth keeping only while it has two leaves.
         alone = (F.col("ca") == F.col("cb")) & (F.col("leaves") == 1)
@@ -206,11 +207,11 @@ def deduplicated(documents: DataFrame, words: int = 5, budget: int = 2) -> DataF
 
     Rows that share this id and its fingerprint count as one.
     """
-    found = append_columns(documents, as_bytes(), _row_prints, [("_bits", pa.int64(), "bigint")], words)
-    prints = stored(found.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("_bits").alias("bits")), "fingerprints")
+    rows = packed(documents, "doc_id", "text").withColumn("_id", F.col("doc_id").cast("bigint"))
+    rows = append_columns(rows.drop("doc_id"), as_bytes(), _row_prints, [("_bits", pa.int64(), "bigint")], words)
+    prints = stored(rows.select(F.col("_id").alias("doc_id"), F.col("_bits").alias("bits")), "fingerprints")
     known = _components(prints, budget)
     one = F.min(F.struct(F.col("first").isNull(), "first", F.col("bits").alias("print"))).alias("one")
     stays = known.groupBy("root").agg(one).select("one.first", "one.print")
-    rows = found.select(F.struct(*documents.columns).alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), "_bits")
-    kept = rows.join(stays, (F.col("_bits") == F.col("print")) & F.col("_id").eqNullSafe(F.col("first")))
+    kept = rows.select("_row", "_id", "_bits").join(stays, (F.col("_bits") == F.col("print")) & F.col("_id").eqNullSafe(F.col("first")))
     return kept.dropDuplicates(["_id", "_bits"]).select("_row.*")

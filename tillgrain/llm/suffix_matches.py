@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes
+from tillgrain.llm.rows import append_columns, as_bytes, packed
 
 WINDOW = 13
 CUT = 20
@@ -242,4 +242,4 @@ def match_digests(documents: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """``documents`` without those that are contaminated."""
     _, contaminated = _verdict(CUT)
-    return with_matches(documents, items).filter(~contaminated).select(*documents.columns)
+    return with_matches(packed(documents, "text"), items).filter(~contaminated).select("_row.*")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes, map_texts
+from tillgrain.llm.rows import append_columns, as_bytes, map_texts, packed
 
 ROUNDS = 6
 
@@ -345,11 +345,9 @@ def _list(parts: Iterator[pa.RecordBatch], key: bytes):
 def with_surrogates(documents: DataFrame, key: bytes) -> DataFrame:
     """``documents`` with their texts replaced, and ``_entities``, the number of replacements."""
     fields = [("_text", pa.binary(), "binary"), REPLACED[1]]
-    found = append_columns(documents, as_bytes(), _replace, fields, key)
-    columns = [
-        F.when(F.col("text").isNotNull(), F.col("_text").cast("string")).alias("text") if c == "text" else F.col(c)
-        for c in documents.columns
-    ]
+    found = append_columns(packed(documents, "text"), as_bytes(), _replace, fields, key)
+    text = F.when(F.col("text").isNotNull(), F.col("_text").cast("string")).alias("text")
+    columns = [text if c == "text" else F.col(f"_row.`{c}`") for c in documents.columns]
     return found.select(*columns, "_entities")
 
 

@@ -165,10 +165,11 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.known: dict[str, tuple[float, int]] = {}
+        self.fitted = bool(model.weight.any())
 
     def __call__(self, text: str) -> float:
         words = words_of(text)
-        if not words:
+        if not words or not self.fitted:
             return self.model.base
         known = self.known
         if len(known) > REMEMBERED_WORDS:

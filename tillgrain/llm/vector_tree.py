@@ -39,6 +39,8 @@ ITERATIONS = 8
 CALIBRATION_QUERIES = 100
 TARGET_RECALL = 0.95
 BLOCK_ROWS = 8192
+#: Leaves whose rows set the score that those of later leaves must reach.
+FIRST_LEAVES = 4
 RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 
 
@@ -198,7 +200,7 @@ def _visits(parts: Iterator[pa.RecordBatch], tree, count: int):
             for i, leaf in enumerate(tree.value.visits(query)):
                 if i == count:
                     break
-                rows.append((key, leaf, raw))
+                rows.append((key, leaf, i, raw))
             if len(rows) > 20_000:
                 yield rows
                 rows = []
@@ -216,19 +218,19 @@ def _block_best(n: int):
         asked, hits, values = [], [], []
         for at in range(0, len(left), 256):
             some = left.iloc[at : at + 256]
+            queries = some["query"].to_numpy()
             scores = np.array(some["embedding"].tolist(), dtype=np.float64) @ vectors.T
-            if scores.shape[1] > n:
-                mine = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-                cut = np.take_along_axis(scores, mine, axis=1).min(axis=1)
+            good = scores >= some["least"].to_numpy()[:, None]
+            for i in np.flatnonzero(good.sum(axis=1) > n):
                 # Where equal scores straddle the cut, the smaller ids win.
-                for i in np.flatnonzero((scores >= cut[:, None]).sum(axis=1) > n):
-                    tied = np.flatnonzero(scores[i] >= cut[i])
-                    mine[i] = tied[np.argsort(-scores[i][tied], kind="stable")][:n]
-            else:
-                mine = np.tile(np.arange(scores.shape[1]), (len(scores), 1))
-            asked.append(np.repeat(some["query"].to_numpy(), mine.shape[1]))
-            hits.append(keys[mine].ravel())
-            values.append(np.take_along_axis(scores, mine, axis=1).ravel())
+                cut = np.partition(scores[i], len(keys) - n)[len(keys) - n]
+                tied = np.flatnonzero(scores[i] >= cut)
+                good[i] = False
+                good[i, tied[np.argsort(-scores[i][tied], kind="stable")][:n]] = True
+            rows, columns = np.nonzero(good)
+            asked.append(queries[rows])
+            hits.append(keys[columns])
+            values.append(scores[rows, columns])
         return pd.DataFrame(
             {"query": np.concatenate(asked), "vec_id": np.concatenate(hits), "score": np.concatenate(values)}
         )
@@ -236,6 +238,38 @@ def _block_best(n: int):
     return best
 
 
+def _searched(visits: DataFrame, index: DataFrame, n: int) -> DataFrame:
+    """The best rows of each visited leaf by block: query, vec_id, score.
+
+    Leaves and their visits meet in blocks of about ``BLOCK_ROWS`` rows on either side; the
+    tables of sizes have one row per leaf.
+    """
+    find_package(visits)
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        size = F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int")
+        return df.groupBy("leaf").agg(size.alias(name))
+
+    sizes = blocks(index, "rows").join(blocks(visits, "asks"), "leaf")
+    left = (
+        visits.join(sizes, "leaf")
+        .withColumn("ask", F.pmod(F.xxhash64("query"), F.col("asks")))
+        .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+        .select("leaf", "ask", F.col("row").cast("bigint").alias("row"), "query", "embedding", "least")
+    )
+    right = (
+        index.join(sizes, "leaf")
+        .withColumn("row", F.pmod(F.xxhash64("vec_id"), F.col("rows")))
+        .withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
+        .select("leaf", F.col("ask").cast("bigint").alias("ask"), "row", "vec_id", "embedding")
+    )
+    key = ["leaf", "ask", "row"]
+    return (
+        left.groupBy(*key).cogroup(right.groupBy(*key))
+        .applyInPandas(_block_best(n), "query bigint, vec_id bigint, score double")
+    )
+
+
 def nearest(table: DataFrame, is_query, neighbours: int = 20) -> DataFrame:
     """Per query row: query_id, rank from 1, vec_id, score; ``is_query`` is a condition on vec_id."""
     spark = table.sparkSession
@@ -269,34 +303,17 @@ def nearest(table: DataFrame, is_query, neighbours: int = 20) -> DataFrame:
     wanted = asked.select(F.col("query").alias("vec_id")).distinct()
     queries = stored(wanted.join(index.select("vec_id", "embedding"), "vec_id"), "distinct-queries")
     count, _ = calibrated_visits(index, tree, queries, n)
-    fields = [("query", pa.int64(), "bigint"), ("leaf", pa.int64(), "bigint"), ("embedding", pa.list_(pa.float32()), "array<float>")]
+    fields = [("query", pa.int64(), "bigint"), ("leaf", pa.int64(), "bigint"), ("place", pa.int64(), "bigint"), ("embedding", pa.list_(pa.float32()), "array<float>")]
     visits = stored(_mapped(queries.select("vec_id", "embedding"), _visits, fields, sent, count), "visits")
 
-    # Leaves and their queries in blocks; one row per leaf in either table of sizes.
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        size = F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int")
-        return df.groupBy("leaf").agg(size.alias(name))
-
-    sizes = blocks(index, "rows").join(blocks(visits, "asks"), "leaf")
-    find_package(table)
-    left = (
-        visits.join(sizes, "leaf")
-        .withColumn("ask", F.pmod(F.xxhash64("query"), F.col("asks")))
-        .withColumn("row", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
-        .select("leaf", "ask", F.col("row").cast("bigint").alias("row"), "query", "embedding")
-    )
-    right = (
-        index.join(sizes, "leaf")
-        .withColumn("row", F.pmod(F.xxhash64("vec_id"), F.col("rows")))
-        .withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
-        .select("leaf", F.col("ask").cast("bigint").alias("ask"), "row", "vec_id", "embedding")
-    )
-    key = ["leaf", "ask", "row"]
-    found = (
-        left.groupBy(*key).cogroup(right.groupBy(*key))
-        .applyInPandas(_block_best(n), "query bigint, vec_id bigint, score double")
+    # The first leaves give every query a score to beat; the others return only what reaches it.
+    open_ = visits.filter(F.col("place") < FIRST_LEAVES).withColumn("least", F.lit(float("-inf")))
+    first = stored(_top(_searched(open_, index, n), ["query"], n), "first-leaves")
+    reached = F.when(F.count(F.lit(1)) >= n, F.min("score")).otherwise(F.lit(float("-inf")))
+    rest = visits.filter(F.col("place") >= FIRST_LEAVES).join(
+        first.groupBy("query").agg(reached.alias("least")), "query"
     )
-    best = _top(found, ["query"], n)
+    best = _top(first.unionByName(_searched(rest, index, n)), ["query"], n)
     named = best.join(index.select("vec_id", "ids"), "vec_id").select(
         "query", "score", F.explode("ids").alias("vec_id")
     )

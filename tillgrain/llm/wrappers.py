@@ -71,6 +71,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_CLASS = re.compile(r"(?i)\bclass\s*=\s*[\"']?([^\"'>]*)")
+_DIGITS = re.compile(r"\d+")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 MAIN, PLAIN, NOISE = "main", "plain", "noise"
@@ -167,7 +169,9 @@ def read_page(source: str) -> Page:
                     region = NOISE
                 elif name in ("article", "main") and region != NOISE:
                     region, inside = MAIN, True
-            page.parts.append(f"<{name}>")
+            kind = _CLASS.search(rest) if rest else None
+            mark = "." + _DIGITS.sub("0", ".".join(kind[1].lower().split())) if kind else ""
+            page.parts.append(f"<{name}{mark}>")
         page.texts.append(None)
         page.regions.append(region)
         page.blocks.append(block)
