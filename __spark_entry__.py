@@ -18,7 +18,7 @@ import oracle_queries  # noqa: E402
 from tillgrain.operators.materialize import materialize  # noqa: E402
 from tillgrain.operators.ordered import exact_medians  # noqa: E402
 from tillgrain.plans import cleaning, clusters, customers, dashboard, metrics  # noqa: E402
-from tillgrain.plans import orders, performance, reports, scoring, snapshots  # noqa: E402
+from tillgrain.plans import orders, performance, quality, reports, scoring, snapshots  # noqa: E402
 from tillgrain.plans import training  # noqa: E402
 from tillgrain.sources import star_schema  # noqa: E402
 
@@ -216,6 +216,23 @@ def _feature_medians(spark: SparkSession, folder: str) -> DataFrame:
     return spark.range(1).select(*[F.lit(found[n]).alias(n) for n in names])
 
 
+def _run_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks of a run as counts: rules on raw lines, scores and keys."""
+    price = F.col("unit_price").cast("decimal(12,3)")
+    quantity = F.col("quantity").cast("int")
+    lines = _distinct(spark, folder).withColumns(
+        {"quantity": quantity, "unit_price": price, "revenue": quantity * price}
+    )
+    scores = _stand_in_scores(spark, folder)
+    current = _current(spark, folder)
+    return (
+        quality.violation_rows(lines, quality.transaction_rules(), "raw lines")
+        .unionByName(quality.violation_rows(scores, quality.analytics_rules(), "scores"))
+        .unionByName(quality.key_violations(scores, current, "customer_id", "scores"))
+        .unionByName(quality.key_violations(lines, current, "customer_id", "raw lines"))
+    )
+
+
 def _cluster_profile_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Profiles of clusters that SQL can assign as well."""
     number = (F.col("customer_id").cast("long") % 2).cast("int")
@@ -282,6 +299,10 @@ def _own_queries() -> dict[str, Query]:
         "metrics_report": _metrics_report,
         "feature_medians": _feature_medians,
         "cluster_profile_rules": _cluster_profile_rules,
+        "run_checks": _run_checks,
+        "split_summary": lambda s, d: training.split_summary(_training(s, d)),
+        "value_targets": lambda s, d: training.value_targets(_training(s, d)),
+        "scaled_measures": lambda s, d: clusters.scaled_measures(_customer_features(s, d)),
         "rfm_clusters": lambda s, d: _clustering(s, d).assigned.select("customer_id", "rfm_cluster"),
         "cluster_profiles": lambda s, d: _clustering(s, d).profiles,
         "model_metrics": lambda s, d: reports.metrics_report(_models(s, d).metrics),

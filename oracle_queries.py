@@ -358,6 +358,80 @@ SELECT count(*) AS raw_rows,
        (SELECT strftime(max(invoice_date), '%Y-%m-%dT%H:%M:%S') FROM kept) AS clean_date_max,
        (SELECT CAST(sum(revenue) AS DECIMAL(38,3)) FROM kept) AS clean_revenue
 FROM tidy""",
+        ),
+        "run_checks": _with(
+            LINES + ORDERS + ANALYTICS + "," + DIRTY.strip(),
+            """,
+raw_lines AS (
+  SELECT *, CAST(price AS DECIMAL(12,3)) AS unit_price,
+         CAST(quantity AS INTEGER) * CAST(price AS DECIMAL(12,3)) AS revenue
+  FROM (SELECT DISTINCT * FROM tidy)),
+broken AS (
+  SELECT 'raw lines' AS table_name, unnest(['invoice_no missing', 'stock_code missing',
+      'invoice_date missing', 'customer_id missing', 'country missing', 'source_period missing',
+      'quantity not positive', 'unit_price not positive', 'revenue not positive',
+      'revenue differs from quantity x price']) AS rule,
+    unnest([count(*) - count(invoice_no), count(*) - count(stock_code),
+      count(*) - count(invoice_date), count(*) - count(customer_id), count(*) - count(country),
+      count(*) - count(source_period), count(*) - count_if(quantity > 0),
+      count(*) - count_if(unit_price > 0), count(*) - count_if(revenue > 0),
+      count(*) - count(revenue)]) AS broken
+  FROM raw_lines
+  UNION ALL
+  SELECT 'scores', unnest(['customer_id missing', 'churn_score_method missing',
+      'rfm_cluster negative', 'churn_probability outside 0-1', 'churn_risk_band unknown',
+      'predicted_90d_value negative']),
+    unnest([count(*) - count(customer_id), count(*) - count(churn_score_method),
+      count(*) - count_if(rfm_cluster >= 0), count(*) - count_if(churn_probability BETWEEN 0 AND 1),
+      count(*) - count_if(churn_risk_band IN ('Low', 'Medium', 'High')),
+      count(*) - count_if(predicted_90d_value >= 0)])
+  FROM analytics
+  UNION ALL
+  SELECT 'scores', 'customer_id without parent', count(*) FROM analytics
+  WHERE customer_id NOT IN (SELECT customer_id FROM analytics)
+  UNION ALL
+  SELECT 'scores', 'customer_id repeated', count(*)
+  FROM (SELECT customer_id FROM analytics GROUP BY customer_id HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'raw lines', 'customer_id without parent', count(*) FROM raw_lines
+  WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM analytics)
+  UNION ALL
+  SELECT 'raw lines', 'customer_id repeated', count(*)
+  FROM (SELECT customer_id FROM raw_lines GROUP BY customer_id HAVING count(*) > 1))
+SELECT table_name, rule, CAST(broken AS BIGINT) AS broken FROM broken""",
+        ),
+        "split_summary": _with(
+            LINES + SNAPSHOTS,
+            """,
+parts AS (
+  SELECT CASE dense_rank() OVER (ORDER BY snapshot_date DESC)
+              WHEN 1 THEN 'test' WHEN 2 THEN 'validation' ELSE 'train' END AS split, churn
+  FROM training)
+SELECT split, churn, count(*) AS customers,
+       round(sum(count(*)) OVER (PARTITION BY split)
+             / (count(*) OVER (PARTITION BY split) * count(*)), 9) AS class_weight
+FROM parts GROUP BY split, churn""",
+        ),
+        "value_targets": _with(
+            LINES + SNAPSHOTS,
+            """
+SELECT snapshot_date, customer_id,
+       round(ln(1 + greatest(CAST(future_revenue AS DOUBLE), 0)), 6) AS log_revenue,
+       round(greatest(CAST(future_revenue AS DOUBLE), 0), 3) AS value
+FROM training""",
+        ),
+        "scaled_measures": _with(
+            LINES + FEATURES,
+            """,
+logs AS (
+  SELECT customer_id, ln(1 + greatest(CAST(recency_days AS DOUBLE), 0)) AS r,
+         ln(1 + greatest(CAST(frequency AS DOUBLE), 0)) AS f,
+         ln(1 + greatest(CAST(monetary AS DOUBLE), 0)) AS m
+  FROM features)
+SELECT customer_id, round((r - avg(r) OVER ()) / stddev_samp(r) OVER (), 6) AS scaled_recency_days,
+       round((f - avg(f) OVER ()) / stddev_samp(f) OVER (), 6) AS scaled_frequency,
+       round((m - avg(m) OVER ()) / stddev_samp(m) OVER (), 6) AS scaled_monetary
+FROM logs""",
         ),
         "order_history": _with(LINES + ORDERS + HISTORY, "SELECT * FROM history"),
         "customer_features": _with(LINES + FEATURES, "SELECT * FROM features"),

@@ -14,6 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,15 @@ def _scaling() -> Pipeline:
     )
 
 
+def scaled_measures(customer_features: DataFrame) -> DataFrame:
+    """What the clustering sees of each customer: log measures scaled to mean 0 and deviation 1."""
+    scaled = _scaling().fit(customer_features).transform(customer_features)
+    values = vector_to_array("scaled_rfm")
+    return scaled.select(
+        "customer_id", *[F.round(values[i], 6).alias(f"scaled_{m}") for i, m in enumerate(MEASURES)]
+    )
+
+
 def fit_rfm_clusters(
     customer_features: DataFrame,
     ks: Sequence[int] = range(2, 7),

@@ -17,6 +17,30 @@ def violations(df: DataFrame, rules: Mapping[str, Column]) -> dict[str, int]:
     return counted.asDict()
 
 
+def violation_rows(df: DataFrame, rules: Mapping[str, Column], table: str) -> DataFrame:
+    """One row per rule: table_name, rule, broken (rows); one aggregate over ``df``."""
+    counted = df.agg(
+        *[F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+    )
+    return counted.unpivot([], counted.columns, "rule", "broken").select(
+        F.lit(table).alias("table_name"), "rule", "broken"
+    )
+
+
+def key_violations(child: DataFrame, parent: DataFrame, key: str, table: str) -> DataFrame:
+    """Keys of ``child`` without a parent row, and keys that occur more than once."""
+    orphans = child.select(key).join(parent.select(key), key, "left_anti")
+    repeated = child.groupBy(key).count().filter(F.col("count") > 1)
+    found = [(orphans, f"{key} without parent"), (repeated, f"{key} repeated")]
+    rows = [
+        df.agg(F.count(F.lit(1)).alias("broken")).select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "broken"
+        )
+        for df, rule in found
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def require(df: DataFrame, rules: Mapping[str, Column], table: str) -> int:
     """Row count of ``df``; raises if it is empty or breaks a rule."""
     found = violations(df, rules)

@@ -12,7 +12,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrain.operators.materialize import materialize
@@ -69,6 +69,31 @@ def temporal_split(snapshots: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     )
 
 
+def split_summary(snapshots: DataFrame) -> DataFrame:
+    """Per part of the temporal split and outcome: rows and the weight that balances outcomes."""
+    parts = zip(("train", "validation", "test"), temporal_split(snapshots)[:3])
+    counted = [
+        rows.groupBy("churn").agg(F.count(F.lit(1)).alias("customers"))
+        .select(F.lit(name).alias("split"), "churn", "customers")
+        for name, rows in parts
+    ]
+    table = counted[0].unionByName(counted[1]).unionByName(counted[2])
+    whole = Window.partitionBy("split")  # two rows per split
+    weight = F.sum("customers").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("customers"))
+    return table.withColumn("class_weight", F.round(weight, 9))
+
+
+def value_targets(snapshots: DataFrame) -> DataFrame:
+    """The target of the value model per row, and the value its inverse gives back."""
+    target = F.log1p(F.greatest(F.col("future_revenue").cast("double"), F.lit(0.0)))
+    return snapshots.select(
+        "snapshot_date",
+        "customer_id",
+        F.round(target, 6).alias("log_revenue"),
+        F.round(F.greatest(F.expm1(target), F.lit(0.0)), 3).alias("value"),
+    )
+
+
 def _inputs(medians: Mapping[str, float]) -> list:
     """Stages that turn feature columns into one vector, missing values set to medians."""
 
