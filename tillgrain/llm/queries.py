@@ -42,9 +42,10 @@ def _language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_matches.match_digests(
+    found = suffix_matches.match_digests(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+    return found.drop("hit_starts", "hit_ends")
 
 
 def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,5 +102,41 @@ def queries() -> dict[str, Query]:
     }
 
 
+# The words of a text, windows of its items, and what they cover of each document.
+DECONTAMINATION_SQL = r"""
+WITH lettered AS (
+  SELECT row_number() OVER () AS line, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+tests AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i : i + size - 1], ' ') AS phrase
+  FROM (SELECT item_id, words, least(13, len(words)) AS size,
+               unnest(generate_series(1, len(words) - least(13, len(words)) + 1)) AS i
+        FROM tests WHERE len(words) > 0)),
+places AS (
+  SELECT line, size, unnest(generate_series(1, len(words) - size + 1)) AS i, words
+  FROM lettered, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size),
+hits AS (
+  SELECT line, item_id, i, size
+  FROM (SELECT line, size, i, array_to_string(words[i : i + size - 1], ' ') AS phrase FROM places)
+       JOIN windows USING (size, phrase)),
+covered AS (
+  SELECT line, count(DISTINCT place) AS n_hit
+  FROM (SELECT line, unnest(generate_series(i, i + size - 1)) AS place FROM hits) GROUP BY line),
+named AS (
+  SELECT line, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT line, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY line)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM lettered LEFT JOIN covered USING (line) LEFT JOIN named USING (line)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for DuckDB, where it can say what an operator does at a bearable cost."""
+    return {"op3_decontamination": DECONTAMINATION_SQL}
