@@ -27,7 +27,6 @@ own; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -37,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes, map_texts, stored
+from tillgrain.llm.rows import Passing, append_columns, as_bytes, map_texts, stored
 
 LENGTH = 400
 GRAM = 16
@@ -144,18 +143,20 @@ def _keyed(documents: DataFrame) -> DataFrame:
     )
 
 
-def _release(df: DataFrame) -> None:
-    """Spark drops the shuffle files of finished steps once the driver's garbage is collected."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def _ranked(blocks: DataFrame) -> DataFrame:
-    """Contents of shared cores: core, content, n (blocks with it), kinds (contents of the core)."""
-    contents = blocks.groupBy("core", "content").agg(F.count(F.lit(1)).alias("n"))
+    """Contents of shared cores: core, content, n (blocks with it), kinds (contents of the core).
+
+    Both sides of the join are stored, so Spark can split a core with very many contents.
+    """
+    passing = Passing(blocks.sparkSession)
+    contents = passing.stored(
+        blocks.groupBy("core", "content").agg(F.count(F.lit(1)).alias("n")), "contents"
+    )
     cores = contents.groupBy("core").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
-    shared = cores.filter("all > 1").select("core", "kinds")
-    return contents.join(shared, "core")
+    shared = passing.stored(cores.filter("all > 1").select("core", "kinds"), "shared-cores")
+    ranked = stored(contents.join(shared, "core"), "ranks")
+    passing.drop()
+    return ranked
 
 
 def _half(items: DataFrame, size: int, length: int, right: bool) -> DataFrame:
@@ -197,11 +198,10 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """Runs of starts of repeated strings: k1, k2, first, last; runs of one text may touch."""
     keyed = _keyed(documents)
     blocks = map_texts(keyed.select(*KEYS, "body"), "body", _blocks, BLOCKS, length)
-    ranked = stored(_ranked(blocks.select("core", "content")), "ranks")
-    _release(ranked)
+    ranked = _ranked(blocks.select("core", "content"))
+    passing = Passing(documents.sparkSession)
     # Places of contents that are repeated or share their core with others; texts are read again.
-    places = stored(blocks.join(ranked, ["core", "content"]).filter("n > 1 or kinds > 1"), "places")
-    _release(places)
+    places = passing.stored(blocks.join(ranked, ["core", "content"]).filter("n > 1 or kinds > 1"), "places")
     starts = [(F.col("anchor") - F.col("high")).alias("first"), (F.col("anchor") - F.col("low")).alias("last")]
     found = [stored(places.filter("n > 1").select(*KEYS, *starts), "starts")]
     one = F.min(F.struct("k1", "k2", "anchor", "low", "high")).alias("one")
@@ -212,7 +212,7 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     asked = keyed.select(*KEYS, "body").join(wanted, KEYS)
     items = stored(_context_rows(asked, length).dropDuplicates(["k1", "k2", "anchor", "low"]), "contexts")
-    _release(items)
+    passing.drop()
     size = BLOCK
     while size > 1 and not items.isEmpty():
         halves = stored(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
@@ -11,7 +12,8 @@ from pyarrow import compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.operators.materialize import materialize
+from tillgrain.operators.materialize import materialize, recording_intermediates
+from tillgrain.sources.paths import delete
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text that a task holds decoded at once; one longer text is a slice of its own.
@@ -162,3 +164,23 @@ def labelled_sample(
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by a table in the shared folder of the session."""
     return materialize(df, f"llm-{label}")
+
+
+class Passing:
+    """Tables that only the next step reads: ``drop`` deletes those stored through it so far."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        with recording_intermediates() as written:
+            found = stored(df, label)
+        self.paths += written
+        return found
+
+    def drop(self) -> None:
+        """Also lets Spark drop shuffle files of finished steps, once garbage is collected."""
+        while self.paths:
+            delete(self.spark, self.paths.pop())
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
