@@ -15,10 +15,11 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -27,12 +28,21 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tillgrain.llm.rows import as_bytes, map_texts, stored, text_of
 from tillgrain.session import shared_folder
 
 #: Distinct words whose ids a worker remembers before it starts over.
 REMEMBERED_WORDS = 500_000
+#: Letters below this point are Latin ones that all Unicode versions agree on.
+LATIN_END = "\u0250"
+
+
+def _composed(word: str) -> bool:
+    return word.isascii() or (word.isalpha() and unicodedata.is_normalized("NFC", word))
+
+
 # ASCII punctuation but the apostrophe, which opens a token of its own kind with letters.
 PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 # White space of str.split() that the tokenizer's \s does not know.
@@ -73,14 +83,19 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, kind: str, remembered: int = REMEMBERED_WORDS):
-        self.tokenizer, self.kind, self.remembered = tokenizer(path), kind, remembered
+        self.tokenizer, self.remembered = tokenizer(path), remembered
+        self.dtype, self.kind = kind, {"<u2": "H", "<u4": "I"}[kind]
         self.known: dict[str, bytes] = {}
-        # Lower-case ASCII letters pass normalisation and splitting as they are: the model alone.
+        # Composed lower-case Latin letters pass normalisation and splitting as they are. For ASCII
+        # that leaves the model alone, for the others the step that spells bytes as characters.
         self.plain = type(self.tokenizer)(self.tokenizer.model)
+        self.latin = type(self.tokenizer)(self.tokenizer.model)
+        self.latin.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
 
     def _ask(self, words: set[str]) -> None:
         """Learn new words: letters and a closing run of ASCII punctuation are never one token."""
-        known, encode, plain = self.known, self.tokenizer.encode, self.plain.encode
+        known, encode = self.known, self.tokenizer.encode
+        plain, latin = self.plain.encode, self.latin.encode
         whole, parts = [], []
         for word in words:
             head = word.rstrip(PUNCTUATION)
@@ -90,18 +105,13 @@ class WordEncoder:
                 whole.append(word)
         needed = dict.fromkeys(whole)
         needed.update((x, None) for _, head, tail in parts for x in (head, tail) if x not in known)
-        ids = [
-            plain(w.lower()).ids
-            if w.isascii() and w.isalpha()
-            else encode(w, add_special_tokens=False).ids
-            for w in needed
-        ]
-        flat = np.fromiter(chain.from_iterable(ids), dtype=self.kind).tobytes()
-        ends = np.cumsum([len(x) for x in ids]) * np.dtype(self.kind).itemsize
-        start = 0
-        for word, end in zip(needed, ends.tolist()):
-            known[word] = flat[start:end]
-            start = end
+        kind = self.kind
+        for word in needed:
+            if word.isalpha() and (low := word.lower()) and max(low) < LATIN_END and _composed(low):
+                ids = (plain if low.isascii() else latin)(low).ids
+            else:
+                ids = encode(word, add_special_tokens=False).ids
+            known[word] = struct.pack(f"<{len(ids)}{kind}", *ids)
         known.update((word, known[head] + known[tail]) for word, head, tail in parts)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -117,7 +127,7 @@ class WordEncoder:
         return [
             b"".join(map(known, words))
             if words is not None
-            else np.array(whole.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+            else np.array(whole.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
             for text, words in zip(texts, split)
         ]
 
