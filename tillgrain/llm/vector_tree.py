@@ -34,7 +34,7 @@ from tillgrain.llm.rows import batch_of, find_package, stored
 
 SAMPLE_ROWS = 20_000
 BRANCHES = 8
-LEAF_SAMPLE_ROWS = 256
+LEAF_SAMPLE_ROWS = 512
 ITERATIONS = 8
 CALIBRATION_QUERIES = 100
 TARGET_RECALL = 0.95
