@@ -58,7 +58,7 @@ def fit_rfm_clusters(
     ks: Sequence[int] = range(2, 7),
     sweep_restarts: int = 20,
     final_restarts: int = 30,
-    parallel: int = 4,
+    parallel: int = 8,
 ) -> Clustering:
     """Pick k by silhouette over all customers, then keep the fit of lowest cost.
 
