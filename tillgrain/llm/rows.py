@@ -179,8 +179,11 @@ class Passing:
         return found
 
     def drop(self) -> None:
-        """Also lets Spark drop shuffle files of finished steps, once garbage is collected."""
         while self.paths:
             delete(self.spark, self.paths.pop())
+        self.release()
+
+    def release(self) -> None:
+        """Spark drops the shuffle files of finished steps once the driver's garbage is collected."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()

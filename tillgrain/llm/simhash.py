@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes, map_texts, packed, stored
+from tillgrain.llm.rows import Passing, append_columns, as_bytes, map_texts, packed, stored
 
 BITS = 64
 HASH_SEED = 42
@@ -250,11 +250,13 @@ def _long_prints(parts: Iterator[pa.RecordBatch], words: int):
         yield [(*n, k) for n, k in zip(numbers, nodes)]
 
 
-def _differing(left: str, right: str) -> Column:
-    total = F.lit(0)
-    for w in WORDS:
-        total = total + F.bit_count(F.col(f"{left}{w}").bitwiseXOR(F.col(f"{right}{w}")))
-    return total
+def _alike(pairs: DataFrame, prints: DataFrame, budget: int) -> DataFrame:
+    """Pairs vertex, other with ``near``: whether their fingerprints lie within the budget."""
+    one = prints.select("vertex", F.array(*WORDS).alias("x"))
+    two = prints.select(F.col("vertex").alias("other"), F.array(*WORDS).alias("y"))
+    met = pairs.join(one, "vertex").join(two, "other")
+    errors = sum(F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(len(WORDS)))
+    return met.select("vertex", "other", (errors <= budget).alias("near"))
 
 
 def similar_links(distinct: DataFrame, budget: int = LONG_BUDGET) -> DataFrame:
@@ -264,36 +266,41 @@ def similar_links(distinct: DataFrame, budget: int = LONG_BUDGET) -> DataFrame:
     choice needs no more than partial aggregation; those alike to neither go on among
     themselves until none is left. So a node of n alike texts yields 2n pairs, not n squared.
     """
-    one = F.struct("vertex", *WORDS)
-    members = distinct.select("vertex", *WORDS, F.posexplode("nodes").alias("trie", "node"))
+    prints = distinct.select("vertex", *WORDS)
+    members = distinct.select("vertex", F.posexplode("nodes").alias("trie", "node")).select(
+        F.shiftleft("trie", PATH_BITS).bitwiseOR(F.col("node")).alias("place"), "vertex"
+    )
     found = None
+    passing = Passing(distinct.sparkSession)
     while True:
-        ends = (
-            members.groupBy("trie", "node")
-            .agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count(F.lit(1)).alias("n"))
-            .filter("n > 1")
+        ends = passing.stored(
+            members.groupBy("place")
+            .agg(F.min("vertex").alias("low"), F.max("vertex").alias("high"), F.count(F.lit(1)).alias("n"))
+            .filter("n > 1"),
+            "ends",
         )
-        met = members.join(ends, ["trie", "node"])
-        near = [_differing("", f"{side}.") <= budget for side in ("low", "high")]
-        judged = stored(
-            met.select(
-                "trie", "node", "vertex", *WORDS, "n",
-                F.col("low.vertex").alias("low"), F.col("high.vertex").alias("high"),
-                near[0].alias("near_low"), near[1].alias("near_high"),
-            ),
-            "met",
+        passing.release()
+        met = stored(members.join(ends, "place").select("place", "vertex", "low", "high", "n"), "met")
+        passing.drop()
+        pairs = met.select("vertex", F.explode(F.array("low", "high")).alias("other"))
+        pairs = passing.stored(pairs.filter("vertex != other").distinct(), "met-pairs")
+        judged = passing.stored(_alike(pairs, prints, budget), "judged")
+        new = stored(
+            judged.filter("near")
+            .select(F.least("vertex", "other").alias("a"), F.greatest("vertex", "other").alias("b")).distinct(),
+            "similar",
         )
-        pairs = [
-            judged.filter(f"near_{side} and vertex != {side}")
-            .select(F.least("vertex", side).alias("a"), F.greatest("vertex", side).alias("b"))
-            for side in ("low", "high")
-        ]
-        new = stored(pairs[0].unionByName(pairs[1]).distinct(), "similar")
         found = new if found is None else found.unionByName(new)
-        rest = judged.filter("n > 2 and not near_low and not near_high").select("vertex", *WORDS, "trie", "node")
-        if rest.isEmpty():
+        apart = judged.filter("not near").drop("near")
+        rest = (
+            met.filter("n > 2 and vertex != low and vertex != high")
+            .join(apart.withColumnRenamed("other", "low"), ["vertex", "low"], "left_semi")
+            .join(apart.withColumnRenamed("other", "high"), ["vertex", "high"], "left_semi")
+        )
+        members = stored(rest.select("place", "vertex"), "rest")
+        passing.drop()
+        if members.isEmpty():
             return found.distinct()
-        members = rest
 
 
 def similar_removed(documents: DataFrame, words: int = 5) -> DataFrame:
@@ -304,10 +311,10 @@ def similar_removed(documents: DataFrame, words: int = 5) -> DataFrame:
     rows = packed(documents, "doc_id", "text").withColumn("_id", F.col("doc_id").cast("bigint"))
     rows = append_columns(rows.drop("doc_id"), as_bytes(), _long_prints, LONG_PRINTS, words)
     rows = rows.withColumn("_vertex", F.xxhash64(*[f"_{w}" for w in WORDS])).drop("text")
-    columns = [F.col("_vertex").alias("vertex"), *[F.col(f"_{w}").alias(w) for w in WORDS]]
-    prints = stored(rows.select(F.col("_id").alias("id"), *columns, F.col("_nodes").alias("nodes")), "long-prints")
+    kept = F.struct(*[F.col(f"_{w}").alias(w) for w in WORDS], F.col("_nodes").alias("nodes"))
     distinct = stored(
-        prints.groupBy("vertex").agg(F.min("id").alias("first"), F.first(F.struct(*WORDS, "nodes")).alias("print"))
+        rows.groupBy(F.col("_vertex").alias("vertex"))
+        .agg(F.min("_id").alias("first"), F.first(kept).alias("print"))
         .select("vertex", "first", "print.*"),
         "distinct-prints",
     )
