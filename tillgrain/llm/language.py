@@ -259,8 +259,9 @@ def accepted(documents: DataFrame, model: TextModel) -> DataFrame:
         return documents
     rows = documents.select(
         F.struct("*").alias("_row"), F.col("source").cast("string").alias("host"),
-        F.lit(None).cast("string").alias("declared"), F.col("text").alias("_text"),
+        F.lit(None).cast("string").alias("declared"),
     )
-    evidence = stored(_evidence(rows.drop("_row"), "_text", model, False).drop("_text"), "language-evidence")
-    judged = _decided(_evidence(rows, "_text", model, False).drop("_text"), _counted(evidence, model))
+    found = _evidence(rows, "_row.text", model, False)
+    evidence = stored(found.drop("_row"), "language-evidence")
+    judged = _decided(found, _counted(evidence, model))
     return judged.filter("_accepted").select("_row.*")

@@ -16,6 +16,8 @@ from tillgrain.operators.materialize import materialize, recording_intermediates
 from tillgrain.sources.paths import delete
 
 _ROOT = str(Path(__file__).resolve().parents[2])
+#: Bytes of an Arrow batch from Spark to a Python worker.
+BATCH_BYTES = 8 << 20
 #: Bytes of text that a task holds decoded at once; one longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -57,10 +59,12 @@ def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def find_package(df: DataFrame) -> None:
-    """Let Python workers on this machine import the package from where it lies.
+    """Let Python workers on this machine import the package from where it lies, and bound the
+    batches they receive and hold by ``BATCH_BYTES``, a setting of the session.
 
     On a cluster the package is installed or shipped with ``--py-files``.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
 
 
