@@ -206,17 +206,29 @@ def near_duplicates(documents: DataFrame, words: int = 5, budget: int = 2) -> Da
 #
 # Copies with a tenth of their shingles changed differ in more bits than a walk with a budget for
 # every block can afford. Their fingerprints are longer, and there are more tries: each has other
-# bits of the fingerprint first, in which two fingerprints must agree (no error on that path);
-# what meets in a node is then held against the budget over all bits.
+# bits of the fingerprint first, in which two fingerprints must agree (no error on that path).
+# Below that path every pair of a node counts whose ends are not yet known to be connected:
+# groups of members are paired as long as the bits all members share allow the budget, then their
+# members. Pairs within the budget are candidates; only the exact similarity of the distinct
+# shingles makes them links.
 
 LONG_BITS = 256
 TRIES = 128
 PATH_BITS = 24
-#: Bits in which fingerprints of texts of Jaccard similarity 0.8 differ (39 in the mean of 256),
-#: and two thirds of a standard deviation more.
-LONG_BUDGET = 43
+#: Least Jaccard similarity of the distinct shingles of two linked texts.
+SIMILARITY = 0.8
+#: Bits in which fingerprints of texts of that similarity differ (39 in the mean of 256), and three
+#: standard deviations more; what lies between is sorted out by the exact similarity.
+LONG_BUDGET = 56
+#: Nearest ends of its nodes that a fingerprint is compared with before all other pairs.
+FIRST_TRIED = 3
 WORDS = [f"w{i}" for i in range(LONG_BITS // 64)]
-LONG_PRINTS = [(f"_{w}", pa.int64(), "bigint") for w in WORDS] + [("_nodes", pa.list_(pa.int32()), "array<int>")]
+LONG_PRINTS = [
+    ("_vertex", pa.int64(), "bigint"),
+    *[(f"_{w}", pa.int64(), "bigint") for w in WORDS],
+    ("_nodes", pa.list_(pa.int32()), "array<int>"),
+]
+SHINGLES = [("vertex", pa.int64(), "bigint"), ("shingles", pa.list_(pa.int64()), "array<bigint>")]
 
 
 def _paths() -> np.ndarray:
@@ -225,18 +237,31 @@ def _paths() -> np.ndarray:
     return np.array([rng.choice(LONG_BITS, PATH_BITS, replace=False) for _ in range(TRIES)])
 
 
+def _shingle_set(raw: bytes, words: int) -> set[bytes]:
+    found = raw.lower().split()
+    runs = zip(*(found[i:] for i in range(words))) if len(found) > words else [found] if found else []
+    return set(map(b" ".join, runs))
+
+
+def _set_numbers(shingles: set[bytes]) -> tuple[int, np.ndarray]:
+    """Number of a set of shingles and the sorted 64-bit numbers of its members."""
+    numbers = np.unique(np.array([xxhash.xxh3_64_intdigest(s, 3) for s in shingles], dtype="<u8"))
+    raw = xxhash.xxh3_64_digest(numbers.tobytes(), HASH_SEED)
+    return int.from_bytes(raw, "big", signed=True), numbers.view("<i8")
+
+
 def _long_prints(parts: Iterator[pa.RecordBatch], words: int):
+    """Number of the shingle set, fingerprint over its members and node in every trie."""
     paths, powers = _paths(), 1 << np.arange(PATH_BITS)
     for part in parts:
-        prints = []
+        vertices, prints = [], []
         for raw in part.column("body").to_pylist():
-            found = raw.lower().split()
-            runs = zip(*(found[i:] for i in range(words))) if len(found) > words else [found] if found else []
+            shingles = _shingle_set(raw, words)
             bits = np.zeros(LONG_BITS, dtype=np.uint8)
             digests = b"".join(
-                [xxhash.xxh3_128_digest(x, 1) + xxhash.xxh3_128_digest(x, 2) for x in map(b" ".join, runs)]
+                [xxhash.xxh3_128_digest(x, 1) + xxhash.xxh3_128_digest(x, 2) for x in shingles]
             )
-            count = len(digests) // (LONG_BITS // 8)
+            count = len(shingles)
             if count:
                 ones = np.zeros(LONG_BITS, dtype=np.int64)
                 flat = np.frombuffer(digests, dtype=np.uint8).reshape(count, -1)
@@ -244,73 +269,142 @@ def _long_prints(parts: Iterator[pa.RecordBatch], words: int):
                     ones += np.unpackbits(flat[at : at + 4096], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
                 bits = (2 * ones > count).astype(np.uint8)
             prints.append(bits)
+            vertices.append(_set_numbers(shingles)[0])
         matrix = np.array(prints)
         numbers = np.packbits(matrix, axis=1, bitorder="little").view("<i8").tolist()
         nodes = np.stack([matrix[:, p] @ powers for p in paths], axis=1).tolist()
-        yield [(*n, k) for n, k in zip(numbers, nodes)]
+        yield [(v, *n, k) for v, n, k in zip(vertices, numbers, nodes)]
+
+
+def _shingles(parts: Iterator[pa.RecordBatch], words: int):
+    for part in parts:
+        found = (_set_numbers(_shingle_set(raw, words)) for raw in part.column("body").to_pylist())
+        yield [(vertex, numbers.tolist()) for vertex, numbers in found]
+
+
+def _differing(one: list[Column], two: list[Column]) -> Column:
+    return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(one, two)), F.lit(0))
+
+
+def _confirmed(pairs: DataFrame, documents: DataFrame, distinct: DataFrame, words: int) -> DataFrame:
+    """Pairs a, b whose sets of shingles have a similarity of ``SIMILARITY`` and more.
+
+    Shingles are made for the texts of the pairs only: rows of their ids are read again.
+    """
+    needed = stored(
+        pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+        .join(distinct.select("vertex", "first"), "vertex"),
+        "needed",
+    )
+    ids = needed.select("first").distinct()
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("id"), as_bytes().alias("body"))
+    texts = texts.join(ids, F.col("id").eqNullSafe(F.col("first")), "left_semi").select("body")
+    sets = map_texts(texts, "body", _shingles, SHINGLES, words)
+    passing = Passing(documents.sparkSession)
+    sets = passing.stored(
+        sets.join(needed.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]), "shingles"
+    )
+    one = sets.select(F.col("vertex").alias("a"), F.col("shingles").alias("x"))
+    two = sets.select(F.col("vertex").alias("b"), F.col("shingles").alias("y"))
+    shared = F.size(F.array_intersect("x", "y"))
+    # Sizes bound the similarity, so unequal ones need no intersection.
+    fits = F.least(F.size("x"), F.size("y")) >= SIMILARITY * F.greatest(F.size("x"), F.size("y"))
+    alike = fits & (shared >= SIMILARITY * (F.size("x") + F.size("y") - shared))
+    found = stored(pairs.join(one, "a").join(two, "b").filter(alike).select("a", "b"), "similar")
+    passing.drop()
+    return found
+
 
+def _first_pairs(members: DataFrame, prints: DataFrame, budget: int) -> DataFrame:
+    """Per fingerprint its nearest ones among the least and the greatest of its nodes.
 
-def _alike(pairs: DataFrame, prints: DataFrame, budget: int) -> DataFrame:
-    """Pairs vertex, other with ``near``: whether their fingerprints lie within the budget."""
+    They connect most of a group of alike texts by a number of pairs that grows with its size.
+    """
+    ends = members.groupBy("place").agg(F.min("vertex").alias("low"), F.max("vertex").alias("high"))
+    pairs = members.join(ends, "place").select("vertex", F.explode(F.array("low", "high")).alias("other"))
     one = prints.select("vertex", F.array(*WORDS).alias("x"))
     two = prints.select(F.col("vertex").alias("other"), F.array(*WORDS).alias("y"))
-    met = pairs.join(one, "vertex").join(two, "other")
-    errors = sum(F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(len(WORDS)))
-    return met.select("vertex", "other", (errors <= budget).alias("near"))
+    met = pairs.filter("vertex != other").distinct().join(one, "vertex").join(two, "other")
+    errors = _differing([F.col("x")[i] for i in range(len(WORDS))], [F.col("y")[i] for i in range(len(WORDS))])
+    near = met.select("vertex", F.struct(errors.alias("errors"), "other").alias("end")).filter(
+        F.col("end.errors") <= budget
+    )
+    # A fingerprint has at most two ends in each trie.
+    tried = near.groupBy("vertex").agg(F.slice(F.array_sort(F.collect_list("end")), 1, FIRST_TRIED).alias("ends"))
+    pairs = tried.select("vertex", F.explode("ends.other").alias("other"))
+    return pairs.select(F.least("vertex", "other").alias("a"), F.greatest("vertex", "other").alias("b")).distinct()
 
 
-def similar_links(distinct: DataFrame, budget: int = LONG_BUDGET) -> DataFrame:
-    """Links a, b between distinct long fingerprints; columns vertex, w0.., nodes.
+def _other_pairs(members: DataFrame, prints: DataFrame, roots: DataFrame, budget: int) -> DataFrame:
+    """All pairs within the budget that meet in a node and have different roots."""
+    passing = Passing(members.sparkSession)
+    rooted = members.join(roots.withColumnRenamed("root", "known"), "vertex", "left").select(
+        "place", "vertex", F.coalesce("known", "vertex").alias("root")
+    )
+    mixed = rooted.groupBy("place").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    live = stored(
+        rooted.join(mixed.select("place"), "place", "left_semi").join(prints, "vertex")
+        .select("place", "root", "vertex", *WORDS),
+        "mixed-nodes",
+    )
+    groups = passing.stored(
+        live.groupBy("place", "root").agg(
+            *[F.bit_and(w).alias(f"all_{w}") for w in WORDS], *[F.bit_or(w).alias(f"any_{w}") for w in WORDS]
+        ),
+        "node-groups",
+    )
+    one = groups.select("place", F.col("root").alias("ra"), *[F.col(f"{k}_{w}").alias(f"{k}a_{w}") for k in ("all", "any") for w in WORDS])
+    two = groups.select("place", F.col("root").alias("rb"), *[F.col(f"{k}_{w}").alias(f"{k}b_{w}") for k in ("all", "any") for w in WORDS])
+    # Bits that all members of one group have and no member of the other differ in every pair.
+    least = F.lit(0)
+    for w in WORDS:
+        least = least + F.bit_count(F.col(f"alla_{w}").bitwiseAND(F.bitwise_not(F.col(f"anyb_{w}"))))
+        least = least + F.bit_count(F.col(f"allb_{w}").bitwiseAND(F.bitwise_not(F.col(f"anya_{w}"))))
+    met = one.join(two, "place").filter((F.col("ra") < F.col("rb")) & (least <= budget)).select("place", "ra", "rb")
+    left = live.select("place", F.col("root").alias("ra"), F.col("vertex").alias("va"), *[F.col(w).alias(f"x_{w}") for w in WORDS])
+    right = live.select("place", F.col("root").alias("rb"), F.col("vertex").alias("vb"), *[F.col(w).alias(f"y_{w}") for w in WORDS])
+    errors = _differing([F.col(f"x_{w}") for w in WORDS], [F.col(f"y_{w}") for w in WORDS])
+    found = stored(
+        met.join(left, ["place", "ra"]).join(right, ["place", "rb"]).filter(errors <= budget)
+        .select(F.least("va", "vb").alias("a"), F.greatest("va", "vb").alias("b")).distinct(),
+        "other-pairs",
+    )
+    passing.drop()
+    return found
+
 
-    In every node each fingerprint is held against the least and the greatest one only, whose
-    choice needs no more than partial aggregation; those alike to neither go on among
-    themselves until none is left. So a node of n alike texts yields 2n pairs, not n squared.
+def similar_links(
+    distinct: DataFrame, documents: DataFrame, words: int = 5, budget: int = LONG_BUDGET
+) -> DataFrame:
+    """Links a, b between distinct sets of shingles: similar ones that meet in a node.
+
+    ``distinct`` has columns vertex, first, w0.., nodes. Of the similar pairs of a node those are
+    left out whose ends other links connect already, so the components are those of all pairs.
     """
     prints = distinct.select("vertex", *WORDS)
-    members = distinct.select("vertex", F.posexplode("nodes").alias("trie", "node")).select(
-        F.shiftleft("trie", PATH_BITS).bitwiseOR(F.col("node")).alias("place"), "vertex"
+    placed = distinct.select("vertex", F.posexplode("nodes").alias("trie", "node")).select(
+        F.shiftleft(F.col("trie").cast("bigint"), PATH_BITS).bitwiseOR(F.col("node").cast("bigint")).alias("place"),
+        "vertex",
     )
-    found = None
-    passing = Passing(distinct.sparkSession)
-    while True:
-        ends = passing.stored(
-            members.groupBy("place")
-            .agg(F.min("vertex").alias("low"), F.max("vertex").alias("high"), F.count(F.lit(1)).alias("n"))
-            .filter("n > 1"),
-            "ends",
-        )
-        passing.release()
-        met = stored(members.join(ends, "place").select("place", "vertex", "low", "high", "n"), "met")
-        passing.drop()
-        pairs = met.select("vertex", F.explode(F.array("low", "high")).alias("other"))
-        pairs = passing.stored(pairs.filter("vertex != other").distinct(), "met-pairs")
-        judged = passing.stored(_alike(pairs, prints, budget), "judged")
-        new = stored(
-            judged.filter("near")
-            .select(F.least("vertex", "other").alias("a"), F.greatest("vertex", "other").alias("b")).distinct(),
-            "similar",
-        )
-        found = new if found is None else found.unionByName(new)
-        apart = judged.filter("not near").drop("near")
-        rest = (
-            met.filter("n > 2 and vertex != low and vertex != high")
-            .join(apart.withColumnRenamed("other", "low"), ["vertex", "low"], "left_semi")
-            .join(apart.withColumnRenamed("other", "high"), ["vertex", "high"], "left_semi")
-        )
-        members = stored(rest.select("place", "vertex"), "rest")
-        passing.drop()
-        if members.isEmpty():
-            return found.distinct()
+    shared = placed.groupBy("place").count().filter("count > 1").select("place")
+    members = stored(placed.join(shared, "place", "left_semi"), "shared-nodes")
+    Passing(distinct.sparkSession).release()
+    tried = stored(_first_pairs(members, prints, budget), "first-pairs")
+    first = _confirmed(tried, documents, distinct, words)
+    none = distinct.select("vertex", F.col("vertex").alias("root")).limit(0)
+    roots = none if first.isEmpty() else smallest_reachable(first)
+    others = _other_pairs(members, prints, roots, budget).join(tried, ["a", "b"], "left_anti")
+    return first.unionByName(_confirmed(stored(others, "untried"), documents, distinct, words))
 
 
 def similar_removed(documents: DataFrame, words: int = 5) -> DataFrame:
-    """``documents`` with one row of every group of similar texts (Jaccard about 0.8 and more).
+    """``documents`` with one row of every group of similar texts (Jaccard of 0.8 and more).
 
-    The row of the least id stays; rows that share this id and its fingerprint count as one.
+    The row of the least id stays; rows that share this id and its set of shingles count as one.
     """
     rows = packed(documents, "doc_id", "text").withColumn("_id", F.col("doc_id").cast("bigint"))
     rows = append_columns(rows.drop("doc_id"), as_bytes(), _long_prints, LONG_PRINTS, words)
-    rows = rows.withColumn("_vertex", F.xxhash64(*[f"_{w}" for w in WORDS])).drop("text")
+    rows = rows.drop("text")
     kept = F.struct(*[F.col(f"_{w}").alias(w) for w in WORDS], F.col("_nodes").alias("nodes"))
     distinct = stored(
         rows.groupBy(F.col("_vertex").alias("vertex"))
@@ -318,7 +412,7 @@ def similar_removed(documents: DataFrame, words: int = 5) -> DataFrame:
         .select("vertex", "first", "print.*"),
         "distinct-prints",
     )
-    found = stored(similar_links(distinct), "similar-links")
+    found = stored(similar_links(distinct, documents, words), "similar-links")
     known = distinct.select("vertex", "first")
     if found.isEmpty():
         known = known.withColumn("root", F.col("vertex"))
