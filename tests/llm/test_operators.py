@@ -275,6 +275,25 @@ def test_surrogates(spark, odd, empty):
     assert surrogates.pseudonymised(empty, KEY).count() == 0
 
 
+def test_names_end_at_the_first_word_that_is_none():
+    for text, names, rest in (
+        ("Dr Weber in Berlin", ["Weber"], "Dr {} in Berlin"),
+        ("Mr Smith and Mrs Jones left", ["Smith", "Jones"], "Mr {} and Mrs {} left"),
+        ("Mr and Mrs Jones", ["Jones"], "Mr and Mrs {}"),
+        ("Prof. Dr. Weber", ["Weber"], "Prof. Dr. {}"),
+        ("Mr Smith Mrs Jones", ["Smith", "Jones"], "Mr {} Mrs {}"),
+        ("Frau Anna Weber Berlin", ["Anna Weber Berlin"], "Frau {}"),
+    ):
+        found = []
+        made = surrogates.replace_text(text, KEY, lambda *x: found.append(x))
+        assert [f[1] for f in found] == names
+        assert made == rest.format(*[f[2] for f in found]) and not any(n in made for n in names)
+    for text in ("Dr Weber mail ab.c@mail.org", "Mr Smith Ab.c@mail.org", "Mrs Jones Token: abcdefgh12"):
+        kinds = []
+        surrogates.replace_text(text, KEY, lambda *x: kinds.append(x[0]))
+        assert kinds[0] == "name" and kinds[1] in ("email", "secret")
+
+
 def test_surrogates_are_one_to_one():
     maps = surrogates.Surrogates(KEY)
     for make, values in (

@@ -68,6 +68,7 @@ FORMS_OF_ADDRESS = (
 _CLASS = {c: i for i, a in enumerate(ALPHABETS) for c in a}
 _PLACE = {c: i for a in ALPHABETS for i, c in enumerate(a)}
 _HEX = "0123456789abcdef"
+_FORMS = frozenset(FORMS_OF_ADDRESS)
 _GIVEN = {n: key for key, names in GIVEN_NAMES.items() for n in names}
 
 _WORD = r"[^\W\d_][^\W\d_'’-]*"
@@ -263,13 +264,18 @@ def replaced(match: re.Match, maps: Surrogates) -> tuple[str, str, str, str] | N
     if kind == "name":
         title, _, rest = found.partition(" ")
         words = rest.split(" ")
-        while words and not words[-1][:1].isupper():
-            words.pop()
-        if not words or not all(w[:1].isupper() for w in words):
+        # The name is the leading run of capitalised words before another entity or form of address.
+        own, at = 0, match.end() - len(rest)
+        for word in words:
+            other = _FINDER.match(match.string, at)
+            if not word[:1].isupper() or word in _FORMS or other:
+                break
+            own, at = own + 1, at + len(word) + 1
+        if not own:
             return None
-        value = " ".join(words)
+        value = " ".join(words[:own])
         made = maps.name(value)
-        return kind, value, made, f"{title} {made}" + rest[len(value) :]
+        return kind, value, made, f"{title} {made}"
     if kind == "email":
         value = found.lower()
         made = maps.email(value)
@@ -312,16 +318,19 @@ def replace_text(text: str, key: bytes, note: Callable[..., None] = lambda *_: N
     """``text`` with surrogates; ``note(kind, original, surrogate)`` hears of every entity."""
     if not _HINT.search(text):
         return text
-    maps = _maps(key)
-
-    def put(match: re.Match) -> str:
-        found = replaced(match, maps)
-        if found is None:
-            return match.group()
-        note(*found[:3])
-        return found[3]
-
-    return _FINDER.sub(put, text)
+    maps, out, done = _maps(key), [], 0
+    match = _FINDER.search(text)
+    while match:
+        found, end = replaced(match, maps), match.end()
+        if match.lastgroup == "name":  # words behind the name are searched again
+            title = len(match.group().partition(" ")[0])
+            end = match.start() + title + (1 + len(found[1]) if found else 0)
+        if found:
+            note(*found[:3])
+            out += [text[done : match.start()], found[3]]
+            done = end
+        match = _FINDER.search(text, end)
+    return "".join(out) + text[done:]
 
 
 def _replace(parts: Iterator[pa.RecordBatch], key: bytes):
