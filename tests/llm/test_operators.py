@@ -233,6 +233,13 @@ def test_pages(spark, empty):
     assert wrappers.extract_pages(df.limit(0)).count() == 0
 
 
+def test_pages_without_an_article_beside_pages_with_one(spark):
+    rows = [(1, "http://a.org/1", PAGE), (2, "http://a.org/3", "<p>x</b></article><li>"), (3, None, "<article>own</article>"), (4, None, "<div>plain</div>"), (5, "odd", "just text")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    texts = {r["page_id"]: r["text"] for r in wrappers.extract_pages(df).collect()}
+    assert (texts[2], texts[3], texts[4], texts[5]) == ("x", "own", "plain", "just text")
+
+
 def test_wrappers_tell_template_from_content_without_an_article(spark):
     def page(i):
         body = "".join(f"<div class=x>Text {i} {k} of its own.</div>" for k in range(i % 3 + 1))

@@ -278,17 +278,12 @@ class Wrapper:
         return out
 
     def content(self) -> list[bool]:
-        """Which parts hold content: those of the article, or where the host marks none, the rest
-        without links and constant texts."""
-        marked = any(item.lstrip("(").startswith("m:") for item in self.items)
+        """Which parts hold content on pages that mark no article: those without links and constant
+        texts. Pages with an article hold theirs in it, whatever other pages of the host do."""
         out = []
         for item, pages, value in zip(self.items, self.pages, self.values):
-            region = item.lstrip("(")[:1]
-            if marked:
-                out.append(region == "m")
-            else:
-                constant = value is not None and pages >= CONSTANT_PAGES
-                out.append(region == "p" and "#a" not in item and not constant)
+            constant = value is not None and pages >= CONSTANT_PAGES
+            out.append(item.lstrip("(")[:1] == "p" and "#a" not in item and not constant)
         return out
 
     def dumped(self) -> str:
