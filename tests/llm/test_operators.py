@@ -252,6 +252,21 @@ def test_wrappers_tell_template_from_content_without_an_article(spark):
         assert r["text"] == "\n\n".join(f"Text {i} {k} of its own." for k in range(i % 3 + 1))
 
 
+def test_inline_links_and_copies_are_content_without_an_article(spark):
+    def page(i):
+        told = "".join(f"<p>Story {i} {k} tells of <a href=/x>a place</a> far away.</p>" for k in range(3))
+        return f"<body><div>Brand name</div><div><a href=/{i}>Link {i}</a> | <a href=/b>Other</a></div>{told}<div>All rights reserved</div></body>"
+
+    told = [f"Story {{0}} {k} tells of a place far away." for k in range(3)]
+    rows = [(i, f"http://h.net/{i}", page(i)) for i in range(5)]
+    rows += [(100 + i, f"http://copies.net/{i}", "<body><h1>Title</h1><p>The only text.</p></body>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for r in wrappers.extract_pages(df).collect():
+        i = r["page_id"]
+        wanted = "\n\n".join(told).format(i) if i < 100 else "Title\n\nThe only text."
+        assert r["text"] == wanted
+
+
 def test_folding_and_aligning():
     items, places = wrappers.fold("u l x /l l x /l l x /l /u p".split())
     assert items == ["u", "(l x /l)+", "/u", "p"] and places == [0, *[1] * 9, 2, 3]

@@ -5,8 +5,8 @@ repeated group. Sequences of one host are aligned one after the other: where the
 wrapper keeps its parts, what only one of them has becomes optional, and text becomes a slot.
 Slots carry the region they lie in (inside or outside the article, or in a menu, header, footer,
 side bar, notice, advert, form or reader comment), known from element names, roles and classes. On
-hosts whose pages mark no article, slots with one and the same text on several pages and slots
-made of links are boilerplate; the others are content.
+pages that mark no article, blocks whose slots have one and the same text on several different
+pages and blocks made mostly of links are boilerplate; the others are content.
 
 A page's text is what its tokens put in the content slots of its host's wrapper; blocks are joined
 by empty lines in page order.
@@ -40,7 +40,7 @@ from tillgrain.llm.rows import append_columns, as_bytes, map_texts, stored, text
 
 #: Parts of a host's distinct sequences that are merged on their own first.
 SHARES = 32
-#: Pages of a host that must share a slot's text for it to count as boilerplate.
+#: Pages of a host, of different contents, that must share a slot's text for it to be boilerplate.
 CONSTANT_PAGES = 3
 #: Longest run of parts that is looked for as a repeated group.
 LONGEST_GROUP = 12
@@ -255,12 +255,18 @@ def alignment(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]
 @dataclass
 class Wrapper:
     """Parts of the expression in order; per part whether it may be missing, the pages that had
-    it, and for text the hash of its only value so far (None once values differ)."""
+    it, and for text the hash of its only value so far (None once values differ) with the contents
+    of pages that had it, ``CONSTANT_PAGES`` at most; copies of a page are one content."""
 
     items: list[str] = field(default_factory=list)
     optional: list[bool] = field(default_factory=list)
     pages: list[int] = field(default_factory=list)
     values: list[str | None] = field(default_factory=list)
+    contents: list[list[str]] = field(default_factory=list)
+
+    def __post_init__(self) -> None:
+        if not self.contents:
+            self.contents = [[] for _ in self.items]
 
     def merged(self, other: Wrapper) -> Wrapper:
         if not self.items:
@@ -275,19 +281,23 @@ class Wrapper:
             out.pages.append(one.pages[at] + (other.pages[j] if both else 0))
             same = not both or one.values[at] == other.values[j]
             out.values.append(one.values[at] if same else None)
+            seen = one.contents[at] if same and one.values[at] is not None else []
+            if seen and both and other.contents[j] != seen:
+                seen = sorted({*seen, *other.contents[j]})[:CONSTANT_PAGES]
+            out.contents.append(seen)
         return out
 
     def content(self) -> list[bool]:
-        """Which parts hold content on pages that mark no article: those without links and constant
-        texts. Pages with an article hold theirs in it, whatever other pages of the host do."""
+        """Which parts hold content on pages that mark no article: those without constant texts.
+        Pages with an article hold theirs in it, whatever other pages of the host do."""
         out = []
-        for item, pages, value in zip(self.items, self.pages, self.values):
-            constant = value is not None and pages >= CONSTANT_PAGES
-            out.append(item.lstrip("(")[:1] == "p" and "#a" not in item and not constant)
+        for item, value, seen in zip(self.items, self.values, self.contents):
+            constant = value is not None and len(seen) >= CONSTANT_PAGES
+            out.append(item.lstrip("(")[:1] == "p" and not constant)
         return out
 
     def dumped(self) -> str:
-        return json.dumps([self.items, self.optional, self.pages, self.values], ensure_ascii=False)
+        return json.dumps([self.items, self.optional, self.pages, self.values, self.contents], ensure_ascii=False)
 
     @staticmethod
     def loaded(text: str) -> Wrapper:
@@ -313,33 +323,48 @@ def _slots(page: Page) -> tuple[list[str], list[int], list[str | None]]:
     return items, at, values
 
 
+def _wrapper(page: Page, items: list[str], values: list[str | None]) -> Wrapper:
+    """Wrapper of one page."""
+    texts = [t.strip() for t, r in zip(page.texts, page.regions) if t is not None and r != NOISE]
+    own = xxhash.xxh64_hexdigest("\n".join(t for t in texts if t).encode("utf-8", "replace"))
+    contents = [[own] if v is not None else [] for v in values]
+    return Wrapper(items, [False] * len(items), [1] * len(items), values, contents)
+
+
+def _kept_blocks(page: Page, at: list[int], content: list[bool]) -> set[int]:
+    """Blocks with a text in a content slot and no more than half of their letters in links."""
+    held: set[int] = set()
+    letters: dict[int, int] = {}
+    for part, text, block, place, region in zip(page.parts, page.texts, page.blocks, at, page.regions):
+        if place < 0 or text is None or region == NOISE:
+            continue
+        size = len(text.strip())
+        letters[block] = letters.get(block, 0) + (-size if part == "#a" else size)
+        if content[place]:
+            held.add(block)
+    return {b for b in held if letters[b] >= 0}
+
+
 def extract(source: str, wrapper: Wrapper | None) -> str:
     """Main text of a page by the wrapper of its host."""
     page = read_page(source)
     items, at, values = _slots(page)
     if wrapper is None:
-        wrapper = Wrapper(items, [False] * len(items), [1] * len(items), values)
+        wrapper = _wrapper(page, items, values)
     roles = wrapper.content()
-    content = [False] * len(items)
-    matched = [False] * len(items)
+    # What the wrapper does not know is content.
+    content = [True] * len(items)
     for i, j in alignment(wrapper.items, items):
         if j is not None and i is not None:
-            content[j], matched[j] = roles[i], True
+            content[j] = roles[i]
     marked = any(r == MAIN for r in page.regions)
+    kept = set() if marked else _kept_blocks(page, at, content)
     out: list[str] = []
     last = None
     for i, text in enumerate(page.texts):
         if text is None:
             continue
-        place = at[i]
-        if page.regions[i] == NOISE:
-            continue
-        if marked or place < 0 or not matched[place]:
-            # The page itself says more than the host: its own article decides.
-            keep = page.regions[i] == (MAIN if marked else PLAIN) if place < 0 or marked else True
-        else:
-            keep = content[place]
-        if not keep:
+        if page.regions[i] != MAIN if marked else page.regions[i] == NOISE or page.blocks[i] not in kept:
             continue
         if last == page.blocks[i]:
             out[-1] += text
@@ -361,9 +386,10 @@ def _sequences(parts: Iterator[pa.RecordBatch]):
     for part in parts:
         found: dict[tuple[str, str], tuple[Wrapper, int]] = {}
         for host, raw in zip(part.column("host").to_pylist(), part.column("body").to_pylist()):
-            items, _, values = _slots(read_page(text_of(raw)))
+            page = read_page(text_of(raw))
+            items, _, values = _slots(page)
             key = (host, "\x00".join(items))
-            new = Wrapper(items, [False] * len(items), [1] * len(items), values)
+            new = _wrapper(page, items, values)
             if key in found:
                 old, n = found[key]
                 found[key] = (old.merged(new), n + 1)
