@@ -8,8 +8,9 @@ side bar, notice, advert, form or reader comment), known from element names, rol
 pages that mark no article, blocks whose slots have one and the same text on several different
 pages and blocks made mostly of links are boilerplate; the others are content.
 
-A page's text is what its tokens put in the content slots of its host's wrapper; blocks are joined
-by empty lines in page order.
+A page that marks an article keeps the texts in it, without its host's wrapper; the text of another
+page is what its tokens put in the content slots of the wrapper. Blocks are joined by empty lines in
+page order.
 
 Distinct sequences of a host are merged in two steps, first in ``SHARES`` shares per host and then
 together, so a host with a third of all pages does not meet in one task. Pages are joined to the
