@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrain.llm import byte_bpe, language, simhash, suffix_matches, surrogates
-from tillgrain.llm.rows import stored, table
-
-#: Words in a shingle of the near-duplicate stage, which finds a similarity of 0.8 or more.
-SHINGLE_WORDS = 5
+from tillgrain.llm.rows import packed, stored, table
 
+#: Words in a shingle, and bits in which linked fingerprints may differ, as in ``op1_simhash``.
+SHINGLE_WORDS = 3
+DIFFERING_BITS = 2
 
 #: Key of the surrogates; a deployment sets a secret of its own.
 SURROGATE_KEY = b"key of the registered pipeline"
@@ -27,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.similar_removed(docs, SHINGLE_WORDS)
+    return simhash.deduplicated(docs, SHINGLE_WORDS, DIFFERING_BITS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +36,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates; n_chars follows where a replacement changed the text."""
-    found = surrogates.pseudonymised(docs, SURROGATE_KEY)
-    length = F.when(F.col("_entities") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    found = surrogates.pseudonymised(packed(docs, "text"), SURROGATE_KEY)
+    length = F.when(F.col("_entities") > 0, F.length("text")).otherwise(F.col("_row.n_chars"))
+    changed = {"text": F.col("text"), "n_chars": length.cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

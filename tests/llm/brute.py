@@ -119,23 +119,3 @@ def article(source):
     blocks = re.split(r"</?(?:p|h1)>", body[1] if body else "")
     blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b.replace("<b>", ""))).split()) for b in blocks)
     return "\n\n".join(b for b in blocks if b)
-
-
-def similar_groups(docs, words=5):
-    """Groups of equal word sequences, and documents that share less than half of their shingles
-    with any other."""
-    sets, equal = {}, defaultdict(set)
-    for key, text in docs:
-        found = (text or "").encode().lower().split()
-        equal[tuple(found)].add(key)
-        sets[key] = {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
-    holders = defaultdict(set)
-    for key, shingles in sets.items():
-        for s in shingles:
-            holders[s].add(key)
-    alone = set()
-    for key, shingles in sets.items():
-        others = {o for s in shingles for o in holders[s]} - {key}
-        if all(2 * len(shingles & sets[o]) < len(shingles | sets[o]) for o in others):
-            alone.add(key)
-    return {"equal": list(equal.values()), "alone": alone}

@@ -34,12 +34,8 @@ def test_stages_return_the_columns_of_documents(spark, documents):
 
 def test_run_equals_the_plain_version(spark, documents):
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
-    kept = {r["doc_id"] for r in simhash.similar_removed(documents, 5).collect()}
-    near = brute.similar_groups(rows)
-    # One of every group of equal texts stays, none of the clean documents goes.
-    for group in near["equal"]:
-        assert len(kept & group) <= 1
-    assert near["alone"] <= kept
+    kept = {key for key, _, component in brute.simhash(rows) if key == component}
+    assert {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, documents, FOLDER).collect()} == kept
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
     clean = {r[0] for r in brute.decontamination(rows, items) if not r[5]}
     left = [(i, t) for i, t in rows if i in kept & clean]
@@ -49,68 +45,25 @@ def test_run_equals_the_plain_version(spark, documents):
     assert found == wanted
 
 
-def test_near_copies_of_high_similarity_go(spark):
-    words = [f"word{i * 7919 % 1009}" for i in range(400)]
-    rows = [(10 * k, " ".join(f"{w}x{k}" for w in words)) for k in range(20)]
-    for k in range(20):  # about a twentieth of the shingles differ
-        changed = rows[k][1].split(" ")
-        changed[37 + k] = "other"
-        changed[200 + k] = "words"
-        rows.append((10 * k + 5, " ".join(changed)))
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert {r["doc_id"] for r in simhash.similar_removed(df).collect()} == {10 * k for k in range(20)}
-
-
-def test_dense_groups_keep_one(spark):
+def test_one_document_of_each_group_of_copies_stays(spark):
     base = [f"w{i}" for i in range(600)]
-    rows = [(i, " ".join([*base[:i], f"only{i}", *base[i + 1 :]])) for i in range(300)] + [(999, "quite another text of its own")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert {r["doc_id"] for r in simhash.similar_removed(df).collect()} == {0, 999}
-
-
-def brute_components(rows, least=0.8, words=5):
-    """Least id of the component of every document, and the number of similar pairs of sets."""
-    sets = {}
-    for key, text in rows:
-        found = (text or "").encode().lower().split()
-        sets[key] = {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
-    holders, root, pairs = {}, {key: key for key in sets}, set()
-    for key in sorted(sets):
-        for s in sets[key]:
-            holders.setdefault(s, []).append(key)
-    shared = {(a, b) for keys in holders.values() for i, a in enumerate(keys) for b in keys[i + 1 :]}
-    for a, b in shared:
-        if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
-            pairs.add((a, b))
-    changed = True
-    while changed:
-        changed = False
-        for a, b in pairs:
-            low = min(root[a], root[b])
-            if root[a] != low or root[b] != low:
-                root[a] = root[b] = low
-                changed = True
-    return root, {(a, b) for a, b in pairs if sets[a] != sets[b]}
-
-
-def test_recall_and_precision_against_all_pairs(spark):
-    """Of the texts that go none lacks a chain of similar ones, and few similar ones stay."""
-    documents = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/documents.parquet")
-    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
-    root, _ = brute_components(rows)
-    kept = {r["doc_id"] for r in simhash.similar_removed(documents).collect()}
-    assert {i for i in root if root[i] == i} <= kept
-    go = {i for i in root if root[i] != i}
-    assert len(go - kept) >= 0.9 * len(go)
-
-
-def test_versions_that_drift_and_texts_of_one_long_repeat(spark):
-    base = [f"w{i}" for i in range(300)]
-    rows = [(k, " ".join([*[f"new{i}" for i in range(6 * k)], *base[6 * k :]])) for k in range(40)]
-    # Each version is similar to the next, the first and the last share little.
-    rows += [(1000 + k, "spam " * 2000 + " ".join(f"own{k}x{i}" for i in range(50))) for k in range(5)]
-    # Only 0.6 of the shingles of these are shared.
-    rows += [(2000 + k, " ".join([*[f"v{i}" for i in range(240)], *[f"z{k}y{i}" for i in range(80)]])) for k in range(30)]
-    root, _ = brute_components(rows)
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert {r["doc_id"] for r in simhash.similar_removed(df).collect()} == {i for i in root if root[i] == i}
+    rows = [(i, " ".join([*base[:2], f"only{i}", *base[3:]])) for i in range(300)] + [(999, "quite another text of its own")]
+    rows += [(2000 + i, "one text, many times") for i in range(500)] + [(None, "one text, many times")] * 2
+    wanted = {key for key, _, component in brute.simhash(rows[:-2]) if key == component}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    found = [r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, df, FOLDER).collect()]
+    assert len(found) == len(set(found)) and set(found) == wanted
+    again = [r["doc_id"] for r in simhash.deduplicated(df.limit(0)).collect()]
+    assert again == []
+
+
+def test_clashing_columns_pass_through_every_stage_but_the_last(spark, documents):
+    clashing = ["_entities", "_row", "body", "row", "found", "bits", "key", "_bits", "_id", "first", "print"]
+    odd = documents.limit(40)
+    for name in clashing:
+        odd = odd.selectExpr("*", f"'x' AS `{name}`")
+    odd = odd.unionByName(odd)  # every row twice
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        odd = stage(spark, odd, FOLDER)
+        assert odd.columns == [*documents.columns, *clashing], name
+    assert odd.count() == odd.select("doc_id").distinct().count() > 0
