@@ -119,3 +119,73 @@ def article(source):
     blocks = re.split(r"</?(?:p|h1)>", body[1] if body else "")
     blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b.replace("<b>", ""))).split()) for b in blocks)
     return "\n\n".join(b for b in blocks if b)
+
+
+def spelling(docs):
+    counts = defaultdict(int)
+    for key, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if key is None else key}:{word}".encode())
+            if h % 199 == 0:
+                at = h % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    known = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    holed = defaultdict(set)  # a word with a letter taken out or blotted
+    for w in known:
+        for i in range(len(w)):
+            holed[w[:i] + w[i + 1 :]].add(w)
+            holed[w[:i] + "\0" + w[i + 1 :]].add(w)
+    near = {}
+    for w in known:
+        found = {x for i in range(len(w)) for x in holed[w[:i] + "\0" + w[i + 1 :]]} | holed[w]
+        found |= {w[:i] + w[i + 1 :] for i in range(len(w))} & set(known)
+        near[w] = found - {w}
+    form = {}
+    for w, found in near.items():
+        if found:
+            best = min(found, key=lambda x: (-known[x], x))
+            if known[best] >= 5 * known[w]:
+                form[w] = best
+    out = set()
+    for w in known:
+        root = w
+        while root in form:
+            root = form[root]
+        out.add((w, form.get(w), root, known[w], len(near[w]), known[form[w]] if w in form else None))
+    return out
+
+
+def pieces(docs, path, end_id=2, capacity=1024):
+    """Pieces of all documents, repeated ones included: doc_id, piece, start, length, crc."""
+    from tokenizers import Tokenizer
+
+    library, out = Tokenizer.from_file(path), []
+    library.encode_special_tokens = True
+    for key, text in docs:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [end_id]
+        starts = [0, *range(len(ids) % capacity or capacity, len(ids), capacity)]
+        for i, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+            crc = zlib.crc32(np.array(ids[a:b], dtype="<u4").tobytes())
+            out.append((key, i, a, b - a, crc))
+    return out
+
+
+def hard_negatives(rows, positives=5, negatives=10):
+    """rows: (vec_id, label, vector) with labels as they are in the table."""
+    known = []
+    for key, label, vector in rows:
+        bad = key is None or label is None or not vector or any(x is None or x != x or abs(x) == float("inf") for x in vector)
+        if not bad:
+            known.append((key, (label + 1) % 10 if key % 7 == 0 else label, [int(256 * x // 1) for x in vector]))
+    out = set()
+    for a, own, v in known:
+        if a % 100:
+            continue
+        scores = [(-sum(x * y for x, y in zip(v, w)), k, label) for k, label, w in known if k != a and len(v) == len(w)]
+        scores.sort()
+        for p, positive, _ in [s for s in scores if s[2] == own][:positives]:
+            fits = [s for s in scores if s[2] != own and 30 * -p <= 100 * -s[0] <= 90 * -p][:negatives]
+            out |= {(a, positive, i + 1, k, -p, -s) for i, (s, k, _) in enumerate(fits)}
+    return out

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrain.llm import byte_bpe, language, repeated_bytes, simhash, suffix_matches, surrogates
-from tillgrain.llm import token_files, toxicity, vector_tree, wrappers
+from tillgrain.llm import byte_bpe, hard_negatives, language, packing, repeated_bytes, simhash
+from tillgrain.llm import spelling, suffix_matches, surrogates, token_files, toxicity, vector_tree, wrappers
 from tillgrain.llm.rows import table
 
 #: Key of the surrogates; a deployment passes a secret of its own to the operator.
@@ -87,6 +87,21 @@ def _token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_documents(parts, target)
 
 
+def _spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, folder, "documents"))
+
+
+def _packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_sequences(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def _hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
@@ -99,6 +114,9 @@ def queries() -> dict[str, Query]:
         "op8_html_main_text": _main_text,
         "op9_pii_surrogates": _surrogates,
         "op10_token_files": _token_files,
+        "op11_spelling_variants": _spelling,
+        "op12_best_fit_packing": _packing,
+        "op13_hard_negatives": _hard_negatives,
     }
 
 
@@ -137,6 +155,29 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM lettered LEFT JOIN covered USING (line) LEFT JOIN named USING (line)"""
 
 
+# Integer inner products of the anchors with all rows; those of the given tables are exact as doubles.
+HARD_NEGATIVES_SQL = """
+WITH scaled AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM scaled a JOIN scaled r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for DuckDB, where it can say what an operator does at a bearable cost."""
-    return {"op3_decontamination": DECONTAMINATION_SQL}
+    return {"op3_decontamination": DECONTAMINATION_SQL, "op13_hard_negatives": HARD_NEGATIVES_SQL}
