@@ -11,10 +11,12 @@ from typing import Any
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import numpy as np  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
+from tillgrain.operators import lloyd  # noqa: E402
 from tillgrain.operators.materialize import materialize  # noqa: E402
 from tillgrain.operators.ordered import exact_medians  # noqa: E402
 from tillgrain.plans import cleaning, clusters, customers, dashboard, metrics  # noqa: E402
@@ -246,6 +248,36 @@ def _cluster_profile_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _lloyd_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Three passes of the clustering from centres that SQL can start from as well."""
+    features = _customer_features(spark, folder)
+    points = materialize(clusters.fit_scaling(features).with_scaled(features).select(*clusters.SCALED), "scaled")
+    start = np.array([[-1.0, -1, -1], [0, 0, 0], [1, 1, 1], [1, -1, -1]])
+    last = lloyd.lloyd_steps(points, clusters.SCALED, [start], 2)
+    found = lloyd.cluster_sums(points, clusters.SCALED, last)
+    after = lloyd.lloyd_steps(points, clusters.SCALED, last, 1)[0]
+    rows = [(i, *c) for i, c in enumerate(after.tolist())]
+    names = ", ".join(f"{c} double" for c in clusters.SCALED)
+    centres = spark.createDataFrame(rows, f"cluster int, {names}")
+    return centres.join(found.select("cluster", "n", "cost"), "cluster", "left").select(
+        "cluster",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
+        F.round(F.coalesce("cost", F.lit(0.0)), 5).alias("cost"),
+        *[F.round(c, 6).alias(c) for c in clusters.SCALED],
+    )
+
+
+def _silhouette_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Silhouettes of clusters that SQL can assign as well."""
+    features = _customer_features(spark, folder)
+    scaled = clusters.fit_scaling(features).with_scaled(features)
+    number = F.col("customer_id").cast("long")
+    labelled = scaled.withColumns({"by_2": number % 2, "by_3": number % 3})
+    sample = clusters.silhouette_sample(labelled, ["by_2", "by_3"])
+    found = lloyd.silhouettes(sample, clusters.SCALED, ["by_2", "by_3"])
+    return found.select("labelling", F.round("silhouette", 6).alias("silhouette"))
+
+
 def _text_queries() -> dict[str, Query]:
     if text_queries is None:
         return {}
@@ -303,6 +335,8 @@ def _own_queries() -> dict[str, Query]:
         "split_summary": lambda s, d: training.split_summary(_training(s, d)),
         "value_targets": lambda s, d: training.value_targets(_training(s, d)),
         "scaled_measures": lambda s, d: clusters.scaled_measures(_customer_features(s, d)),
+        "lloyd_steps": _lloyd_steps,
+        "silhouette_scores": _silhouette_scores,
         "rfm_clusters": lambda s, d: _clustering(s, d).assigned.select("customer_id", "rfm_cluster"),
         "cluster_profiles": lambda s, d: _clustering(s, d).profiles,
         "model_metrics": lambda s, d: reports.metrics_report(_models(s, d).metrics),

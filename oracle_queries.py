@@ -5,6 +5,18 @@ Quotients are rounded on integers: both sides then agree on exact ties.
 
 from __future__ import annotations
 
+from tillgrain.functions import labels
+
+# The ordered rules, from the fixed values of ``functions.labels``.
+SEGMENT_CASE = "CASE " + " ".join(
+    f"WHEN recency_score BETWEEN {r[0]} AND {r[1]} AND frequency_score BETWEEN {f[0]} AND {f[1]}"
+    f" AND monetary_score BETWEEN {m[0]} AND {m[1]} THEN '{name}'"
+    for name, r, f, m in labels.SEGMENTS
+) + f" ELSE '{labels.OTHER_SEGMENT}' END"
+STATUS_CASE = "CASE " + " ".join(
+    f"WHEN recency_days > {days} THEN '{name}'" for name, days in labels.STATUSES
+) + f" ELSE '{labels.OTHER_STATUS}' END"
+
 LINES = """
 lines AS (
   SELECT CAST(l.l_orderkey AS VARCHAR) AS invoice_no,
@@ -36,6 +48,59 @@ tx AS (
 )
 
 
+SCALED = """,
+logs AS (
+  SELECT customer_id, ln(1 + greatest(CAST(recency_days AS DOUBLE), 0)) AS r,
+         ln(1 + greatest(CAST(frequency AS DOUBLE), 0)) AS f,
+         ln(1 + greatest(CAST(monetary AS DOUBLE), 0)) AS m
+  FROM features),
+scaled AS (
+  SELECT customer_id, (r - avg(r) OVER ()) / stddev_samp(r) OVER () AS x,
+         (f - avg(f) OVER ()) / stddev_samp(f) OVER () AS y,
+         (m - avg(m) OVER ()) / stddev_samp(m) OVER () AS z
+  FROM logs)"""
+
+
+def _lloyd_step(number: int) -> str:
+    """Centres after one more pass, and the cost and sizes of the pass."""
+    before = f"centres_{number - 1}"
+    return f""",
+pass_{number} AS (
+  SELECT c.*, c.far FROM (
+    SELECT s.customer_id, s.x, s.y, s.z, b.cluster,
+           (s.x - b.x) ** 2 + (s.y - b.y) ** 2 + (s.z - b.z) ** 2 AS far
+    FROM scaled s, {before} b) c
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY far, cluster) = 1),
+centres_{number} AS (
+  SELECT b.cluster, coalesce(avg(p.x), any_value(b.x)) AS x, coalesce(avg(p.y), any_value(b.y)) AS y,
+         coalesce(avg(p.z), any_value(b.z)) AS z, count(p.cluster) AS n, coalesce(sum(far), 0) AS cost
+  FROM {before} b LEFT JOIN pass_{number} p USING (cluster) GROUP BY b.cluster)"""
+
+
+LLOYD = """,
+centres_0 AS (SELECT * FROM (VALUES (0, -1.0, -1.0, -1.0), (1, 0.0, 0.0, 0.0), (2, 1.0, 1.0, 1.0),
+                                    (3, 1.0, -1.0, -1.0)) t(cluster, x, y, z))""" + "".join(
+    _lloyd_step(i) for i in (1, 2, 3)
+)
+
+SILHOUETTES = """,
+sampled AS (SELECT x, y, z, CAST(customer_id AS BIGINT) AS id FROM scaled ORDER BY md5(customer_id) LIMIT 5000),
+labelled AS (SELECT id, x, y, z, labelling, id % k AS label
+             FROM sampled, (VALUES ('by_2', 2), ('by_3', 3)) t(labelling, k)),
+sizes AS (SELECT labelling, label, count(*) AS n FROM labelled GROUP BY ALL),
+sums AS (
+  SELECT a.labelling, a.id, a.label AS own, b.label,
+         sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)) AS total
+  FROM labelled a JOIN labelled b USING (labelling) GROUP BY ALL),
+sides AS (
+  SELECT labelling, id, max(CASE WHEN label = own THEN total / greatest(n - 1, 1) END) AS inside,
+         min(CASE WHEN label <> own THEN total / n END) AS outside, max(CASE WHEN label = own THEN n END) AS n
+  FROM sums JOIN sizes USING (labelling, label) GROUP BY ALL)
+SELECT labelling, round(avg(CASE WHEN n > 1 AND greatest(inside, outside) > 0
+         THEN (outside - inside) / greatest(inside, outside) ELSE 0 END), 6) AS silhouette
+FROM sides GROUP BY labelling"""
+
+
 def _quotient(top: str, bottom: str, places: int) -> str:
     """Non-negative integers ``top / bottom``, rounded half up, as a decimal."""
     unit = "0." + "0" * (places - 1) + "1"
@@ -117,16 +182,8 @@ features AS (
          unique_products, active_months, recency_days, tenure_days,
          recency_score, frequency_score, monetary_score,
          recency_score + frequency_score + monetary_score AS rfm_score,
-         CASE WHEN frequency_score >= 3 AND recency_score >= 3
-                THEN CASE WHEN recency_score = 4 AND monetary_score >= 3
-                          THEN 'Champions' ELSE 'Loyal Customers' END
-              WHEN recency_score = 4 THEN 'New / Potential'
-              WHEN recency_score < 3 AND monetary_score > 2 THEN 'High-Value At Risk'
-              WHEN recency_score < 2 THEN 'At Risk'
-              ELSE 'Regular Customers' END AS rfm_segment,
-         CASE WHEN recency_days <= 60 THEN 'Active'
-              WHEN recency_days <= 90 THEN 'Watchlist'
-              ELSE 'High Risk' END AS rule_based_churn_status
+         {SEGMENT_CASE} AS rfm_segment,
+         {STATUS_CASE} AS rule_based_churn_status
   FROM quartered)"""
 )
 
@@ -421,18 +478,20 @@ SELECT snapshot_date, customer_id,
 FROM training""",
         ),
         "scaled_measures": _with(
-            LINES + FEATURES,
-            """,
-logs AS (
-  SELECT customer_id, ln(1 + greatest(CAST(recency_days AS DOUBLE), 0)) AS r,
-         ln(1 + greatest(CAST(frequency AS DOUBLE), 0)) AS f,
-         ln(1 + greatest(CAST(monetary AS DOUBLE), 0)) AS m
-  FROM features)
-SELECT customer_id, round((r - avg(r) OVER ()) / stddev_samp(r) OVER (), 6) AS scaled_recency_days,
-       round((f - avg(f) OVER ()) / stddev_samp(f) OVER (), 6) AS scaled_frequency,
-       round((m - avg(m) OVER ()) / stddev_samp(m) OVER (), 6) AS scaled_monetary
-FROM logs""",
+            LINES + FEATURES + SCALED,
+            """
+SELECT customer_id, round(x, 6) AS scaled_recency_days, round(y, 6) AS scaled_frequency,
+       round(z, 6) AS scaled_monetary
+FROM scaled""",
+        ),
+        "lloyd_steps": _with(
+            LINES + FEATURES + SCALED + LLOYD,
+            """
+SELECT cluster, n, round(cost, 5) AS cost, round(x, 6) AS scaled_recency_days,
+       round(y, 6) AS scaled_frequency, round(z, 6) AS scaled_monetary
+FROM centres_3""",
         ),
+        "silhouette_scores": _with(LINES + FEATURES + SCALED, SILHOUETTES),
         "order_history": _with(LINES + ORDERS + HISTORY, "SELECT * FROM history"),
         "customer_features": _with(LINES + FEATURES, "SELECT * FROM features"),
         "monthly_sales": _with(LINES + MONTHLY, "SELECT * FROM monthly"),

@@ -5,10 +5,9 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tillgrain.plans import customers, dashboard, full_run, quality, training
+from tillgrain.plans import customers, dashboard, full_run, quality, snapshots, training
 from tillgrain.schemas import CUSTOMER_ANALYTICS, EXPORT_COLUMNS, SOURCE_COLUMNS, TRANSACTIONS
 from tillgrain.sources import star_schema
 from tillgrain.sources.export import export_dataset, validate_export
@@ -138,8 +137,15 @@ def test_full_run_from_raw_csv_to_reports(spark, tmp_path, monkeypatch):
     assert means == sorted(means, reverse=True)
     assert sum(p["customers"] for p in profiles) == counts["Customer"]
 
-    for name in full_run.MODELS:
-        assert PipelineModel.load(at(name)).stages
+    # The published models give the published scores and clusters.
+    current = snapshots.current_features(spark.read.parquet(at("transactions")))
+    again = full_run.published_models(spark, out)
+    features = spark.read.parquet(at("customer_features"))
+    models = training.TrainedModels("", again["churn_classifier"], again["customer_value"], found, None, None)
+    scored = training.score_customers(current, models, again["rfm_clusters"].assign(features))
+    analytics = spark.read.parquet(at("customer_analytics"))
+    assert scored.select(*analytics.columns).exceptAll(analytics).isEmpty()
+    assert scored.count() == analytics.count()
     reports = full_run.analyst_reports(spark, out)
     assert len(reports) == 10 and all(not df.isEmpty() for df in reports.values())
 

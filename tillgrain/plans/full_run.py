@@ -11,8 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tillgrain.operators.materialize import dropping_intermediates, materialize
 from tillgrain.plans import cleaning, customers, dashboard, orders, performance, quality
 from tillgrain.plans import reports, snapshots
-from tillgrain.plans.clusters import Clustering, fit_rfm_clusters
-from tillgrain.plans.training import ModelSettings, TrainedModels, score_customers, train_models
+from tillgrain.plans.clusters import Clustering, ClusterModel, fit_rfm_clusters
+from tillgrain.plans.training import (
+    ChurnModel,
+    ModelSettings,
+    TrainedModels,
+    ValueModel,
+    score_customers,
+    train_models,
+)
 from tillgrain.schemas import (
     COUNTRY_SPELLINGS,
     CUSTOMER_ANALYTICS,
@@ -184,8 +191,9 @@ def _build(
     write_json(
         model_metadata(spark, snapshot_dates, clustering, models), f"{staging}/model_metadata"
     )
-    for name, model in zip(MODELS, (clustering.model, models.classifier, models.value_model)):
-        model.write().overwrite().save(f"{staging}/{name}")
+    table(clustering.model.table(spark), MODELS[0])
+    for name, model in zip(MODELS[1:], (models.classifier, models.value_model)):
+        model.write(spark, f"{staging}/{name}")
     return dashboard.dashboard_dataset(transactions, features, analytics)
 
 
@@ -193,6 +201,16 @@ def published_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(published(spark, out, name)) for name in TABLES}
 
 
+def published_models(spark: SparkSession, out: str) -> dict[str, ClusterModel | ChurnModel | ValueModel]:
+    """The models of the current run, ready to score."""
+    clusters, churn, value = (published(spark, out, name) for name in MODELS)
+    return {
+        MODELS[0]: ClusterModel.read(spark.read.parquet(clusters)),
+        MODELS[1]: ChurnModel.read(spark, churn),
+        MODELS[2]: ValueModel.read(spark, value),
+    }
+
+
 def register_views(spark: SparkSession, out: str) -> None:
     """Make the published tables and the three reporting views available to ``spark.sql``."""
     t = published_tables(spark, out)

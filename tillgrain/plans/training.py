@@ -3,51 +3,147 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from dataclasses import asdict, dataclass
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillgrain.operators import boosting, forest, newton
 from tillgrain.operators.materialize import materialize
 from tillgrain.operators.ordered import exact_medians
 from tillgrain.plans.metrics import classifier_metrics, regression_metrics
 from tillgrain.plans.scoring import customer_analytics
 from tillgrain.schemas import FEATURES, FOREST_NAME, LOGISTIC_NAME, MODEL_METRICS, VALUE_MODEL_NAME
+from tillgrain.sources.tables import write_json, write_table
 
 # Only this feature can be missing: a single order in the window has no gap.
 IMPUTED = ("avg_days_between_orders",)
+#: Feature columns as the models see them, and what tells the rows of the training set apart.
+INPUTS = tuple(f"input_{name}" for name in FEATURES)
+ROW_KEY = ("snapshot_date", "customer_id")
 
 
 @dataclass(frozen=True)
 class ModelSettings:
-    """Sizes of the models. 30 is the greatest depth that ``pyspark.ml`` allows; lower it
-    where the driver, which holds the trained trees, is short of memory."""
+    """Sizes of the models; ``forest_depth`` bounds the trees where it is given."""
 
     trees: int = 300
-    forest_depth: int = 30
+    forest_depth: int | None = None
     forest_leaf_rows: int = 5
-    forest_bins: int = 64
+    forest_bins: int = 255
     boosting_rounds: int = 200
     boosting_step: float = 0.05
-    boosting_depth: int = 5
+    boosting_leaves: int = 31
     boosting_bins: int = 255
     boosting_leaf_rows: int = 20
     logistic_iterations: int = 2000
     seed: int = 42
 
+    def forest(self) -> forest.ForestSettings:
+        tried = max(1, int(len(FEATURES) ** 0.5))
+        return forest.ForestSettings(
+            self.trees, self.forest_leaf_rows, tried, self.forest_bins, self.seed, depth=self.forest_depth
+        )
+
+    def boosting(self) -> boosting.BoostingSettings:
+        return boosting.BoostingSettings(
+            self.boosting_rounds, self.boosting_step, self.boosting_leaves, self.boosting_leaf_rows, self.boosting_bins, self.seed
+        )
+
+
+def with_inputs(rows: DataFrame, medians: Mapping[str, float]) -> DataFrame:
+    """``rows`` with the inputs of the models: features as doubles, missing ones set to medians."""
+
+    def value(name: str):
+        number = F.col(name).cast("double")
+        return F.coalesce(number, F.lit(float(medians.get(name, 0.0)))) if name in IMPUTED else number
+
+    return rows.withColumns({f"input_{name}": value(name) for name in FEATURES})
+
+
+@dataclass(frozen=True)
+class ChurnModel:
+    """One of the two classifiers with the medians it was fitted with."""
+
+    medians: Mapping[str, float]
+    logistic: newton.Logistic | None = None
+    trees: forest.Forest | None = None
+
+    def scores(self, rows: DataFrame) -> DataFrame:
+        """``rows`` and ``churn_score``."""
+        given = with_inputs(rows, self.medians)
+        if self.logistic is not None:
+            scored = given.withColumn("churn_score", self.logistic.probability())
+        else:
+            scored = forest.forest_scores(self.trees, given, "churn_score")
+        return scored.select(*rows.columns, "churn_score")
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        form = {"medians": dict(self.medians)}
+        if self.logistic is not None:
+            form["logistic"] = asdict(self.logistic)
+        else:
+            trees = self.trees
+            form["forest"] = {"inputs": trees.inputs, "edges": trees.edges, "tops": [asdict(t) for t in trees.tops]}
+            write_table(trees.grown, f"{path}/trees")
+        _write_form(spark, form, path)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> ChurnModel:
+        form = _read_form(spark, path)
+        if "logistic" in form:
+            found = {k: tuple(v) if isinstance(v, list) else v for k, v in form["logistic"].items()}
+            return cls(form["medians"], logistic=newton.Logistic(**found))
+        kept = form["forest"]
+        tops = [forest.Top(**t) for t in kept["tops"]]
+        grown = spark.read.schema(forest.GROWN_DDL).parquet(f"{path}/trees")
+        return cls(form["medians"], trees=forest.Forest(tuple(kept["inputs"]), kept["edges"], tops, grown))
+
+
+@dataclass(frozen=True)
+class ValueModel:
+    """Boosted trees on the log of future revenue."""
+
+    medians: Mapping[str, float]
+    boosted: boosting.Boosted
+
+    def scores(self, rows: DataFrame) -> DataFrame:
+        """``rows`` and ``value_score``, turned back from logs and not below 0."""
+        scored = boosting.boosted_scores(self.boosted, with_inputs(rows, self.medians), "_log")
+        value = F.greatest(F.expm1("_log"), F.lit(0.0))
+        return scored.withColumn("value_score", value).select(*rows.columns, "value_score")
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        boosted = self.boosted
+        trees = [{k: v.tolist() for k, v in vars(t).items()} for t in boosted.trees]
+        form = {"inputs": boosted.inputs, "edges": boosted.edges, "base": boosted.base, "trees": trees, "losses": boosted.losses}
+        _write_form(spark, {"medians": dict(self.medians), "boosted": form}, path)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> ValueModel:
+        form = _read_form(spark, path)
+        kept = form["boosted"]
+        trees = [boosting.Tree(**{k: np.array(v) for k, v in t.items()}) for t in kept["trees"]]
+        return cls(form["medians"], boosting.Boosted(tuple(kept["inputs"]), kept["edges"], kept["base"], trees, kept["losses"]))
+
+
+def _write_form(spark: SparkSession, form: Mapping, path: str) -> None:
+    """What all tasks need of a model, as one JSON record of text."""
+    write_json(spark.createDataFrame([(json.dumps(form),)], "form string"), f"{path}/form")
+
+
+def _read_form(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.schema("form string").json(f"{path}/form").first()["form"])
+
 
 @dataclass(frozen=True)
 class TrainedModels:
     classifier_name: str
-    classifier: PipelineModel
-    value_model: PipelineModel
+    classifier: ChurnModel
+    value_model: ValueModel
     metrics: DataFrame
     validation_date: dt.date
     test_date: dt.date
@@ -94,22 +190,6 @@ def value_targets(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def _inputs(medians: Mapping[str, float]) -> list:
-    """Stages that turn feature columns into one vector, missing values set to medians."""
-
-    def expression(name: str) -> str:
-        number = f"CAST({name} AS DOUBLE)"
-        if name in IMPUTED:
-            number = f"coalesce({number}, {float(medians.get(name, 0.0))!r}D)"
-        return f"{number} AS input_{name}"
-
-    columns = ", ".join(expression(name) for name in FEATURES)
-    return [
-        SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"input_{n}" for n in FEATURES], outputCol="inputs"),
-    ]
-
-
 def _balanced(rows: DataFrame) -> tuple[DataFrame, int]:
     """Weights that give both outcomes the same total, and the row count."""
     counts = {r["churn"]: r["count"] for r in rows.groupBy("churn").count().collect()}
@@ -122,98 +202,52 @@ def _balanced(rows: DataFrame) -> tuple[DataFrame, int]:
 
 def fit_classifier(
     name: str, rows: DataFrame, medians: Mapping[str, float], settings: ModelSettings
-) -> PipelineModel:
-    weighted, n = _balanced(rows)
+) -> ChurnModel:
+    given = with_inputs(rows, medians)
     if name == LOGISTIC_NAME:
-        # Weights sum to n, so a penalty of 1/n equals an inverse strength of 1.
-        stages = [
-            StandardScaler(inputCol="inputs", outputCol="features", withMean=True),
-            LogisticRegression(
-                labelCol="churn",
-                weightCol="class_weight",
-                maxIter=settings.logistic_iterations,
-                regParam=1.0 / n,
-                elasticNetParam=0.0,
-                standardization=False,
-            ),
-        ]
-    else:
-        stages = [
-            RandomForestClassifier(
-                featuresCol="inputs",
-                labelCol="churn",
-                weightCol="class_weight",
-                numTrees=settings.trees,
-                maxDepth=settings.forest_depth,
-                maxBins=settings.forest_bins,
-                minInstancesPerNode=settings.forest_leaf_rows,
-                seed=settings.seed,
-            )
-        ]
-    return Pipeline(stages=[*_inputs(medians), *stages]).fit(weighted)
-
-
-def churn_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    scored = model.transform(rows)
-    return scored.withColumn("churn_score", vector_to_array("probability")[1]).select(
-        *rows.columns, "churn_score"
-    )
+        weighted = materialize(_balanced(given)[0].select(*INPUTS, "churn", "class_weight"), "weighted")
+        found = newton.fit_logistic(weighted, INPUTS, "churn", "class_weight", 1.0, settings.logistic_iterations)
+        return ChurnModel(dict(medians), logistic=found)
+    return ChurnModel(dict(medians), trees=forest.fit_forest(given, INPUTS, "churn", ROW_KEY, settings.forest()))
+
+
+def churn_scores(model: ChurnModel, rows: DataFrame) -> DataFrame:
+    return model.scores(rows)
 
 
 def fit_value_model(
     rows: DataFrame, medians: Mapping[str, float], settings: ModelSettings
-) -> PipelineModel:
-    """Boosted trees on the log of future revenue; the last stage turns logs back."""
+) -> ValueModel:
     target = F.log1p(F.greatest(F.col("future_revenue").cast("double"), F.lit(0.0)))
-    stages = [
-        *_inputs(medians),
-        GBTRegressor(
-            featuresCol="inputs",
-            labelCol="log_revenue",
-            maxIter=settings.boosting_rounds,
-            stepSize=settings.boosting_step,
-            maxDepth=settings.boosting_depth,
-            maxBins=settings.boosting_bins,
-            minInstancesPerNode=settings.boosting_leaf_rows,
-            seed=settings.seed,
-        ),
-        SQLTransformer(
-            statement="SELECT *, greatest(expm1(prediction), 0D) AS value_score FROM __THIS__"
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows.withColumn("log_revenue", target))
+    given = with_inputs(rows, medians).withColumn("log_revenue", target)
+    return ValueModel(dict(medians), boosting.fit_boosted(given, INPUTS, "log_revenue", ROW_KEY, settings.boosting()))
 
 
-def value_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).select(*rows.columns, "value_score")
+def value_scores(model: ValueModel, rows: DataFrame) -> DataFrame:
+    return model.scores(rows)
 
 
 def train_models(snapshots: DataFrame, settings: ModelSettings = ModelSettings()) -> TrainedModels:
     """Select the classifier on the validation date, refit on all dates before the test
-    date, and evaluate once on the test date.
-
-    The fits that do not wait for the selection run side by side: each is a long row of
-    short jobs, so one alone leaves executors idle.
-    """
+    date, and evaluate once on the test date."""
     stored = materialize(snapshots, "training")
     train, validation, test, validation_date, test_date = temporal_split(stored)
     if train.isEmpty():
         raise ValueError("The temporal split left no training rows.")
     development = stored.filter(F.col("snapshot_date") < F.lit(test_date))
 
-    def evaluated(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
+    def evaluated(model: ChurnModel, rows: DataFrame) -> dict[str, float]:
         return classifier_metrics(churn_scores(model, rows), "churn_score", "churn").first().asDict()
 
     train_medians = exact_medians(train, IMPUTED)
     medians = exact_medians(development, IMPUTED)
     names = (LOGISTIC_NAME, FOREST_NAME)
-    with ThreadPoolExecutor(len(names) + 1) as pool:
-        value_fit = pool.submit(fit_value_model, development, medians, settings)
-        fits = {n: pool.submit(fit_classifier, n, train, train_medians, settings) for n in names}
-        on_validation = {name: evaluated(fits[name].result(), validation) for name in names}
-        best = max(on_validation, key=lambda name: on_validation[name]["roc_auc"])
-        classifier = fit_classifier(best, development, medians, settings)
-        value_model = value_fit.result()
+    on_validation = {
+        name: evaluated(fit_classifier(name, train, train_medians, settings), validation) for name in names
+    }
+    best = max(on_validation, key=lambda name: on_validation[name]["roc_auc"])
+    classifier = fit_classifier(best, development, medians, settings)
+    value_model = fit_value_model(development, medians, settings)
     value_found = regression_metrics(
         value_scores(value_model, test), "future_revenue", "value_score"
     ).first().asDict()
