@@ -8,6 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillgrain.operators import ordered
+from tillgrain.operators.distinct import extended_dictionary, merged_reach, reach, reach_state, rolled_up
+from tillgrain.operators.distinct import totals_with_distinct
 from tillgrain.operators.materialize import dropping_intermediates, materialize
 from tillgrain.operators.neighbours import with_previous
 from tillgrain.session import shared_folder
@@ -86,3 +88,48 @@ def test_intermediates_go_to_the_shared_folder_and_can_be_dropped(spark):
         assert exists(spark, path)
     assert not exists(spark, path)
     assert kept.count() == 3
+
+
+def test_totals_with_distinct_counts_have_no_expand(spark):
+    rows = [(i % 7, None if i % 5 == 0 else f"v{i % 11}", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b string, n long").repartition(4)
+    n = F.col("n")
+    found = totals_with_distinct(df, {"a": F.col("a"), "b": F.col("b")}, {"total": n}, {"low": n}, {"high": n})
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.first().asDict() == {"_rows": 300, "total": sum(range(300)), "low": 0, "high": 299, "a": 7, "b": 11}
+    empty = totals_with_distinct(df.limit(0), {"a": F.col("a")}, {"total": n}).first()
+    assert (empty["_rows"], empty["total"], empty["a"]) == (0, None, 0)
+
+
+def test_stored_reach_takes_in_a_new_period(spark, tmp_path):
+    """The state of the first rows and that of the new ones give the counts of all rows."""
+    rows = [(f"m{i % 3}" if i % 4 else None, f"c{i * 7919 % 401}" if i % 9 else None) for i in range(4000)]
+    old, new = (
+        spark.createDataFrame(part, "month string, customer string").repartition(3) for part in (rows[:2500], rows[2300:])
+    )
+    group, place = ["month"], str(tmp_path)
+    first = materialize(extended_dictionary(None, old, "customer"), "dictionary")
+    numbers = sorted(r["number"] for r in first.collect())
+    assert numbers == list(range(1, len(numbers) + 1))
+    reach_state(old, group, "customer", first).write.parquet(f"{place}/state")
+    second = materialize(extended_dictionary(first, new, "customer"), "dictionary")
+    assert first.exceptAll(second).isEmpty()  # every value keeps its number
+    numbers = sorted(r["number"] for r in second.collect())
+    assert numbers == list(range(1, len(numbers) + 1))
+    stored = spark.read.parquet(f"{place}/state")
+    whole = merged_reach([stored, reach_state(new, group, "customer", second)], group)
+    found = {r["month"]: r["n"] for r in reach(whole, group, "n").collect()}
+    wanted = {}
+    for month, customer in rows:
+        if customer:
+            wanted.setdefault(month, set()).add(customer)
+    assert found == {m: len(c) for m, c in wanted.items()}
+    everyone = reach(rolled_up(whole, []), [], "n").first()["n"]
+    assert everyone == len({c for _, c in rows if c})
+
+
+def test_bitmaps_span_buckets(spark):
+    df = spark.range(70_000).selectExpr("cast(id as string) as v", "1 as g")
+    dictionary = materialize(extended_dictionary(None, df, "v"), "dictionary")
+    state = reach_state(df, ["g"], "v", dictionary)
+    assert state.count() == 3 and reach(state, ["g"], "n").first()["n"] == 70_000

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.plans import customers, dashboard, full_run, quality, snapshots, training
 from tillgrain.schemas import CUSTOMER_ANALYTICS, EXPORT_COLUMNS, SOURCE_COLUMNS, TRANSACTIONS
-from tillgrain.sources import star_schema
+from tillgrain.sources import commits, star_schema
 from tillgrain.sources.export import export_dataset, validate_export
 from tillgrain.sources.raw_lines import load_periods
 from tillgrain.sources.tables import read_csv, write_csv
@@ -193,3 +194,67 @@ def test_files_of_one_period_must_share_their_header(spark, tmp_path):
         (folder / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join(row[n] for n in order) + "\n")
     with pytest.raises(Exception, match="(?i)header"):
         load_periods(spark, {"p": str(folder)}).collect()
+
+
+def test_commits_of_two_runs_at_once_are_both_in_the_log(spark, tmp_path):
+    base = str(tmp_path / "out")
+    assert commits.latest(spark, base) is None and commits.versions(spark, base) == []
+    seen = commits.commit(spark, base, "run-a", 0).version
+    # Both looked at version 1; the second is refused, or follows.
+    assert commits.commit(spark, base, "run-b", seen).version == 2
+    with pytest.raises(commits.CommitRefused, match="run-b"):
+        commits.commit(spark, base, "run-c", seen, retry=False)
+    assert commits.commit(spark, base, "run-c", seen).version == 3
+    assert commits.latest(spark, base).run == "run-c"
+    assert [(r["version"], r["run"]) for r in commits.history(spark, base).orderBy("version").collect()] == [
+        (1, "run-a"), (2, "run-b"), (3, "run-c"),
+    ]
+
+
+def test_many_writers_get_a_version_each(spark, tmp_path):
+    base = str(tmp_path / "out")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: commits.commit(spark, base, f"run-{i}", 0), range(24)))
+    assert sorted(c.version for c in made) == list(range(1, 25))
+    found = commits.history(spark, base).collect()
+    assert {r["run"] for r in found} == {f"run-{i}" for i in range(24)}
+    assert not [n for n in (tmp_path / "out" / commits.LOG).iterdir() if n.name.endswith(".new")]
+
+
+def test_a_run_leaves_the_folders_of_others_alone(spark, tmp_path, monkeypatch):
+    """A run that another one overtakes is published after it; folders not in the log stay."""
+    base = tmp_path / "out"
+
+    def build(_spark, _raw, staging, *_):
+        Path(staging).mkdir(parents=True)
+        if len(list(base.glob("run-*"))) == 1:  # while the first run builds, a second one ends
+            full_run.run(spark, {}, str(base))
+        return None
+
+    monkeypatch.setattr(full_run, "load_periods", lambda *_: None)
+    monkeypatch.setattr(full_run, "_build", build)
+    monkeypatch.setattr(full_run, "export_dataset", lambda *_: {})
+    (base / "run-unfinished").mkdir(parents=True)
+    (base / "run-unfinished").rename(base / "elsewhere-unfinished")
+    full_run.run(spark, {}, str(base))
+    assert commits.versions(spark, str(base)) == [1, 2]
+    assert len(list(base.glob("run-*"))) == 2 and (base / "elsewhere-unfinished").exists()
+    full_run.run(spark, {}, str(base))
+    kept = {commits.commit_at(spark, str(base), v).run for v in (2, 3)}
+    assert {p.name for p in base.glob("run-*")} == kept
+
+
+def test_checks_are_counted_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else "x") for i in range(1000)], "n int, t string")
+    rules = {"t missing": F.col("t").isNotNull(), "n above 900": F.col("n") <= 900}
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("observed", "one job")
+    written, found = quality.observed_write(df, str(tmp_path / "a"), rules)
+    assert len(jobs.getJobIdsForGroup("observed")) == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == quality.violations(written, rules) == {"rows": 1000, "t missing": 100, "n above 900": 99}
+    with pytest.raises(ValueError, match="a breaks"):
+        quality.written_checked(df, str(tmp_path / "b"), rules, "a")
+    with pytest.raises(ValueError, match="a is empty"):
+        quality.written_checked(df.limit(0), str(tmp_path / "c"), rules, "a")
+    assert quality.written_checked(df, str(tmp_path / "d"), {"n": F.col("n") >= 0}, "a").count() == 1000

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tillgrain.operators.materialize import dropping_intermediates, materialize
 from tillgrain.plans import cleaning, customers, dashboard, orders, performance, quality
@@ -27,8 +27,9 @@ from tillgrain.schemas import (
     PREDICTION_DAYS,
     SNAPSHOT_DATES,
 )
+from tillgrain.sources import commits
 from tillgrain.sources.export import export_dataset
-from tillgrain.sources.paths import children, delete, exists, read_text, write_text
+from tillgrain.sources.paths import delete, exists
 from tillgrain.sources.raw_lines import load_periods
 from tillgrain.sources.tables import (
     model_inputs,
@@ -52,8 +53,8 @@ TABLES = (
 REPORTS = ("data_quality_report", "model_metadata")
 MODELS = ("rfm_clusters", "churn_classifier", "customer_value")
 EXPORT = "dashboard_dataset"
-# The file that names the folder of the current run.
-CURRENT = "_current"
+# Published runs that stay: the current one, and the one before for those who still read it.
+RUNS_KEPT = 2
 
 
 def model_metadata(
@@ -92,13 +93,15 @@ def run(
     snapshot_dates: Sequence[dt.date] = SNAPSHOT_DATES,
     settings: ModelSettings = ModelSettings(),
     clean_csv: bool = False,
+    follow_others: bool = True,
     **cluster_options: int,
 ) -> dict[str, int]:
     """Build and publish everything under ``out``; returns the exported rows per grain.
 
-    A run writes to a folder of its own, and the one small file that names the current run
-    is replaced last. A run that fails at any step leaves the earlier one current and whole.
-    The folder of the run before stays for those who still read it; older ones go.
+    A run writes to a folder of its own and enters the log of commits last, so a run that fails at
+    any step leaves the earlier one current and whole. Runs at the same time do not see each other:
+    the one that ends later follows the other in the log, or with ``follow_others`` off is refused.
+    Folders of runs older than the last two in the log go.
     """
     missing = [p for p in periods.values() if not exists(spark, p)]
     if missing:
@@ -106,6 +109,7 @@ def run(
     base = out.rstrip("/")
     run_name = f"run-{uuid.uuid4().hex}"
     staging = f"{base}/{run_name}"
+    before = commits.latest(spark, base)
     try:
         with dropping_intermediates(spark):
             raw = load_periods(spark, periods, file_format)
@@ -113,23 +117,22 @@ def run(
                 spark, raw, staging, country_map, snapshot_dates, settings, clean_csv, cluster_options
             )
             counts = export_dataset(parts, f"{staging}/{EXPORT}")
-        before = read_text(spark, f"{base}/{CURRENT}")
-        write_text(spark, f"{base}/{CURRENT}", run_name)
+        made = commits.commit(spark, base, run_name, before.version if before else 0, follow_others)
     except Exception:
         delete(spark, staging)
         raise
-    for name in children(spark, base):
-        if name.startswith("run-") and name not in (run_name, before):
-            delete(spark, f"{base}/{name}")
+    for version in commits.versions(spark, base):
+        if version <= made.version - RUNS_KEPT:
+            delete(spark, f"{base}/{commits.commit_at(spark, base, version).run}")
     return counts
 
 
 def published(spark: SparkSession, out: str, name: str) -> str:
     """Path of a published table, report, model or export of the current run."""
-    current = read_text(spark, f"{out.rstrip('/')}/{CURRENT}")
+    current = commits.latest(spark, out)
     if current is None:
         raise FileNotFoundError(f"Nothing is published under {out}.")
-    return f"{out.rstrip('/')}/{current}/{name}"
+    return f"{out.rstrip('/')}/{current.run}/{name}"
 
 
 def _build(
@@ -145,14 +148,16 @@ def _build(
     def table(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, f"{staging}/{name}")
 
+    def checked(df: DataFrame, name: str, rules: Mapping[str, Column]) -> DataFrame:
+        return quality.written_checked(df, f"{staging}/{name}", rules, name)
+
     lines = cleaning.normalise(raw, country_map, strict=True)
     distinct = materialize(cleaning.distinct_lines(lines), "distinct")
     write_json(cleaning.quality_report(distinct), f"{staging}/data_quality_report")
     accepted = cleaning.accepted_lines(distinct)
     if clean_csv:
         write_clean_csv(accepted, f"{staging}/clean_transactions")
-    transactions = table(cleaning.number_transactions(accepted), "transactions")
-    quality.require(transactions, quality.transaction_rules(), "transactions")
+    transactions = checked(cleaning.number_transactions(accepted), "transactions", quality.transaction_rules())
 
     # The window over each customer's orders runs once; four products read its result.
     sequence = materialize(orders.sequenced(orders.invoices(transactions)), "sequence")
@@ -168,15 +173,13 @@ def _build(
         snapshots.snapshot_dataset(inputs, snapshot_dates, sequenced_invoices=sequence), settings
     )
     current = snapshots.current_features(inputs, sequenced_invoices=sequence)
-    analytics = table(
+    analytics = checked(
         score_customers(current, models, clustering.assigned).select(*CUSTOMER_ANALYTICS.names),
         "customer_analytics",
+        quality.analytics_rules(),
     )
-    profiles = table(clustering.profiles, "cluster_profiles")
-    found = table(models.metrics, "model_metrics")
-    quality.require(analytics, quality.analytics_rules(), "customer_analytics")
-    quality.require(profiles, quality.profile_rules(), "cluster_profiles")
-    quality.require(found, quality.metric_rules(), "model_metrics")
+    checked(clustering.profiles, "cluster_profiles", quality.profile_rules())
+    found = checked(models.metrics, "model_metrics", quality.metric_rules())
     quality.require_unique(
         found, ["model_type", "model_name", "evaluation_split", "metric"], "model_metrics"
     )

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tillgrain.sources.tables import write_table
+
 
 def violations(df: DataFrame, rules: Mapping[str, Column]) -> dict[str, int]:
     """Rows breaking each rule; a rule that evaluates to NULL counts as broken."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()],
-    ).first()
-    return counted.asDict()
+    return df.agg(*_counts(rules)).first().asDict()
 
 
 def violation_rows(df: DataFrame, rules: Mapping[str, Column], table: str) -> DataFrame:
@@ -41,16 +39,43 @@ def key_violations(child: DataFrame, parent: DataFrame, key: str, table: str) ->
     return rows[0].unionByName(rows[1])
 
 
-def require(df: DataFrame, rules: Mapping[str, Column], table: str) -> int:
-    """Row count of ``df``; raises if it is empty or breaks a rule."""
-    found = violations(df, rules)
-    rows = found.pop("rows")
-    if rows == 0:
+def _counts(rules: Mapping[str, Column]) -> list[Column]:
+    """Rows, and rows breaking each rule; a rule that evaluates to NULL counts as broken."""
+    broken = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+    return [F.count(F.lit(1)).alias("rows"), *broken]
+
+
+def _accepted(found: Mapping[str, int], table: str) -> int:
+    """The row count among ``found``; raises if it is 0 or a rule is broken."""
+    broken = {name: n for name, n in found.items() if n and name != "rows"}
+    if found["rows"] == 0:
         raise ValueError(f"{table} is empty.")
-    broken = {name: n for name, n in found.items() if n}
     if broken:
         raise ValueError(f"{table} breaks {broken}")
-    return rows
+    return found["rows"]
+
+
+def observed_write(df: DataFrame, path: str, rules: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Write the Parquet table at ``path`` and count its rows and broken rules in the same job.
+
+    Every written row passes the counting once, in the task that writes it, so no second scan follows.
+    """
+    seen = Observation()
+    written = write_table(df.observe(seen, *_counts(rules)), path)
+    # Tasks without rows report nothing, so an empty table has no counts of its own.
+    return written, {"rows": 0, **dict.fromkeys(rules, 0), **{k: v or 0 for k, v in seen.get.items()}}
+
+
+def written_checked(df: DataFrame, path: str, rules: Mapping[str, Column], table: str) -> DataFrame:
+    """``observed_write``, raising if the table is empty or breaks a rule."""
+    written, found = observed_write(df, path, rules)
+    _accepted(found, table)
+    return written
+
+
+def require(df: DataFrame, rules: Mapping[str, Column], table: str) -> int:
+    """Row count of ``df``; raises if it is empty or breaks a rule."""
+    return _accepted(violations(df, rules), table)
 
 
 def _filled(*names: str) -> dict[str, Column]:

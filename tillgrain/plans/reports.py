@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillgrain.functions.exact import MONEY, mean, percent
+from tillgrain.operators.distinct import totals_with_distinct
 from tillgrain.operators.ordered import POSITION, SLICE, slice_offsets, spread_in_order
 from tillgrain.plans.performance import month_of
 
 
 def data_validation(transactions: DataFrame) -> DataFrame:
-    return transactions.agg(
-        F.count(F.lit(1)).alias("transaction_rows"),
-        F.count_distinct("invoice_no").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.min("invoice_date").alias("first_transaction"),
-        F.max("invoice_date").alias("last_transaction"),
-        F.sum("revenue").alias("total_revenue"),
+    counted = {"orders": F.col("invoice_no"), "customers": F.col("customer_id")}
+    day = F.col("invoice_date")
+    found = totals_with_distinct(
+        transactions, counted, {"total_revenue": F.col("revenue")}, {"first_transaction": day}, {"last_transaction": day}
+    )
+    summed = transactions.select(F.sum("revenue").alias("revenue")).schema["revenue"].dataType
+    return found.select(
+        F.col("_rows").alias("transaction_rows"), "orders", "customers", "first_transaction", "last_transaction",
+        F.col("total_revenue").cast(summed).alias("total_revenue"),
     )
 
 

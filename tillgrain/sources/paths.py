@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -22,39 +26,47 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(target, "*")) or ()]
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, put in place in one step where the store can rename."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place, whole and at once; False if there is one already.
+
+    Of several writers exactly one succeeds: a hard link on local disks and a rename that does not
+    overwrite elsewhere, which file systems such as HDFS do in one step.
+    """
     files, target = _resolve(spark, path)
-    _, aside = _resolve(spark, f"{path}.new")
     files.mkdirs(target.getParent())
-    stream = files.create(aside, True)
+    _, aside = _resolve(spark, f"{path}.{uuid.uuid4().hex}.new")
+    stream = files.create(aside, False)
     stream.write(bytearray(text.encode()))
     stream.close()
-    files.delete(target, False)
-    if not files.rename(aside, target):
-        raise OSError(f"Could not write {path}.")
+    try:
+        if files.getScheme() == "file":
+            os.link(aside.toUri().getPath(), target.toUri().getPath())
+        else:
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+            options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+            flags = spark.sparkContext._gateway.new_array(options, 1)
+            flags[0] = options.NONE
+            context.rename(aside, target, flags)
+        return True
+    except (FileExistsError, Py4JJavaError):
+        if files.exists(target):
+            return False
+        raise
+    finally:
+        files.delete(aside, False)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small file; None if it is missing."""
-    for place in (path, f"{path}.new"):  # the second holds the text between delete and rename
-        files, target = _resolve(spark, place)
-        if files.exists(target):
-            stream = files.open(target)
-            try:
-                size = files.getFileStatus(target).getLen()
-                return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)).decode()
-            finally:
-                stream.close()
-    return None
-
-
-def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """Size, file count and change time of a file or folder, to notice new content."""
     files, target = _resolve(spark, path)
-    summary = files.getContentSummary(target)
-    changed = files.getFileStatus(target).getModificationTime()
-    return summary.getLength(), summary.getFileCount(), changed
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        size = files.getFileStatus(target).getLen()
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)).decode()
+    finally:
+        stream.close()
 
 
 def delete(spark: SparkSession, path: str) -> None:
