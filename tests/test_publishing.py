@@ -8,12 +8,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tillgrain.plans import customers, dashboard, full_run, quality, snapshots, training
+from tillgrain.operators.materialize import materialize
+from tillgrain.plans import customers, dashboard, full_run, orders, quality, reports, snapshots, training
 from tillgrain.schemas import CUSTOMER_ANALYTICS, EXPORT_COLUMNS, SOURCE_COLUMNS, TRANSACTIONS
-from tillgrain.sources import commits, star_schema
+from tillgrain.sources import commits, layout, star_schema
 from tillgrain.sources.export import export_dataset, validate_export
 from tillgrain.sources.raw_lines import load_periods
-from tillgrain.sources.tables import read_csv, write_csv
+from tillgrain.sources.tables import read_csv, write_csv, write_table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -258,3 +259,56 @@ def test_checks_are_counted_while_writing(spark, tmp_path):
     with pytest.raises(ValueError, match="a is empty"):
         quality.written_checked(df.limit(0), str(tmp_path / "c"), rules, "a")
     assert quality.written_checked(df, str(tmp_path / "d"), {"n": F.col("n") >= 0}, "a").count() == 1000
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_customers_join_without_an_exchange(spark, tmp_path):
+    rows = [(f"c{i}", i) for i in range(500)]
+    names = [f.name for f in CUSTOMER_ANALYTICS]
+    features = spark.createDataFrame(rows, "customer_id string, monetary int").withColumns(
+        {c: F.lit("x") for c in ("primary_country", "rfm_segment")} | {c: F.lit(1) for c in ("recency_days", "frequency")}
+    )
+    scores = spark.createDataFrame(rows, "customer_id string, n int").select(
+        "customer_id", *[F.lit("High").alias(c) for c in names if c != "customer_id"]
+    )
+    one = layout.write_bucketed(features, str(tmp_path / "features"), "customer_id", 4)
+    two = layout.write_bucketed(scores, str(tmp_path / "scores"), "customer_id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(reports.retention_targets(one, two))
+        assert "SortMergeJoin" in plan and "hashpartitioning(customer_id" not in plan
+        plain = plan_of(reports.retention_targets(features, scores))
+        assert "hashpartitioning(customer_id" in plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert one.exceptAll(features).isEmpty() and one.count() == 500
+    # Another session knows the buckets from the note beside the files.
+    spark.sql(f"DROP TABLE {layout._catalog_name(str(tmp_path / 'features'))}")
+    again = layout.read_bucketed(spark, str(tmp_path / "features"))
+    assert again.count() == 500 and layout.is_bucketed(spark, str(tmp_path / "features"))
+    assert not layout.is_bucketed(spark, str(tmp_path))
+
+
+def test_snapshots_read_the_months_of_their_windows_only(spark, tmp_path):
+    lines = star_schema.clean_lines(spark, FOLDER)
+    path = str(tmp_path / "lines")
+    stored = write_table(layout.with_month(lines), path, layout.MONTH)
+    dates = star_schema.SNAPSHOTS[1:3]
+    sequence = materialize(orders.sequenced(orders.invoice_totals(lines)), "sequence")
+    found = snapshots.snapshot_dataset(stored, dates, sequenced_invoices=sequence)
+    assert sorted(found.collect()) == sorted(snapshots.snapshot_dataset(lines, dates, sequenced_invoices=sequence).collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(invoice_month" in plan
+    months = layout.within_months(stored, dates[0] - dt.timedelta(180), dates[-1])
+    read = {Path(r[0]).parent.name for r in months.select(F.input_file_name()).distinct().collect()}
+    whole = {p.name for p in Path(path).glob("invoice_month=*")}
+    first, last = (dates[0] - dt.timedelta(180)).replace(day=1), dates[-1]
+    assert read == {n for n in whole if str(first) <= n.split("=")[1] <= str(last)} and len(read) < len(whole) / 4
+    current = snapshots.current_features(stored, sequenced_invoices=sequence)
+    assert sorted(current.collect(), key=str) == sorted(
+        snapshots.current_features(lines, sequenced_invoices=sequence).collect(), key=str
+    )

@@ -29,6 +29,7 @@ from tillgrain.schemas import (
 )
 from tillgrain.sources import commits
 from tillgrain.sources.export import export_dataset
+from tillgrain.sources.layout import MONTH, is_bucketed, read_bucketed, with_month, write_bucketed
 from tillgrain.sources.paths import delete, exists
 from tillgrain.sources.raw_lines import load_periods
 from tillgrain.sources.tables import (
@@ -148,8 +149,16 @@ def _build(
     def table(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, f"{staging}/{name}")
 
-    def checked(df: DataFrame, name: str, rules: Mapping[str, Column]) -> DataFrame:
-        return quality.written_checked(df, f"{staging}/{name}", rules, name)
+    def checked(df: DataFrame, name: str, rules: Mapping[str, Column], write=write_table) -> DataFrame:
+        return quality.written_checked(df, f"{staging}/{name}", rules, name, write)
+
+    def by_month(df: DataFrame, path: str) -> DataFrame:
+        return write_table(df, path, MONTH)
+
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def by_customer(df: DataFrame, path: str) -> DataFrame:
+        return write_bucketed(df, path, "customer_id", buckets)
 
     lines = cleaning.normalise(raw, country_map, strict=True)
     distinct = materialize(cleaning.distinct_lines(lines), "distinct")
@@ -157,12 +166,13 @@ def _build(
     accepted = cleaning.accepted_lines(distinct)
     if clean_csv:
         write_clean_csv(accepted, f"{staging}/clean_transactions")
-    transactions = checked(cleaning.number_transactions(accepted), "transactions", quality.transaction_rules())
+    numbered = with_month(cleaning.number_transactions(accepted))
+    transactions = checked(numbered, "transactions", quality.transaction_rules(), by_month)
 
     # The window over each customer's orders runs once; four products read its result.
     sequence = materialize(orders.sequenced(orders.invoices(transactions)), "sequence")
     table(orders.history_rows(sequence), "customer_order_history")
-    features = table(customers.customer_features(transactions, sequence), "customer_features")
+    features = by_customer(customers.customer_features(transactions, sequence), f"{staging}/customer_features")
     table(performance.monthly_sales(transactions), "monthly_sales")
     table(performance.country_performance(transactions), "country_performance")
     table(performance.product_performance(transactions), "product_performance")
@@ -177,6 +187,7 @@ def _build(
         score_customers(current, models, clustering.assigned).select(*CUSTOMER_ANALYTICS.names),
         "customer_analytics",
         quality.analytics_rules(),
+        by_customer,
     )
     checked(clustering.profiles, "cluster_profiles", quality.profile_rules())
     found = checked(models.metrics, "model_metrics", quality.metric_rules())
@@ -201,7 +212,12 @@ def _build(
 
 
 def published_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(published(spark, out, name)) for name in TABLES}
+    """The published tables, with their buckets where they have any; folders by month are no column."""
+    paths = {name: published(spark, out, name) for name in TABLES}
+    return {
+        name: read_bucketed(spark, path) if is_bucketed(spark, path) else spark.read.parquet(path).drop(MONTH)
+        for name, path in paths.items()
+    }
 
 
 def published_models(spark: SparkSession, out: str) -> dict[str, ClusterModel | ChurnModel | ValueModel]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -55,20 +55,31 @@ def _accepted(found: Mapping[str, int], table: str) -> int:
     return found["rows"]
 
 
-def observed_write(df: DataFrame, path: str, rules: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
-    """Write the Parquet table at ``path`` and count its rows and broken rules in the same job.
+def observed_write(
+    df: DataFrame,
+    path: str,
+    rules: Mapping[str, Column],
+    write: Callable[[DataFrame, str], DataFrame] = write_table,
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the Parquet table at ``path`` by ``write`` and count its rows and broken rules in the same job.
 
     Every written row passes the counting once, in the task that writes it, so no second scan follows.
     """
     seen = Observation()
-    written = write_table(df.observe(seen, *_counts(rules)), path)
+    written = write(df.observe(seen, *_counts(rules)), path)
     # Tasks without rows report nothing, so an empty table has no counts of its own.
     return written, {"rows": 0, **dict.fromkeys(rules, 0), **{k: v or 0 for k, v in seen.get.items()}}
 
 
-def written_checked(df: DataFrame, path: str, rules: Mapping[str, Column], table: str) -> DataFrame:
+def written_checked(
+    df: DataFrame,
+    path: str,
+    rules: Mapping[str, Column],
+    table: str,
+    write: Callable[[DataFrame, str], DataFrame] = write_table,
+) -> DataFrame:
     """``observed_write``, raising if the table is empty or breaks a rule."""
-    written, found = observed_write(df, path, rules)
+    written, found = observed_write(df, path, rules, write)
     _accepted(found, table)
     return written
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.plans.orders import invoice_totals, sequenced
 from tillgrain.schemas import OBSERVATION_DAYS, PREDICTION_DAYS, SNAPSHOT_DATES
+from tillgrain.sources.layout import within_months
 
 
 def _midnight(date: Column) -> Column:
@@ -26,7 +27,8 @@ def _tagged(
 ) -> DataFrame:
     """Rows once per snapshot with ``moment`` in ``[snapshot - before, snapshot + after)`` days.
 
-    The overall range is a filter that reaches the scan. The tags are plain comparisons
+    The overall range is a filter that reaches the scan, and names the folders of lines that lie
+    in folders by month. The tags are plain comparisons
     in an exploded array, which stays in generated code; a lambda over the dates or a
     join on ranges would not.
     """
@@ -34,6 +36,9 @@ def _tagged(
     def day(date: dt.date, shift: int) -> Column:
         return _midnight(F.lit(date + dt.timedelta(days=shift)))
 
+    df = within_months(
+        df, min(snapshots) - dt.timedelta(days=before), max(snapshots) + dt.timedelta(days=max(after, 1) - 1)
+    )
     at = F.col(moment)
     in_reach = (at >= day(min(snapshots), -before)) & (at < day(max(snapshots), after))
     tags = [F.when((at >= day(s, -before)) & (at < day(s, after)), F.lit(s)) for s in snapshots]
@@ -170,8 +175,9 @@ def current_features(
         F.to_date(F.min("order_timestamp")).alias("first_day"),
         F.to_date(F.max("order_timestamp")).alias("last_day"),
     )
+    recent = within_months(transactions, last_day + dt.timedelta(days=1 - observation_days), last_day)
     variety = (
-        transactions.filter(F.col("invoice_date") >= _midnight(start))
+        recent.filter(F.col("invoice_date") >= _midnight(start))
         .groupBy("customer_id")
         .agg(F.count_distinct("stock_code").alias("unique_products"))
     )
