@@ -177,6 +177,9 @@ def _reduced(words: DataFrame, symbols: int, spread: bool) -> DataFrame:
 def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
     """Pairs (id a, id b) of ``words`` (word, n, id) that differ by exactly one edit, each pair once."""
     symbols = symbols or symbols_for(words.count())
+    # Stored words lie in few files; their neighbourhoods are a hundred times as large.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = words.repartition(tasks, "id")
     plain = _reduced(words, symbols, False).select("number", F.col("id").alias("b"), F.col("mask").alias("mask_b"))
     spread = _reduced(words, symbols, True).select("number", F.col("id").alias("a"), "mask")
     # Both neighbourhoods hold the other's reduced word: the pair is taken from one side.
