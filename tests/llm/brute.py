@@ -189,3 +189,26 @@ def hard_negatives(rows, positives=5, negatives=10):
             fits = [s for s in scores if s[2] != own and 30 * -p <= 100 * -s[0] <= 90 * -p][:negatives]
             out |= {(a, positive, i + 1, k, -p, -s) for i, (s, k, _) in enumerate(fits)}
     return out
+
+
+def longest_matches(docs, items, window=13):
+    """Longest runs of equal words of documents and items, found cell by cell."""
+    def words(text):
+        return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
+
+    out = set()
+    for key, text in docs:
+        one = words(text)
+        for name, item in items:
+            two = words(item)
+            if name is None or not two:
+                continue
+            for i in range(len(one)):
+                for j in range(len(two)):
+                    if one[i] == two[j] and not (i and j and one[i - 1] == two[j - 1]):
+                        n = 0
+                        while i + n < len(one) and j + n < len(two) and one[i + n] == two[j + n]:
+                            n += 1
+                        if n >= min(window, len(two)):
+                            out.add((key, str(name), i, j, n))
+    return out

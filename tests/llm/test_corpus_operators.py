@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from tillgrain.llm import hard_negatives, packing, queries, spelling
+from tillgrain.llm import hard_negatives, packing, queries, spelling, suffix_matches, vector_tree
 from tillgrain.llm.token_files import tokenizer
 
 FOLDER = "/root/testdata/sf0.001"
@@ -219,3 +219,30 @@ def test_intervals_hold_every_score():
             assert (low <= score).all() and (score <= high).all()
             if dims == 64:
                 assert np.mean(high - low) < 1.6 * np.mean(length * length[i])
+
+
+# --- Longest matches and vector types --------------------------------------------------------
+
+
+def test_longest_matches(spark, small):
+    items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    rows = sorted(small, key=lambda r: len(r[1] or ""))[:60]
+    hot = [tuple(r) for r in items.select("item_id", "text").limit(8).collect()]
+    rows += [(9000 + i, f"before words {t} behind {t[len(t) // 2:]} {t}") for i, (_, t) in enumerate(hot)]
+    rows += [(1, None), (2, ""), (None, hot[0][1]), (9000, hot[1][1])]
+    df = documents(spark, rows)
+    few = spark.createDataFrame([*hot, (77, "a a a"), (78, None), (None, "before words")], items.select("item_id", "text").schema)
+    tests = [tuple(r) for r in few.collect()]
+    rows += [(3, "a a a a a")]
+    df = documents(spark, rows)
+    for block in (1 << 20, 400):
+        found = {tuple(r) for r in suffix_matches.longest_matches(df, few, block_bytes=block).collect()}
+        assert found == brute.longest_matches(rows, tests)
+    assert suffix_matches.longest_matches(df.limit(0), few).count() == 0
+
+
+def test_neighbours_of_doubles_keep_their_precision(spark):
+    rows = [(20, [0.123456789012345, 0.3], "x"), (21, [0.123456789, 0.3], "x"), (40, [1.0, 0.0], "x"), (41, [0.5, 0.5], "x")]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, ids string")
+    found = vector_tree.nearest(df, F.col("vec_id") == 40).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(41, 0.5), (20, 0.123456789012345), (21, 0.123456789)]

@@ -3,8 +3,8 @@
 A task joins the words of its documents to one sequence, a shard, and sorts the suffixes of the
 shard by their first ``window`` words with prefix doubling. Every suffix of every test item is
 then searched by binary search in the sorted suffixes: the range that shares its whole window
-gives all verbatim occurrences, and the neighbours of the insertion point give the longest match.
-Words that no test item has get numbers of their own, end matches, and start none, so suffixes
+gives all verbatim occurrences. ``longest_matches`` extends them: per run of hits of a document and
+an item its place in both and its greatest length. Words that no test item has get numbers of their own, end matches, and start none, so suffixes
 that begin with them need not be sorted.
 
 Test items are sent to the tasks in blocks of bounded size (``BLOCK_BYTES``); a larger test set
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.llm.rows import append_columns, as_bytes, packed
+from tillgrain.llm.rows import append_columns, as_bytes, map_texts, packed
 
 WINDOW = 13
 CUT = 20
@@ -58,7 +58,7 @@ class TestItems:
         self.window = window
         self.numbers: dict[bytes, int] = {}
         self.names: list[str] = []
-        rows, lengths, owner = [], [], []
+        rows, lengths, owner, place = [], [], [], []
         for name, raw in items:
             words = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(raw)]
             need = min(window, len(words))
@@ -69,9 +69,11 @@ class TestItems:
                 rows.append(words[i : i + need] + [0] * (window - need))
                 lengths.append(need)
                 owner.append(len(self.names) - 1)
+                place.append(i)
         self.rows = np.array(rows, dtype=np.int64).reshape(-1, window)
         self.lengths = np.array(lengths, dtype=np.int64)
         self.owner = np.array(owner, dtype=np.int64)
+        self.place = np.array(place, dtype=np.int64)
 
 
 def suffix_array(shard: np.ndarray, window: int) -> np.ndarray:
@@ -131,28 +133,41 @@ def _merged(starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
     return [s for s, _ in out], [e for _, e in out]
 
 
-def shard_hits(bodies: list[bytes], items: TestItems) -> list[tuple[int, list[int], list[int], list[str]]]:
-    """Per text of one shard: its words, its hit spans and the items that occur in it."""
-    number, window = items.numbers.get, items.window
+def _shard(bodies: list[bytes], items: TestItems) -> tuple[np.ndarray, list[int]]:
+    """Word numbers of the texts, a 0 behind each, and where each text begins."""
+    number = items.numbers.get
     numbers, bounds = [], [0]
     for raw in bodies:
         words = words_of(raw)
         numbers.extend([number(w, 0) for w in words])
         numbers.append(0)  # no match crosses the end of a text
         bounds.append(len(numbers))
-    shard = np.array(numbers + [0] * window, dtype=np.int32)
-    lengths = [b - a - 1 for a, b in zip(bounds, bounds[1:])]
-    found = [(n, [], [], []) for n in lengths]
+    return np.array(numbers + [0] * items.window, dtype=np.int32), bounds
+
+
+def _occurring(shard: np.ndarray, items: TestItems) -> tuple[np.ndarray, np.ndarray]:
+    """Test row and place in the shard of every occurrence."""
+    none = np.zeros(0, dtype=np.int64)
     if not len(items.rows):
-        return found
-    order = suffix_array(shard, window)
+        return none, none
+    order = suffix_array(shard, items.window)
     low, high = occurrences(shard, order, items)
     hits = high - low
     if not hits.any():
-        return found
+        return none, none
     row = np.repeat(np.arange(len(hits)), hits)
     place = np.arange(len(row)) - np.repeat(np.cumsum(hits) - hits, hits)
-    position = order[low[row] + place]
+    return row, order[low[row] + place]
+
+
+def shard_hits(bodies: list[bytes], items: TestItems) -> list[tuple[int, list[int], list[int], list[str]]]:
+    """Per text of one shard: its words, its hit spans and the items that occur in it."""
+    shard, bounds = _shard(bodies, items)
+    lengths = [b - a - 1 for a, b in zip(bounds, bounds[1:])]
+    found = [(n, [], [], []) for n in lengths]
+    row, position = _occurring(shard, items)
+    if not len(row):
+        return found
     edge = np.zeros(len(shard) + 1, dtype=np.int64)
     np.add.at(edge, position, 1)
     np.add.at(edge, position + items.lengths[row], -1)
@@ -172,6 +187,58 @@ def shard_hits(bodies: list[bytes], items: TestItems) -> list[tuple[int, list[in
     return found
 
 
+def shard_matches(bodies: list[bytes], items: TestItems) -> list[tuple[int, str, int, int, int]]:
+    """Longest verbatim matches: text, item, first word in the text and in the item, words.
+
+    Windows that follow each other in text and item alike are one match, which no word before or
+    behind it could make longer.
+    """
+    shard, bounds = _shard(bodies, items)
+    row, position = _occurring(shard, items)
+    if not len(row):
+        return []
+    owner, place = items.owner[row], items.place[row]
+    order = np.lexsort((position, position - place, owner))
+    row, position, owner, place = row[order], position[order], owner[order], place[order]
+    follows = (np.diff(owner) == 0) & (np.diff(position) == 1) & (np.diff(place) == 1)
+    first = np.flatnonzero(np.concatenate([[True], ~follows]))
+    runs = np.diff(np.concatenate([first, [len(row)]]))
+    text = np.searchsorted(np.array(bounds), position[first], side="right") - 1
+    words = runs - 1 + items.lengths[row[first]]
+    return [
+        (t, items.names[o], p - bounds[t], q, n)
+        for t, o, p, q, n in zip(
+            text.tolist(), owner[first].tolist(), position[first].tolist(), place[first].tolist(), words.tolist()
+        )
+    ]
+
+
+MATCHES = [
+    ("doc_id", pa.int64(), "bigint"), ("item_id", pa.string(), "string"), ("text_place", pa.int64(), "bigint"),
+    ("item_place", pa.int64(), "bigint"), ("n_words", pa.int64(), "bigint"),
+]
+
+
+def _match_rows(parts: Iterator[pa.RecordBatch], block, window: int):
+    items = TestItems(block.value, window)
+    for part in parts:
+        keys = part.column("doc_id").to_pylist()
+        yield [(keys[t], *match) for t, *match in shard_matches(part.column("body").to_pylist(), items)]
+
+
+def longest_matches(
+    documents: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """One row per longest match of ``window`` words or more (or a whole shorter item): doc_id,
+    item_id, text_place and item_place (words before it, in the row of the item), n_words."""
+    bodies = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), as_bytes().alias("body"))
+    context, found = documents.sparkSession.sparkContext, None
+    for block in item_blocks(items, block_bytes):
+        rows = map_texts(bodies, "body", _match_rows, MATCHES, context.broadcast(block), window)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def _search(parts: Iterator[pa.RecordBatch], block, window: int, merge: bool):
     items = TestItems(block.value, window)
     for part in parts:

@@ -121,10 +121,16 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64)
 
 
+def _kept_type(table: DataFrame) -> tuple[pa.DataType, str]:
+    """Arrow and Spark type of a vector: floats stay floats, all other numbers are doubles."""
+    element = table.schema["embedding"].dataType.elementType.simpleString()
+    return (pa.list_(pa.float32()), "array<float>") if element == "float" else (pa.list_(pa.float64()), "array<double>")
+
+
 def usable(table: DataFrame) -> DataFrame:
     """vec_id and embedding of the rows that take part."""
     rows = table.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(_kept_type(table)[1]).alias("embedding")
     ).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = rows.filter(F.coalesce(finite, F.lit(False)) & F.exists("embedding", lambda x: x != 0))
@@ -290,7 +296,7 @@ def nearest(table: DataFrame, is_query, neighbours: int = 20) -> DataFrame:
     sent = spark.sparkContext.broadcast(tree)
     fields = [
         ("vec_id", pa.int64(), "bigint"), ("leaf", pa.int64(), "bigint"),
-        ("ids", pa.list_(pa.int64()), "array<bigint>"), ("embedding", pa.list_(pa.float32()), "array<float>"),
+        ("ids", pa.list_(pa.int64()), "array<bigint>"), ("embedding", *_kept_type(table)),
     ]
     index = stored(_mapped(distinct.select("vec_id", "ids", "embedding"), _leaves, fields, sent), "vector-leaves")
     # Each query row with the vector of the index that equals it.
@@ -303,7 +309,7 @@ def nearest(table: DataFrame, is_query, neighbours: int = 20) -> DataFrame:
     wanted = asked.select(F.col("query").alias("vec_id")).distinct()
     queries = stored(wanted.join(index.select("vec_id", "embedding"), "vec_id"), "distinct-queries")
     count, _ = calibrated_visits(index, tree, queries, n)
-    fields = [("query", pa.int64(), "bigint"), ("leaf", pa.int64(), "bigint"), ("place", pa.int64(), "bigint"), ("embedding", pa.list_(pa.float32()), "array<float>")]
+    fields = [("query", pa.int64(), "bigint"), ("leaf", pa.int64(), "bigint"), ("place", pa.int64(), "bigint"), ("embedding", *_kept_type(table))]
     visits = stored(_mapped(queries.select("vec_id", "embedding"), _visits, fields, sent, count), "visits")
 
     # The first leaves give every query a score to beat; the others return only what reaches it.
