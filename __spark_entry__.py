@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from contextvars import ContextVar
 from functools import wraps
@@ -16,13 +17,15 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
-from tillgrain.operators import lloyd  # noqa: E402
-from tillgrain.operators.materialize import materialize  # noqa: E402
+from tillgrain.operators import lloyd, newton  # noqa: E402
+from tillgrain.operators.materialize import intermediates, materialize  # noqa: E402
 from tillgrain.operators.ordered import exact_medians  # noqa: E402
 from tillgrain.plans import cleaning, clusters, customers, dashboard, metrics  # noqa: E402
 from tillgrain.plans import orders, performance, quality, reports, scoring, snapshots  # noqa: E402
 from tillgrain.plans import training  # noqa: E402
 from tillgrain.sources import star_schema  # noqa: E402
+from tillgrain.sources.export import export_dataset  # noqa: E402
+from tillgrain.sources.tables import read_csv  # noqa: E402
 
 try:  # the text operators may be left out of an installation
     import corpus_pipeline
@@ -133,6 +136,12 @@ def _distinct(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.distinct_lines(cleaning.normalise(raw, star_schema.COUNTRY_SPELLINGS))
 
 
+@_kept
+def _stored_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct lines for queries that read them more than once."""
+    return materialize(_distinct(spark, folder), "distinct")
+
+
 def _order_history(spark: SparkSession, folder: str) -> DataFrame:
     return orders.order_history(_stored_lines(spark, folder))
 
@@ -222,10 +231,10 @@ def _run_checks(spark: SparkSession, folder: str) -> DataFrame:
     """The checks of a run as counts: rules on raw lines, scores and keys."""
     price = F.col("unit_price").cast("decimal(12,3)")
     quantity = F.col("quantity").cast("int")
-    lines = _distinct(spark, folder).withColumns(
+    lines = _stored_distinct(spark, folder).withColumns(
         {"quantity": quantity, "unit_price": price, "revenue": quantity * price}
     )
-    scores = _stand_in_scores(spark, folder)
+    scores = materialize(_stand_in_scores(spark, folder), "scores")
     current = _current(spark, folder)
     return (
         quality.violation_rows(lines, quality.transaction_rules(), "raw lines")
@@ -278,6 +287,46 @@ def _silhouette_scores(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("labelling", F.round("silhouette", 6).alias("silhouette"))
 
 
+def _logistic_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Two Newton steps of a churn model on two inputs, which SQL can solve as well."""
+    inputs = ("recency_days", "frequency")
+    rows = training._balanced(_training(spark, folder))[0]
+    means, deviations = newton.scales(rows, inputs)
+    scaled = rows.select(
+        *[((F.col(c) - m) / d).alias(c) for c, m, d in zip(inputs, means, deviations)], "churn", "class_weight"
+    )
+    beta = newton.newton_steps(materialize(scaled, "scaled"), inputs, "churn", "class_weight", 1.0, 2)
+    named = list(zip(("intercept", *inputs), beta.tolist()))
+    return spark.createDataFrame(named, "term string, value double").select("term", F.round("value", 7).alias("value"))
+
+
+def _model_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """Selection on the validation date and evaluation on the test date, with rules for models."""
+    rules = {
+        "recency rule": (F.col("recency_days") * 37 % 200) / F.lit(200.0),
+        "frequency rule": (F.col("frequency") * 61 % 100) / F.lit(100.0),
+    }
+    best, _, churn = training.select_classifier(
+        _training(spark, folder), list(rules), lambda name, _: training.RuleScorer(rules[name])
+    )
+    found = training.metric_table(spark, best, churn, [])
+    return found.withColumn("value", F.round("value", 9))
+
+
+def _period_reach(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _stored_lines(spark, folder).withColumn("month", performance.month_of(F.col("invoice_date")))
+    counted = {"active_customers": "customer_id", "total_orders": "invoice_no"}
+    return performance.reach_by_period(lines, ["month"], counted)
+
+
+def _export_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The dataset after its export to text files and back."""
+    dataset = materialize(_dataset(spark, folder), "dataset")
+    target = f"{intermediates(spark)}/export-{uuid.uuid4().hex}"
+    export_dataset(dataset, target)
+    return read_csv(spark, target, dataset.schema)
+
+
 def _text_queries() -> dict[str, Query]:
     if text_queries is None:
         return {}
@@ -314,7 +363,10 @@ def _own_queries() -> dict[str, Query]:
         ),
         "dashboard_dataset": _dataset,
         "dashboard_integrity": lambda s, d: dashboard.integrity_metrics(_dataset(s, d)),
-        "record_counts": lambda s, d: dashboard.record_counts(_dataset(s, d)),
+        "record_counts": lambda s, d: dashboard.grain_counts(
+            _lines(s, d), _lines(s, d).select("customer_id").distinct()
+        ),
+        "export_rows": _export_rows,
         "data_validation": lambda s, d: reports.data_validation(_lines(s, d)),
         "mom_growth": lambda s, d: reports.month_growth(_lines(s, d)),
         "country_ranking": lambda s, d: reports.country_ranking(
@@ -335,6 +387,9 @@ def _own_queries() -> dict[str, Query]:
         "split_summary": lambda s, d: training.split_summary(_training(s, d)),
         "value_targets": lambda s, d: training.value_targets(_training(s, d)),
         "scaled_measures": lambda s, d: clusters.scaled_measures(_customer_features(s, d)),
+        "period_reach": _period_reach,
+        "logistic_steps": _logistic_steps,
+        "model_selection": _model_selection,
         "lloyd_steps": _lloyd_steps,
         "silhouette_scores": _silhouette_scores,
         "rfm_clusters": lambda s, d: _clustering(s, d).assigned.select("customer_id", "rfm_cluster"),

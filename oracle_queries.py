@@ -101,6 +101,70 @@ SELECT labelling, round(avg(CASE WHEN n > 1 AND greatest(inside, outside) > 0
 FROM sides GROUP BY labelling"""
 
 
+def _newton_step(number: int) -> str:
+    """Coefficients after one more Newton step, the 3 x 3 system solved by Cramer's rule."""
+    before = f"beta_{number - 1}"
+    return f""",
+sums_{number} AS (
+  SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2,
+         sum(w * (p - y)) AS g0, sum(w * (p - y) * x1) + any_value(b1) AS g1,
+         sum(w * (p - y) * x2) + any_value(b2) AS g2,
+         sum(w * p * (1 - p)) AS a, sum(w * p * (1 - p) * x1) AS b, sum(w * p * (1 - p) * x2) AS c,
+         sum(w * p * (1 - p) * x1 * x1) + 1 AS d, sum(w * p * (1 - p) * x1 * x2) AS e,
+         sum(w * p * (1 - p) * x2 * x2) + 1 AS f
+  FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM inputs, {before})),
+beta_{number} AS (
+  SELECT b0 - (g0 * (d * f - e * e) - b * (g1 * f - e * g2) + c * (g1 * e - d * g2)) / det AS b0,
+         b1 - (a * (g1 * f - e * g2) - g0 * (b * f - e * c) + c * (b * g2 - g1 * c)) / det AS b1,
+         b2 - (a * (d * g2 - g1 * e) - b * (b * g2 - g1 * c) + g0 * (b * e - d * c)) / det AS b2
+  FROM (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS det FROM sums_{number}))"""
+
+
+NEWTON = """,
+weighted AS (
+  SELECT CAST(churn AS DOUBLE) AS y, CAST(recency_days AS DOUBLE) AS r, CAST(frequency AS DOUBLE) AS f,
+         count(*) OVER () / (2.0::DOUBLE * count(*) OVER (PARTITION BY churn)) AS w
+  FROM training),
+inputs AS (
+  SELECT y, w, (r - avg(r) OVER ()) / stddev_pop(r) OVER () AS x1,
+         (f - avg(f) OVER ()) / stddev_pop(f) OVER () AS x2
+  FROM weighted),
+beta_0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)""" + _newton_step(1) + _newton_step(2)
+
+SELECTION = """,
+scored AS (
+  SELECT name, snapshot_date, churn,
+         CASE dense_rank() OVER (ORDER BY snapshot_date DESC) WHEN 1 THEN 'test' WHEN 2 THEN 'validation' END AS split,
+         CASE name WHEN 'recency rule' THEN (recency_days * 37 % 200) / 200.0::DOUBLE
+                   ELSE (frequency * 61 % 100) / 100.0::DOUBLE END AS p
+  FROM training, (VALUES ('recency rule'), ('frequency rule')) t(name)),
+points AS (
+  SELECT name, split, snapshot_date, p, sum(churn) AS pos, sum(1 - churn) AS neg
+  FROM scored WHERE split IS NOT NULL GROUP BY ALL),
+curve AS (
+  SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp
+  FROM points WINDOW w AS (PARTITION BY name, split ORDER BY p DESC)),
+sums AS (
+  SELECT name, split, snapshot_date, CAST(sum(pos) AS DOUBLE) AS pp, CAST(sum(neg) AS DOUBLE) AS nn,
+         sum(CAST(neg AS DOUBLE) * (tp - pos + pos / 2.0::DOUBLE)) AS ranked,
+         sum(CAST(pos AS DOUBLE) * tp / (tp + fp)) AS gained,
+         coalesce(CAST(sum(pos) FILTER (WHERE p >= 0.5) AS DOUBLE), 0) AS hits,
+         coalesce(CAST(sum(neg) FILTER (WHERE p >= 0.5) AS DOUBLE), 0) AS alarms
+  FROM curve GROUP BY ALL),
+best AS (
+  SELECT name FROM sums WHERE split = 'validation'
+  ORDER BY ranked / (pp * nn) DESC, name = 'recency rule' DESC LIMIT 1),
+named AS (
+  SELECT name, split, snapshot_date, unnest(['roc_auc', 'pr_auc', 'f1', 'precision', 'recall']) AS metric,
+         unnest([ranked / (pp * nn), gained / pp, 2 * hits / (hits + alarms + pp),
+                 coalesce(hits / nullif(hits + alarms, 0), 0), hits / pp]) AS value
+  FROM sums)
+SELECT 'churn_classification' AS model_type, name AS model_name, split AS evaluation_split,
+       snapshot_date AS evaluation_snapshot, metric, round(value, 9) AS value,
+       name = (SELECT name FROM best) AS selected_model
+FROM named WHERE split = 'validation' OR name = (SELECT name FROM best)"""
+
+
 def _quotient(top: str, bottom: str, places: int) -> str:
     """Non-negative integers ``top / bottom``, rounded half up, as a decimal."""
     unit = "0." + "0" * (places - 1) + "1"
@@ -490,6 +554,21 @@ FROM scaled""",
 SELECT cluster, n, round(cost, 5) AS cost, round(x, 6) AS scaled_recency_days,
        round(y, 6) AS scaled_frequency, round(z, 6) AS scaled_monetary
 FROM centres_3""",
+        ),
+        "logistic_steps": _with(
+            LINES + SNAPSHOTS + NEWTON,
+            """
+SELECT unnest(['intercept', 'recency_days', 'frequency']) AS term,
+       unnest([round(b0, 7), round(b1, 7), round(b2, 7)]) AS value
+FROM beta_2""",
+        ),
+        "model_selection": _with(LINES + SNAPSHOTS, SELECTION),
+        "period_reach": _with(
+            LINES,
+            """
+SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS month,
+       count(DISTINCT customer_id) AS active_customers, count(DISTINCT invoice_no) AS total_orders
+FROM lines GROUP BY 1""",
         ),
         "silhouette_scores": _with(LINES + FEATURES + SCALED, SILHOUETTES),
         "order_history": _with(LINES + ORDERS + HISTORY, "SELECT * FROM history"),
@@ -521,6 +600,9 @@ FROM holdout""",
         "dashboard_dataset": _with(
             TRANSACTIONS + FEATURES + ANALYTICS + DATASET, "SELECT * FROM dataset"
         ),
+        "export_rows": _with(
+            TRANSACTIONS + FEATURES + ANALYTICS + DATASET, "SELECT * FROM dataset"
+        ),
         "dashboard_integrity": _with(
             TRANSACTIONS + FEATURES + ANALYTICS + DATASET,
             """

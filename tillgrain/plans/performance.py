@@ -7,11 +7,15 @@ with most of the rows is spread over all tasks before the final counts.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillgrain.functions.exact import MONEY, mean
 from tillgrain.functions.text import is_merchandise, product_name
+from tillgrain.operators.distinct import extended_dictionary, merged_reach, reach, reach_state
+from tillgrain.operators.materialize import materialize
 
 
 def month_of(moment: Column) -> Column:
@@ -63,3 +67,25 @@ def product_performance(transactions: DataFrame) -> DataFrame:
     return totals.join(reach, "stock_code").select(
         "stock_code", "description", "units_sold", "orders", "customers", "revenue"
     )
+
+
+def reach_by_period(
+    transactions: DataFrame, group: Sequence[str], counted: Mapping[str, str], period: str = "source_period"
+) -> DataFrame:
+    """Distinct values per group, kept as bitmaps that one period after the other adds to.
+
+    ``counted`` names a result column and the column it counts. Every period extends the
+    dictionary of values and is merged into the stored state, as a new period would be later on.
+    """
+    periods = [r[0] for r in transactions.select(period).distinct().orderBy(period).collect()]
+    found = None
+    for name, column in counted.items():
+        dictionary, state = None, None
+        for one in periods:
+            rows = transactions.filter(F.col(period) == one)
+            dictionary = materialize(extended_dictionary(dictionary, rows, column), "dictionary")
+            new = reach_state(rows, group, column, dictionary)
+            state = materialize(new if state is None else merged_reach([state, new], group), "reach")
+        counts = reach(state, group, name)
+        found = counts if found is None else found.join(counts, list(group), "full")
+    return found

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
+from typing import Protocol
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrain.operators import boosting, forest, newton
@@ -227,43 +228,68 @@ def value_scores(model: ValueModel, rows: DataFrame) -> DataFrame:
     return model.scores(rows)
 
 
+class Scorer(Protocol):
+    """A fitted classifier, or anything that adds ``churn_score`` to rows."""
+
+    def scores(self, rows: DataFrame) -> DataFrame: ...
+
+
+@dataclass(frozen=True)
+class RuleScorer:
+    """A classifier that is an expression over the features."""
+
+    score: Column
+
+    def scores(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("churn_score", self.score)
+
+
+def _evaluated(model: Scorer, rows: DataFrame) -> dict[str, float]:
+    return classifier_metrics(model.scores(rows), "churn_score", "churn").first().asDict()
+
+
+def select_classifier(
+    snapshots: DataFrame, names: Sequence[str], fit: Callable[[str, DataFrame], Scorer]
+) -> tuple[str, Scorer, list[tuple]]:
+    """The classifier of greatest area under the ROC curve on the validation date, fitted again on
+    all dates before the test date, and rows (model, split, date, metric, value).
+
+    ``fit`` takes a name and rows. All candidates are evaluated on the validation date, the one
+    selected on the test date, once. Equal areas go to the first name.
+    """
+    train, validation, test, validation_date, test_date = temporal_split(snapshots)
+    if train.isEmpty():
+        raise ValueError("The temporal split left no training rows.")
+    on_validation = {name: _evaluated(fit(name, train), validation) for name in names}
+    best = max(names, key=lambda name: on_validation[name]["roc_auc"])
+    chosen = fit(best, snapshots.filter(F.col("snapshot_date") < F.lit(test_date)))
+    found = [(name, "validation", validation_date, m) for name, m in on_validation.items()]
+    found.append((best, "test", test_date, _evaluated(chosen, test)))
+    return best, chosen, [(n, s, d, metric, v) for n, s, d, m in found for metric, v in m.items()]
+
+
+def metric_table(spark: SparkSession, selected: str, churn: list[tuple], value: list[tuple]) -> DataFrame:
+    """Rows of both models as the metrics table; the value model is always the selected one."""
+    rows = [("churn_classification", *r, r[0] == selected) for r in churn]
+    rows += [("customer_value_regression", *r, True) for r in value]
+    return spark.createDataFrame(rows, MODEL_METRICS)
+
+
 def train_models(snapshots: DataFrame, settings: ModelSettings = ModelSettings()) -> TrainedModels:
     """Select the classifier on the validation date, refit on all dates before the test
     date, and evaluate once on the test date."""
     stored = materialize(snapshots, "training")
-    train, validation, test, validation_date, test_date = temporal_split(stored)
-    if train.isEmpty():
-        raise ValueError("The temporal split left no training rows.")
-    development = stored.filter(F.col("snapshot_date") < F.lit(test_date))
+    _, _, test, validation_date, test_date = temporal_split(stored)
 
-    def evaluated(model: ChurnModel, rows: DataFrame) -> dict[str, float]:
-        return classifier_metrics(churn_scores(model, rows), "churn_score", "churn").first().asDict()
-
-    train_medians = exact_medians(train, IMPUTED)
-    medians = exact_medians(development, IMPUTED)
-    names = (LOGISTIC_NAME, FOREST_NAME)
-    on_validation = {
-        name: evaluated(fit_classifier(name, train, train_medians, settings), validation) for name in names
-    }
-    best = max(on_validation, key=lambda name: on_validation[name]["roc_auc"])
-    classifier = fit_classifier(best, development, medians, settings)
-    value_model = fit_value_model(development, medians, settings)
-    value_found = regression_metrics(
-        value_scores(value_model, test), "future_revenue", "value_score"
-    ).first().asDict()
-
-    churn, value = "churn_classification", "customer_value_regression"
-    results = [
-        *[(churn, name, "validation", validation_date, m) for name, m in on_validation.items()],
-        (churn, best, "test", test_date, evaluated(classifier, test)),
-        (value, VALUE_MODEL_NAME, "test", test_date, value_found),
-    ]
-    rows = [
-        (kind, name, split, date, metric, found, kind == value or name == best)
-        for kind, name, split, date, metrics in results
-        for metric, found in metrics.items()
-    ]
-    frame = snapshots.sparkSession.createDataFrame(rows, MODEL_METRICS)
+    def fit(name: str, rows: DataFrame) -> ChurnModel:
+        return fit_classifier(name, rows, exact_medians(rows, IMPUTED), settings)
+
+    best, classifier, churn = select_classifier(stored, (LOGISTIC_NAME, FOREST_NAME), fit)
+    development = stored.filter(F.col("snapshot_date") < F.lit(test_date))
+    value_model = fit_value_model(development, classifier.medians, settings)
+    found = regression_metrics(value_scores(value_model, test), "future_revenue", "value_score").first().asDict()
+    value = [(VALUE_MODEL_NAME, "test", test_date, metric, v) for metric, v in found.items()]
+    frame = metric_table(snapshots.sparkSession, best, churn, value)
     return TrainedModels(best, classifier, value_model, frame, validation_date, test_date)
 
 
