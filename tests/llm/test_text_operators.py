@@ -393,6 +393,29 @@ def test_language(spark, odd, empty):
     assert language.accepted(sourced, nothing).count() == len(rows)
 
 
+def test_junk_and_other_languages_are_rejected(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.train(documents)
+    pick = np.random.default_rng(1)
+    letters = " ".join("".join(pick.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(60))
+    rows = [
+        (1, "Привет, как дела? Это русский текст о погоде и природе.", "no known language"),
+        (2, "これは日本語の文章です。今日は天気がいいですから、散歩に行きましょう。", "no known language"),
+        (3, letters, "no known language"),
+        (4, "x" * 500, "no known language"),
+        (5, "asdf 1234 !!!!", "mostly other characters"),
+        (6, "a", "too few letters"),
+        (7, "12345 67890 $$$", "too few letters"),
+        (8, None, "too few letters"),
+    ]
+    df = spark.createDataFrame([(*r, None, None) for r in rows], "id bigint, text string, wanted string, _host string, _declared string")
+    found = {r["id"]: (r["kept"], r["reason"]) for r in language.identify(df, ["id"], "text", model).collect()}
+    assert found == {i: (False, wanted) for i, _, wanted in rows}
+    # The documents that have a language all stay.
+    labelled = documents.filter("lang is not null and text is not null")
+    assert language.accepted(labelled, model).count() == labelled.count()
+
+
 def test_hosts_sway_short_texts(spark):
     model = language.fit([("der die und nicht ist das", "de"), ("the and of not is that", "en")] * 20)
     rows = [(i, "der und nicht", "x.de", None) for i in range(200)] + [(900, "ok", "x.de", None), (901, "ok", "y.com", "en")]

@@ -14,15 +14,23 @@ trigram table is fitted on a bounded sample of labelled texts (``TRAIN_ROWS``, `
 Rows are joined to the priors by host. Only ids and evidence are shuffled, never texts; Spark's
 skew handling splits a host that holds a large share of the rows.
 
-Defined cases: a text without letters (NULL, empty) gives no evidence of its own; a row without
-any letters is rejected (kept false) whatever its host says, as is one whose best language has a
-posterior below ``LEAST_POSTERIOR``; missing markup, address and host give no evidence and the
+A language is the best of those known, so there is one more hypothesis: none of them. In a text of a
+known language most trigrams occur in some labelled text, in others few do, so the share of unseen
+trigrams is evidence between the two (``OUTSIDE_UNSEEN``, ``KNOWN_UNSEEN``, ``OUTSIDE_ODDS``).
+
+Rejected (kept false, with a reason) are rows with fewer than ``LEAST_LETTERS`` letters, rows with
+less than ``LETTER_SHARE`` of letters among their visible characters, rows of no known language, and
+rows whose best language has a posterior below ``LEAST_POSTERIOR``, in this order.
+
+Defined cases: a text without letters (NULL, empty) gives no evidence of its own and is rejected
+whatever its host says; missing markup, address and host give no evidence and the
 corpus prior; ties go to the first language in order; without labelled texts the language is NULL
 and nothing is kept; repeated rows stay; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,10 +51,18 @@ TEMPER = 0.25
 #: Rows of the level above that a host, domain or suffix starts from.
 PRIOR_WEIGHT = 20.0
 LEAST_POSTERIOR = 0.5
+#: Probability that a trigram occurs in no labelled text, outside all known languages and in one of
+#: them at most, and the odds of such a text before it is read.
+OUTSIDE_UNSEEN, KNOWN_UNSEEN, OUTSIDE_ODDS = 0.85, 0.35, 0.05
+LEAST_LETTERS, LETTER_SHARE = 2, 0.35
 
 _TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _ENTITIES = re.compile(r"&#?\w+;")
-EVIDENCE = [("_loglik", pa.list_(pa.float64()), "array<double>"), ("_letters", pa.int64(), "bigint")]
+EVIDENCE = [
+    ("_loglik", pa.list_(pa.float64()), "array<double>"), ("_letters", pa.int64(), "bigint"),
+    ("_shown", pa.int64(), "bigint"), ("_unseen", pa.int64(), "bigint"), ("_trigrams", pa.int64(), "bigint"),
+]
+REASONS = ("too few letters", "mostly other characters", "no known language", "undecided")
 
 
 @lru_cache(maxsize=1)
@@ -61,34 +77,35 @@ def _letter_table() -> np.ndarray:
     return table
 
 
-def trigrams(text: str) -> tuple[np.ndarray, int]:
-    """Table rows of the trigrams over runs of letters, and the number of letters."""
+def trigrams(text: str) -> tuple[np.ndarray, int, int]:
+    """Table rows of the trigrams over runs of letters, and the letters and visible characters."""
     points = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
     wide = points >= 1 << 16
     codes = _letter_table()[np.where(wide, 0, points)]
     codes = np.where(wide, points, codes)
-    letters = codes != 32
+    letters, shown = codes != 32, int((points > 32).sum())
     keep = letters | np.concatenate([[True], letters[:-1]])  # one space between runs
     codes = codes[keep]
     if len(codes) < 3:
-        return np.zeros(0, dtype=np.int64), int(letters.sum())
+        return np.zeros(0, dtype=np.int64), int(letters.sum()), shown
     mixed = (codes[:-2] * 0x9E3779B1 + codes[1:-1] * 0x85EBCA77 + codes[2:] * 0xC2B2AE3D) >> 7
-    return mixed % TABLE_ROWS, int(letters.sum())
+    return mixed % TABLE_ROWS, int(letters.sum()), shown
 
 
 @dataclass
 class TextModel:
     languages: list[str]
     table: np.ndarray  # log-likelihood per trigram row and language
+    seen: np.ndarray  # whether a labelled text has a trigram of the row
 
 
 def fit(rows: list[tuple[str, str]]) -> TextModel:
     languages = sorted({label for _, label in rows})
-    counts = np.full((TABLE_ROWS, max(1, len(languages))), 0.05)
+    counts = np.zeros((TABLE_ROWS, max(1, len(languages))))
     for text, label in rows:
-        found, _ = trigrams(text)
-        counts[:, languages.index(label)] += np.bincount(found, minlength=TABLE_ROWS)
-    return TextModel(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32))
+        counts[:, languages.index(label)] += np.bincount(trigrams(text)[0], minlength=TABLE_ROWS)
+    smoothed = counts + 0.05
+    return TextModel(languages, np.log(smoothed / smoothed.sum(axis=0)).astype(np.float32), counts.any(axis=1))
 
 
 def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> TextModel:
@@ -101,15 +118,16 @@ def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> TextModel:
 
 
 def _likelihoods(parts: Iterator[pa.RecordBatch], model, markup: bool):
-    table = model.value.table
+    table, seen = model.value.table, model.value.seen
     for part in parts:
         rows = []
         for raw in part.column("body").to_pylist():
             text = text_of(raw)
             if markup:
                 text = _ENTITIES.sub(" ", _TAGS.sub(" ", text))
-            found, letters = trigrams(text)
-            rows.append(((TEMPER * table[found].sum(axis=0, dtype=np.float64)).tolist(), letters))
+            found, letters, shown = trigrams(text)
+            logs = (TEMPER * table[found].sum(axis=0, dtype=np.float64)).tolist()
+            rows.append((logs, letters, shown, int((~seen[found]).sum()), len(found)))
         yield rows
 
 
@@ -152,7 +170,7 @@ def _conditional(rows: DataFrame, column: str, totals: list[float], n: int) -> D
 class Priors:
     """What grouped counts say: tables of log-likelihoods and priors, and the corpus prior."""
 
-    languages: list[str]
+    model: TextModel
     base: list[float]
     hosts: DataFrame
     declared: DataFrame
@@ -196,7 +214,7 @@ def _counted(evidence: DataFrame, model: TextModel) -> Priors:
         "host", _array(n, smoothed(lambda i: F.col("_up")[i])).alias("_prior")
     )
     return Priors(
-        model.languages, base,
+        model, base,
         stored(by_host, "host-priors"),
         stored(_conditional(counted, "declared", whole, n), "declared"),
         stored(_conditional(counted, "suffix", whole, n), "suffixes"),
@@ -204,8 +222,10 @@ def _counted(evidence: DataFrame, model: TextModel) -> Priors:
 
 
 def _decided(rows: DataFrame, priors: Priors) -> DataFrame:
-    """``rows`` with _lang, _confidence and _accepted; rows: host, declared, _loglik, _letters."""
-    n = len(priors.languages)
+    """``rows`` with _lang, _confidence and _reason (NULL where accepted); rows: host, declared and
+    the columns of EVIDENCE."""
+    model = priors.model
+    n = len(model.languages)
     none = _array(n, lambda i: F.lit(0.0))
     prior = _array(n, lambda i: F.lit(float(priors.base[i])))
     joined = (
@@ -218,19 +238,32 @@ def _decided(rows: DataFrame, priors: Priors) -> DataFrame:
         + F.coalesce("_declared", none)[i] + F.coalesce("_suffix", none)[i] + F.col("_loglik")[i],
     )
     best = F.array_max("_posterior")
-    names = F.array(*[F.lit(x) for x in priors.languages])
+    at = (F.array_position("_posterior", best) - 1).cast("int")
+
+    names = F.array(*[F.lit(x) for x in model.languages])
+    unseen, met = F.col("_unseen"), F.col("_trigrams") - F.col("_unseen")
+    outside = (
+        unseen * math.log(OUTSIDE_UNSEEN / KNOWN_UNSEEN)
+        + met * math.log((1 - OUTSIDE_UNSEEN) / (1 - KNOWN_UNSEEN)) + math.log(OUTSIDE_ODDS)
+    )
+    refused = [
+        F.col("_letters") < LEAST_LETTERS,
+        F.col("_letters") < LETTER_SHARE * F.col("_shown"),
+        outside > 0,
+        best < LEAST_POSTERIOR,
+    ]
+    reason = F.lit(None).cast("string")
+    for condition, name in reversed(list(zip(refused, REASONS))):
+        reason = F.when(condition, F.lit(name)).otherwise(reason)
     return joined.withColumn("_posterior", _normal(logs)).select(
-        *rows.columns,
-        F.get(names, (F.array_position("_posterior", best) - 1).cast("int")).alias("_lang"),
-        F.round(best, 9).alias("_confidence"),
-        ((F.col("_letters") > 0) & (best >= LEAST_POSTERIOR)).alias("_accepted"),
+        *rows.columns, F.get(names, at).alias("_lang"), F.round(best, 9).alias("_confidence"), reason.alias("_reason")
     )
 
 
 def identify(
     texts: DataFrame, key: list[str], body: str, model: TextModel, markup: bool = False
 ) -> DataFrame:
-    """Per row: ``key``, host, declared, lang, confidence, kept.
+    """Per row: ``key``, host, declared, lang, confidence, kept and, where not kept, the reason.
 
     ``texts`` has the columns of ``key``, ``body`` and, NULL where unknown, _host and _declared.
     """
@@ -240,12 +273,14 @@ def identify(
     )
     if not model.languages:
         lost = rows.select("_key.*", "host", "declared", F.lit(None).cast("string").alias("lang"))
-        return lost.select("*", F.lit(None).cast("double").alias("confidence"), F.lit(False).alias("kept"))
+        return lost.select(
+            "*", F.lit(None).cast("double").alias("confidence"), F.lit(False).alias("kept"), F.lit(REASONS[2]).alias("reason")
+        )
     evidence = stored(_evidence(rows, "_text", model, markup).drop("_text"), "language-evidence")
     found = _decided(evidence, _counted(evidence, model))
     return found.select(
         "_key.*", "host", "declared", F.col("_lang").alias("lang"), F.col("_confidence").alias("confidence"),
-        F.col("_accepted").alias("kept"),
+        F.col("_reason").isNull().alias("kept"), F.col("_reason").alias("reason"),
     )
 
 
@@ -264,4 +299,4 @@ def accepted(documents: DataFrame, model: TextModel) -> DataFrame:
     found = _evidence(rows, "_row.text", model, False)
     evidence = stored(found.drop("_row"), "language-evidence")
     judged = _decided(found, _counted(evidence, model))
-    return judged.filter("_accepted").select("_row.*")
+    return judged.filter("_reason is null").select("_row.*")
