@@ -316,6 +316,40 @@ def test_names_end_at_the_first_word_that_is_none():
         assert kinds[0] == "name" and kinds[1] in ("email", "secret")
 
 
+def test_a_name_is_the_same_person_all_through_a_text():
+    made = surrogates.replace_text("Smith came. Mr Smith left. Smith's dog, SMITH and Smithson stayed, said Smith.", KEY)
+    name = made.split()[0]
+    assert made == f"{name} came. Mr {name} left. {name}'s dog, {name.upper()} and Smithson stayed, said {name}."
+    assert name not in ("Smith", "Smithson") and len(name) == 5
+    text = "Anna Kowalski wrote to John Smith. Kowalski and John met, Anna said."
+    found = []
+    made = surrogates.replace_text(text, KEY, lambda *x: found.append(x[:2]))
+    assert not any(w in made for w in ("Anna", "Kowalski", "John", "Smith"))
+    assert found == [("name", x) for x in ("Anna Kowalski", "John Smith", "Kowalski", "John", "Anna")]
+    words = made.replace(".", "").replace(",", "").split()
+    assert words[0] == words[-2] and words[1] == words[6] and words[4] == words[8]
+    # A given name on its own, and words in lower case, are no names.
+    for text in ("Anna said so", "Paul and others", "the smith and Anna went"):
+        assert surrogates.replace_text(text, KEY) == text
+
+
+def test_entities_behind_a_cue_and_addresses_of_version_6():
+    for text, private in (
+        ("Phone 5551234567 now", "5551234567"), ("tel: 5551234567", "5551234567"), ("SSN 078051120.", "078051120"),
+        ("social security number 078051120", "078051120"), ("password is hunter2x9 ok", "hunter2x9"),
+        ("from 2001:db8:0:0:8:800:200c:417a to", "800:200c"), ("at fe80::1ff:fe23:4567:890a,", "fe23"), ("2001:DB8::8:800", "::8:800"),
+    ):
+        made = surrogates.replace_text(text, KEY)
+        assert private not in made and made.split()[0] == text.split()[0] or made[:4].lower() == text[:4].lower(), text
+        assert surrogates.replace_text(text, KEY) == made != text
+    assert surrogates.replace_text("at fe80::1 ok", KEY).startswith("at fe80:")
+    for text in ("version 10.2.3.4 is out", "password is required", "order 5551234567 came", "at 12:30:45 sharp", "a::b", "std::vector"):
+        assert surrogates.replace_text(text, KEY) == text
+    maps = surrogates.Surrogates(KEY)
+    made = {maps.ip6(f"2001:db8::{i:x}") for i in range(500)}
+    assert len(made) == 500 and all(m.startswith("2001:") for m in made)
+
+
 def test_surrogates_are_one_to_one():
     maps = surrogates.Surrogates(KEY)
     for make, values in (

@@ -1,8 +1,10 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
-Entities: e-mail and IP addresses, phone, card and account numbers, IBANs, social security
-numbers, secrets (keys, tokens, passwords) and names that follow a form of address. A surrogate
-keeps what its type needs: separators, letter case, script, length, check digits (Luhn, IBAN), the
+Entities: e-mail and IP addresses (versions 4 and 6), phone, card and account numbers, IBANs, social
+security numbers, secrets (keys, tokens, passwords) and names: capitalised words behind a form of
+address or behind a known given name. A name found once in a text is the same person wherever one of
+its words stands in that text, so all of them get the surrogate of that word. Plain digits count as
+a phone or social security number behind a word that says so. A surrogate keeps what its type needs: separators, letter case, script, length, check digits (Luhn, IBAN), the
 country code of a phone number or IBAN, the address block of an IP, the top-level domain, and the
 gender of a given name.
 
@@ -12,7 +14,7 @@ a keyed Feistel permutation. That is one to one, moves every string of a format
 one member, and depends on key and entity only: equal entities get equal surrogates in every
 document and task without a shared table, and different ones never meet. Spellings of one
 entity (punctuation of numbers, case of addresses) count as one. ``surrogate_table`` lists the
-distinct entities of a corpus, and ``collisions`` checks the claim on them across all types.
+distinct entities of a corpus, and ``collisions`` checks the claim on them, type by type.
 
 Defined cases: NULL stays NULL, empty stays empty; texts without entities are unchanged to the
 byte; overlapping finds go to the leftmost, then to the type named first; repeated rows get equal
@@ -22,6 +24,7 @@ results; other columns are kept.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -72,20 +75,29 @@ _FORMS = frozenset(FORMS_OF_ADDRESS)
 _GIVEN = {n: key for key, names in GIVEN_NAMES.items() for n in names}
 
 _WORD = r"[^\W\d_][^\W\d_'’-]*"
-_FINDER = re.compile(
-    r"(?P<secret>(?i:\b(?:api[_-]?key|access[_-]?key|key|token|secret|password|passwd|pwd)\b[\"']?\s*[:=]\s*)"
+_SIMPLE = (
+    r"(?P<secret>(?i:\b(?:api[_-]?key|access[_-]?key|key|token|secret|password|passwd|pwd)\b[\"']?\s*"
+    r"(?:[:=]\s*|is\s+(?=[^\s\"',;]*\d)))"
     r"(?:\"[^\"\n]{6,}\"|'[^'\n]{6,}'|[^\s\"',;]{8,})"
     r"|\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|(?<![0-9A-Za-z])[0-9a-f]{32,128}(?![0-9A-Za-z]))"
     r"|(?P<email>[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b)"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
-    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
+    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])|(?=\d)(?i:(?<=\bssn )|(?<=\bssn: )|(?<=social security number ))\d{9}(?!\d))"
     r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-]))"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"
+    r"|(?=\d)(?i:(?<=\bphone )|(?<=\bphone: )|(?<=\btel )|(?<=\btel: )|(?<=\btel\. )|(?<=\bcall )|(?<=\bmobile )|(?<=\bmobile: ))\d{7,15}(?!\d))"
     r"|(?P<name>\b(?:" + "|".join(FORMS_OF_ADDRESS) + r")\b\.?(?: (?=[^\W\d_])(?=\w)" + _WORD + r"){1,3})"
 )
+_RARE = (
+    r"|(?P<ip6>(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)(?=[A-Fa-f:]*\d)(?:[0-9A-Fa-f]{1,4}:|::)[0-9A-Fa-f:]{1,38}[0-9A-Fa-f](?![\w:]))"
+    r"|(?P<given>\b(?:" + "|".join(_GIVEN) + r")(?: (?=[^\W\d_])(?=\w)" + _WORD + r"){1,2})"
+)
+# Most texts hold no given name and no two colons; the pattern without those is twice as fast.
+_FINDER, _FINDER_OF_ALL = re.compile(_SIMPLE), re.compile(_SIMPLE + _RARE)
 _HINT = re.compile(r"[0-9@=:]|\b(?:" + "|".join(FORMS_OF_ADDRESS) + r")\b")
+_NUMBERED = re.compile(r"(?i)\b(?:version|ver\.?|release|v\.?) ?$")
 _DIGITS = re.compile(r"\d")
 
 ENTITIES = [
@@ -186,6 +198,12 @@ class Surrogates:
                     break
         return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
 
+    def ip6(self, found: str) -> str:
+        """The first block stays, which tells public, private and link-local addresses apart."""
+        whole = ipaddress.IPv6Address(found).exploded.replace(":", "")
+        made = whole[:4] + self.text("ip6" + whole[:4], whole[4:], _HEX)
+        return ipaddress.IPv6Address(int(made, 16)).compressed
+
     def card(self, found: str) -> str:
         """The distance from the Luhn digit stays, so valid numbers stay valid."""
         offset = (int(found[-1]) - _luhn(found[:-1])) % 10
@@ -256,12 +274,12 @@ def replaced(match: re.Match, maps: Surrogates) -> tuple[str, str, str, str] | N
     """Kind, canonical entity, canonical surrogate and the text to put in place of a match."""
     kind, found = match.lastgroup, match.group()
     if kind == "secret":
-        head = re.match(r"(?i)(?:[a-z_-]+[\"']?\s*[:=]\s*[\"']?)?", found).group()
+        head = re.match(r"(?i)(?:[a-z_-]+[\"']?\s*(?:[:=]\s*|is\s+)[\"']?)?", found).group()
         tail = found[-1] if found[-1] in "\"'" and head[-1:] == found[-1] else ""
         value = found[len(head) : len(found) - len(tail)]
         made = maps.secret(value)
         return kind, value, made, head + made + tail
-    if kind == "name":
+    if kind in ("name", "given"):
         title, _, rest = found.partition(" ")
         words = rest.split(" ")
         # The name is the leading run of capitalised words before another entity or form of address.
@@ -273,14 +291,23 @@ def replaced(match: re.Match, maps: Surrogates) -> tuple[str, str, str, str] | N
             own, at = own + 1, at + len(word) + 1
         if not own:
             return None
-        value = " ".join(words[:own])
+        value = " ".join(words[:own] if kind == "name" else [title, *words[:own]])
         made = maps.name(value)
-        return kind, value, made, f"{title} {made}"
+        return "name", value, made, f"{title} {made}" if kind == "name" else made
     if kind == "email":
         value = found.lower()
         made = maps.email(value)
         return kind, value, made, made if found == value else _recased(found, made)
+    if kind == "ip6":
+        try:
+            value = ipaddress.IPv6Address(found).compressed
+        except ValueError:
+            return None
+        made = maps.ip6(value)
+        return "ip", value, made, made
     if kind == "ip":
+        if _NUMBERED.search(match.string, max(0, match.start() - 12), match.start()):
+            return None  # the number of a version
         value = ".".join(str(int(p)) for p in found.split("."))
         made = maps.ip(value)
         return kind, value, made, made
@@ -314,23 +341,48 @@ def _maps(key: bytes) -> Surrogates:
     return Surrogates(key)
 
 
+def _named_again(text: str, names: list[str], maps: Surrogates, note: Callable[..., None]) -> str:
+    """``text`` with the words of ``names`` replaced, each as in its name; capitals stay capitals."""
+    words = {w for name in names for w in name.split(" ") if len(w) > 1}
+    forms = {w: w for w in words} | {w.upper(): w for w in words}
+
+    def again(match: re.Match) -> str:
+        found = match.group()
+        word = forms[found]
+        made = maps.name(word)
+        note("name", word, made)
+        return made if found == word else made.upper()
+
+    longest = sorted(forms, key=len, reverse=True)
+    return re.sub(r"(?<!\w)(?:" + "|".join(map(re.escape, longest)) + r")(?!\w)", again, text)
+
+
 def replace_text(text: str, key: bytes, note: Callable[..., None] = lambda *_: None) -> str:
     """``text`` with surrogates; ``note(kind, original, surrogate)`` hears of every entity."""
-    if not _HINT.search(text):
+    rare = text.count(":") > 1 or any(n in text for n in _GIVEN)
+    if not rare and not _HINT.search(text):
         return text
-    maps, out, done = _maps(key), [], 0
-    match = _FINDER.search(text)
+    finder = _FINDER_OF_ALL if rare else _FINDER
+    maps, done, names = _maps(key), 0, []
+    out: list[tuple[str, str]] = []  # text between entities, and what stands for the entity behind it
+    match = finder.search(text)
     while match:
         found, end = replaced(match, maps), match.end()
-        if match.lastgroup == "name":  # words behind the name are searched again
-            title = len(match.group().partition(" ")[0])
-            end = match.start() + title + (1 + len(found[1]) if found else 0)
+        if match.lastgroup in ("name", "given"):  # words behind the name are searched again
+            first = len(match.group().partition(" ")[0])
+            behind = len(found[1]) + (1 + first if match.lastgroup == "name" else 0) if found else first
+            end = match.start() + behind
+            if found:
+                names.append(found[1])
         if found:
             note(*found[:3])
-            out += [text[done : match.start()], found[3]]
+            out.append((text[done : match.start()], found[3]))
             done = end
-        match = _FINDER.search(text, end)
-    return "".join(out) + text[done:]
+        match = finder.search(text, end)
+    out.append((text[done:], ""))
+    if names:
+        out = [(_named_again(between, names, maps, note), made) for between, made in out]
+    return "".join(between + made for between, made in out)
 
 
 def _replace(parts: Iterator[pa.RecordBatch], key: bytes):
