@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillgrain.session import prepare_workers
+
 #: Bins of an input; the last code stands for a missing value.
 BINS, MISSING = 255, 255
 #: Rows of a node that one task grows on its own. Larger nodes are split by histograms of all tasks.
@@ -51,7 +53,7 @@ def coded(rows: DataFrame, inputs: Sequence[str], edges: list[list[float]], **ke
                 schema=schema,
             )
 
-    return picked.mapInArrow(run, ", ".join([*[f"{n} {k}" for n, k in fields], "codes binary"]))
+    return prepare_workers(picked).mapInArrow(run, ", ".join([*[f"{n} {k}" for n, k in fields], "codes binary"]))
 
 
 def code_matrix(column: pa.Array, width: int) -> np.ndarray:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.operators.binning import BINS, LOCAL_ROWS, MISSING, bin_edges, code_matrix, coded, codes_of, drawn, key_of
 from tillgrain.operators.materialize import materialize
+from tillgrain.session import prepare_workers
 
 CODES = 256
 
@@ -229,7 +230,7 @@ class _Trainer:
                     made += tree.value[descend(codes, tree)]
                 yield batch.set_column(batch.schema.get_field_index("prediction"), "prediction", pa.array(made))
 
-        return self.rows.mapInArrow(run, self.rows.schema)
+        return prepare_workers(self.rows).mapInArrow(run, self.rows.schema)
 
     def look(self, tree: Tree, nodes: dict[int, int], splits: int) -> list:
         """For each of the leaves ``nodes`` (number: rows) of ``tree`` the splits found, as FOUND rows.
@@ -283,7 +284,7 @@ class _Trainer:
                 rows = [_as_row(node, place, at, split) for place, (at, split) in enumerate(found)]
             return pa.Table.from_batches([_batch(rows, FOUND)], schema=FOUND)
 
-        return self.rows.mapInArrow(run, PARTS_DDL).groupBy("node").applyInArrow(settle, FOUND_DDL).collect()
+        return prepare_workers(self.rows).mapInArrow(run, PARTS_DDL).groupBy("node").applyInArrow(settle, FOUND_DDL).collect()
 
 
 def is_held_out(keys: np.ndarray, settings: BoostingSettings) -> np.ndarray:
@@ -407,7 +408,7 @@ def _mean_target(table: DataFrame, settings: BoostingSettings, stopping: bool) -
             total, n = total + float(values.sum()), n + len(values)
         yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([n])], names=["total", "n"])
 
-    found = table.select("key", "target").mapInArrow(run, "total double, n bigint").agg(F.sum("total"), F.sum("n")).first()
+    found = prepare_workers(table.select("key", "target")).mapInArrow(run, "total double, n bigint").agg(F.sum("total"), F.sum("n")).first()
     return (found[0] / found[1] if found[1] else 0.0), found[1] or 0
 
 
@@ -433,4 +434,4 @@ def boosted_scores(model: Boosted, rows: DataFrame, name: str) -> DataFrame:
                 made += tree.value[descend(codes, tree)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made)], names=["row", "made"])
 
-    return packed.mapInArrow(run, f"row {row}, made double").select("row.*", F.col("made").alias(name))
+    return prepare_workers(packed).mapInArrow(run, f"row {row}, made double").select("row.*", F.col("made").alias(name))

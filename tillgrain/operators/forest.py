@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tillgrain.operators.binning import BINS, LOCAL_ROWS, bin_edges, code_matrix, coded, drawn, key_of, mixed
 from tillgrain.operators.materialize import materialize
+from tillgrain.session import prepare_workers
 
 CODES = 256
 #: Histograms that a task holds at once; more trees than fit go in further passes.
@@ -248,7 +249,7 @@ def _bootstrap_totals(rows: DataFrame, settings: ForestSettings) -> dict[int, tu
             [pa.array(np.arange(settings.trees, dtype=np.int32)), *[pa.array(c) for c in sums.T]], schema=schema
         )
 
-    found = rows.mapInArrow(run, "tree int, zeros bigint, ones bigint, n bigint").groupBy("tree")
+    found = prepare_workers(rows).mapInArrow(run, "tree int, zeros bigint, ones bigint, n bigint").groupBy("tree")
     totals = found.agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "n")]).collect()  # a row per tree
     return {r["tree"]: (float(r["zeros"]), float(r["ones"]), r["n"]) for r in totals}
 
@@ -304,7 +305,7 @@ def _large_splits(
         row = (tree, node, best[1], best[2], best[3], n - best[3], one / whole)
         return pa.Table.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, SPLITS)], schema=SPLITS)
 
-    found = rows.mapInArrow(count, "tree int, node int, sums binary")
+    found = prepare_workers(rows).mapInArrow(count, "tree int, node int, sums binary")
     return found.groupBy("tree", "node").applyInArrow(choose, SPLITS_DDL).collect()  # a row per node
 
 
@@ -352,7 +353,7 @@ def fit_forest(rows: DataFrame, inputs: Sequence[str], label: str, key: Sequence
         row = (tree, node, len(codes), *[x.tobytes() for x in found])
         return pa.Table.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, GROWN)], schema=GROWN)
 
-    blobs = table.mapInArrow(lambda b: _row_blobs(b, tops, local, width, settings.seed), ROWS_DDL)
+    blobs = prepare_workers(table).mapInArrow(lambda b: _row_blobs(b, tops, local, width, settings.seed), ROWS_DDL)
     subtrees = blobs.groupBy("tree", "node").applyInArrow(finish, GROWN_DDL)
     if leaves:
         packed = [
@@ -428,7 +429,7 @@ def forest_scores(forest: Forest, rows: DataFrame, name: str) -> DataFrame:
             sums[np.searchsorted(places, np.frombuffer(where, dtype=np.int64))] += np.frombuffer(values, dtype=np.float64)
         return pa.Table.from_arrays([pa.array(places), pa.array(sums / trees)], schema=SCORES)
 
-    parts = table.mapInArrow(spread, PARTS_DDL).groupBy("tree", "node")
+    parts = prepare_workers(table).mapInArrow(spread, PARTS_DDL).groupBy("tree", "node")
     values = parts.cogroup(forest.grown.groupBy("tree", "node")).applyInArrow(fall, VALUES_DDL)
     scores = values.groupBy("batch").applyInArrow(add, "row bigint, score double")
     found = scores.select(F.col("row").alias("_place"), F.col("score").alias(name))

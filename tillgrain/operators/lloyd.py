@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillgrain.session import prepare_workers
+
 #: Rows in the sample of the starts and the silhouette.
 SAMPLE_ROWS = 5_000
 #: A start has settled once its centres move less than this share of the mean variance.
@@ -94,7 +96,7 @@ def cluster_sums(points: DataFrame, columns: Sequence[str], starts: Sequence[np.
         )
 
     ddl = ", ".join(["start int", "cluster int", "n bigint", *[f"{x} double" for x in ("cost", *names)]])
-    found = points.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(run, ddl)
+    found = prepare_workers(points.select(*[F.col(c).cast("double") for c in columns])).mapInArrow(run, ddl)
     return found.groupBy("start", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *names)])
 
 
@@ -190,6 +192,6 @@ def silhouettes(sample: DataFrame, columns: Sequence[str], labellings: Sequence[
 
     tasks = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     places = sample.sparkSession.range(0, len(rows), 1, min(tasks, max(1, len(rows) // 100)))
-    found = places.mapInArrow(run, "labelling string, total double, n bigint").groupBy("labelling")
+    found = prepare_workers(places).mapInArrow(run, "labelling string, total double, n bigint").groupBy("labelling")
     mean = F.sum("total") / F.sum("n")
     return found.agg(F.when(~F.isnan(mean), mean).alias("silhouette"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_ROOT = str(Path(__file__).resolve().parent.parent)
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,6 +32,15 @@ def build_session(app_name: str = "tillgrain", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def prepare_workers(df: DataFrame) -> DataFrame:
+    """``df``, whose Python workers on this machine can import the package from where it lies.
+
+    On a cluster the package is installed or shipped with ``--py-files``.
+    """
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
