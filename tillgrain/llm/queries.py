@@ -63,8 +63,7 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def _repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of a text is given as text too: bytes that are no UTF-8 any more become U+FFFD."""
     found = repeated_bytes.with_repeats_removed(table(spark, folder, "documents"))
-    kept = F.try_validate_utf8(F.col("kept").cast("string"))
-    return found.withColumn("text", F.coalesce(kept, F.decode("kept", F.lit("UTF-8")))).drop("kept")
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def _neighbours(spark: SparkSession, folder: str) -> DataFrame:
