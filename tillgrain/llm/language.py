@@ -54,6 +54,8 @@ LEAST_POSTERIOR = 0.5
 #: Probability that a trigram occurs in no labelled text, outside all known languages and in one of
 #: them at most, and the odds of such a text before it is read.
 OUTSIDE_UNSEEN, KNOWN_UNSEEN, OUTSIDE_ODDS = 0.85, 0.35, 0.05
+#: Trigrams in all labelled texts from which on unseen ones count.
+LEAST_TRIGRAMS = 1000
 LEAST_LETTERS, LETTER_SHARE = 2, 0.35
 
 _TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -105,7 +107,9 @@ def fit(rows: list[tuple[str, str]]) -> TextModel:
     for text, label in rows:
         counts[:, languages.index(label)] += np.bincount(trigrams(text)[0], minlength=TABLE_ROWS)
     smoothed = counts + 0.05
-    return TextModel(languages, np.log(smoothed / smoothed.sum(axis=0)).astype(np.float32), counts.any(axis=1))
+    # Too few labelled texts say nothing about what lies outside of them.
+    seen = counts.any(axis=1) | (counts.sum() < LEAST_TRIGRAMS)
+    return TextModel(languages, np.log(smoothed / smoothed.sum(axis=0)).astype(np.float32), seen)
 
 
 def train(documents: DataFrame, rows: int = TRAIN_ROWS) -> TextModel:
