@@ -210,6 +210,37 @@ def test_forest_equals_the_plain_one(spark, local_rows, depth):
     assert off <= 0.02 * len(rows)
 
 
+def test_cuts_of_large_nodes_equal_those_by_sorting():
+    pick = np.random.default_rng(9)
+    sizes = np.array([700, 3, 1200, 40])
+    node, starts = np.repeat(np.arange(4), sizes), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    here = pick.integers(0, 60, (sizes.sum(), 3)).astype(np.uint8)
+    here[node == 3, 1] = 7  # nothing to cut
+    w = pick.integers(1, 4, sizes.sum()) * 0.5
+    one = w * pick.integers(0, 2, sizes.sum())
+    whole, ones = np.add.reduceat(w, starts), np.add.reduceat(one, starts)
+    for tried in ([0, 1, 2, 1], [2, -1, 0, 0]):
+        given = (here, np.array(tried), node, starts, sizes, w, one, whole, ones, 5)
+        gain, at = forest._best_cuts_of_large(*given)
+        wanted, places = forest._best_cuts(*given)
+        found = np.isfinite(wanted)
+        assert np.array_equal(found, np.isfinite(gain)) and np.array_equal(at[found], places[found])
+        assert np.allclose(gain[found], wanted[found])
+
+
+def test_packed_rows_come_back_whole(spark):
+    rows, df = table_of(spark, 300, seed=10, missing=0.2)
+    edges = binning.bin_edges(df, INPUTS, 20)
+    plain = {r["id"]: r["codes"] for r in binning.coded(df, INPUTS, edges, id=F.col("id")).collect()}
+    packed = binning.coded(df, INPUTS, edges, True, id=F.col("id")).toArrow().to_batches()
+    found = {}
+    for ids, codes in binning.unpacked(iter(packed), id=np.int64, codes=np.uint8):
+        found |= {i: c.tobytes() for i, c in zip(ids.tolist(), codes.reshape(-1, len(INPUTS)))}
+    assert len(found) == len(rows) and found == {i: bytes(c) for i, c in plain.items()}
+    empty = binning.coded(df.filter("id < 0"), INPUTS, edges, True, id=F.col("id"))
+    assert empty.isEmpty()
+
+
 def test_forest_learns_and_counts_are_poisson(spark):
     rows, df = table_of(spark, 1500, seed=4)
     found = forest.fit_forest(df, INPUTS, "label", ["id"], forest.ForestSettings(trees=25))

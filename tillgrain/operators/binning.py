@@ -13,8 +13,9 @@ from tillgrain.session import prepare_workers
 
 #: Bins of an input; the last code stands for a missing value.
 BINS, MISSING = 255, 255
-#: Rows of a node that one task grows on its own. Larger nodes are split by histograms of all tasks.
-LOCAL_ROWS = 200_000
+#: Rows of a node that one task grows on its own, in about 0.2 GB. Larger nodes are split by histograms
+#: of all tasks, at a pass over all rows for every level of them.
+LOCAL_ROWS = 1_000_000
 
 
 def bin_edges(rows: DataFrame, inputs: Sequence[str], bins: int = BINS) -> list[list[float]]:
@@ -37,27 +38,43 @@ def codes_of(values: np.ndarray, edges: Sequence[float]) -> np.ndarray:
     return codes
 
 
-def coded(rows: DataFrame, inputs: Sequence[str], edges: list[list[float]], **kept: Column) -> DataFrame:
-    """``kept`` columns (bigint or double) and ``codes``, a byte per input; NULL inputs are missing."""
+def coded(
+    rows: DataFrame, inputs: Sequence[str], edges: list[list[float]], packed: bool = False, **kept: Column
+) -> DataFrame:
+    """``kept`` columns (bigint or double) and ``codes``, a byte per input; NULL inputs are missing.
+
+    ``packed`` gives a row per Arrow batch that holds every column's values as bytes, for tables
+    that Python reads many times; ``unpacked`` reads them. Kept columns must not be NULL then.
+    """
     kinds = {"bigint": pa.int64(), "double": pa.float64()}
     picked = rows.select(*[c.alias(n) for n, c in kept.items()], *[F.col(c).cast("double").alias(f"_in_{i}") for i, c in enumerate(inputs)])
     fields = [(f.name, f.dataType.simpleString()) for f in picked.schema.fields[: len(kept)]]
-    schema = pa.schema([*[(n, kinds[k]) for n, k in fields], ("codes", pa.binary())])
+    schema = pa.schema([*[(n, pa.binary() if packed else kinds[k]) for n, k in fields], ("codes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(f"_in_{i}").to_numpy(zero_copy_only=False) for i in range(len(inputs))]
             found = np.column_stack([codes_of(np.asarray(v, dtype=np.float64), e) for v, e in zip(columns, edges)])
+            if packed:
+                if batch.num_rows:
+                    blobs = [*[batch.column(n).to_numpy().tobytes() for n, _ in fields], found.tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([b], type=pa.binary()) for b in blobs], schema=schema)
+                continue
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n, _ in fields], pa.array([row.tobytes() for row in found], type=pa.binary())],
                 schema=schema,
             )
 
-    return prepare_workers(picked).mapInArrow(run, ", ".join([*[f"{n} {k}" for n, k in fields], "codes binary"]))
+    return prepare_workers(picked).mapInArrow(
+        run, ", ".join([*[f"{n} {'binary' if packed else k}" for n, k in fields], "codes binary"])
+    )
 
 
-def code_matrix(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
+def unpacked(batches: Iterator[pa.RecordBatch], **kinds: type) -> Iterator[list[np.ndarray]]:
+    """The named columns of every packed row as arrays of the given kinds."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield [np.frombuffer(batch.column(n)[i].as_py(), dtype=k) for n, k in kinds.items()]
 
 
 def mixed(numbers: np.ndarray) -> np.ndarray:

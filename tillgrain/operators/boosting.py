@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.operators.binning import BINS, LOCAL_ROWS, MISSING, bin_edges, code_matrix, coded, codes_of, drawn, key_of
+from tillgrain.operators.binning import BINS, LOCAL_ROWS, MISSING, bin_edges, coded, codes_of, drawn, key_of, unpacked
 from tillgrain.operators.materialize import materialize
 from tillgrain.session import prepare_workers
 
@@ -209,8 +209,8 @@ class _Trainer:
     """The rows with their predictions, and passes over them."""
 
     def __init__(self, table: DataFrame, width: int, base: float, settings: BoostingSettings, stopping: bool):
-        self.table, self.width, self.settings, self.stopping = table, width, settings, stopping
-        self.rows = table.withColumn("prediction", F.lit(base))
+        self.rows, self.base = table, base
+        self.width, self.settings, self.stopping = width, settings, stopping
         self.recent: list[Tree] = []
 
     def added(self, tree: Tree) -> None:
@@ -219,39 +219,49 @@ class _Trainer:
             self.rows = materialize(self._predicted(), "boosted-rows")
             self.recent = []
 
+    def _parts(self):
+        """Of a task's batches, per packed row: keys, targets, codes, and predictions with the last trees."""
+        trees, width, base = list(self.recent), self.width, self.base
+        kinds = {"key": np.int64, "target": np.float64, "codes": np.uint8}
+        if "prediction" in self.rows.columns:
+            kinds["prediction"] = np.float64
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+            for keys, target, codes, *stored in unpacked(batches, **kinds):
+                codes = codes.reshape(-1, width)
+                made = stored[0].copy() if stored else np.full(len(keys), base)
+                for tree in trees:
+                    made += tree.value[descend(codes, tree)]
+                yield keys, target, codes, made
+
+        return run
+
     def _predicted(self) -> DataFrame:
-        trees, width = list(self.recent), self.width
+        parts = self._parts()
+        names = ("key", "target", "codes", "prediction")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                made = batch.column("prediction").to_numpy().copy()
-                codes = code_matrix(batch.column("codes"), width)
-                for tree in trees:
-                    made += tree.value[descend(codes, tree)]
-                yield batch.set_column(batch.schema.get_field_index("prediction"), "prediction", pa.array(made))
+            for part in parts(batches):
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], type=pa.binary()) for x in part], names=names)
 
-        return prepare_workers(self.rows).mapInArrow(run, self.rows.schema)
+        return prepare_workers(self.rows).mapInArrow(run, ", ".join(f"{n} binary" for n in names))
 
     def look(self, tree: Tree, nodes: dict[int, int], splits: int) -> list:
         """For each of the leaves ``nodes`` (number: rows) of ``tree`` the splits found, as FOUND rows.
 
         Number LOSS gives the held-out rows (n_left) and their squared errors (sum_left) before ``tree``.
         """
-        trees, width, settings, stopping = list(self.recent), self.width, self.settings, self.stopping
+        parts, width, settings, stopping = self._parts(), self.width, self.settings, self.stopping
         large = {i for i, n in nodes.items() if n > settings.local_rows}
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = {i: np.zeros((2, width, CODES)) for i in large}
             errors, out = 0.0, 0
-            for batch in batches:
-                codes = code_matrix(batch.column("codes"), width)
-                made = batch.column("prediction").to_numpy().copy()
-                for t in trees:
-                    made += t.value[descend(codes, t)]
-                residual = batch.column("target").to_numpy() - made
+            for keys, target, codes, made in parts(batches):
+                residual = target - made
                 kept = np.arange(len(codes))
                 if stopping:
-                    held = is_held_out(batch.column("key").to_numpy(), settings)
+                    held = is_held_out(keys, settings)
                     errors, out = errors + float(np.square(residual[held]).sum()), out + int(held.sum())
                     kept = kept[~held]
                 at, found = descend(codes[kept], tree), []
@@ -376,9 +386,9 @@ def fit_boosted(
     """Boost trees on ``target``; ``key`` names columns that tell rows apart."""
     edges = bin_edges(rows, inputs, min(settings.bins, BINS))
     table = materialize(
-        coded(rows, inputs, edges, key=key_of(*key), target=F.col(target).cast("double")), "boosting-rows"
+        coded(rows, inputs, edges, True, key=key_of(*key), target=F.col(target).cast("double")), "boosting-rows"
     )
-    n = table.count()
+    n = (table.agg(F.sum(F.octet_length("key"))).first()[0] or 0) // 8
     stopping = n > settings.stops_above
     base, kept = _mean_target(table, settings, stopping)
     trainer = _Trainer(table, len(inputs), base, settings, stopping)
@@ -402,9 +412,8 @@ def _mean_target(table: DataFrame, settings: BoostingSettings, stopping: bool) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = 0.0, 0
-        for batch in batches:
-            kept = ~is_held_out(batch.column("key").to_numpy(), settings) if stopping else slice(None)
-            values = batch.column("target").to_numpy()[kept]
+        for keys, target in unpacked(batches, key=np.int64, target=np.float64):
+            values = target[~is_held_out(keys, settings)] if stopping else target
             total, n = total + float(values.sum()), n + len(values)
         yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([n])], names=["total", "n"])
 

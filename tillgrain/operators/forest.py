@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.operators.binning import BINS, LOCAL_ROWS, bin_edges, code_matrix, coded, drawn, key_of, mixed
+from tillgrain.operators.binning import BINS, LOCAL_ROWS, bin_edges, coded, drawn, key_of, mixed, unpacked
 from tillgrain.operators.materialize import materialize
 from tillgrain.session import prepare_workers
 
@@ -130,7 +130,7 @@ def grow(
     """Feature (-1 at leaves), cut, left child and share of label 1 of the nodes of one tree.
 
     All nodes of a level are split at once: rows lie sorted by node, and a split is a place in the
-    rows sorted by node and code.
+    rows sorted by node and code. Where nodes are large, sums per code take the place of the sort.
     """
     width = codes.shape[1]
     feature, cut, child, value = [], [], [], []
@@ -165,21 +165,28 @@ def grow(
             tried = np.where(has, order[np.arange(len(sizes)), np.argmax(place == turn, axis=1)], -1)
             if not has.any():
                 break
-            found, where = _best_cuts(here, tried, node, starts, sizes, w, one, whole, ones, settings.leaf_rows)
+            cuts = _best_cuts if len(rows) < CODES * len(sizes) else _best_cuts_of_large
+            found, where = cuts(here, tried, node, starts, sizes, w, one, whole, ones, settings.leaf_rows)
             better = has & (found > gain * (1 + EQUAL))  # -inf stays below any
             gain[better], best[better], at[better] = found[better], tried[better], where[better]
         splits = best >= 0
         for i, n in zip(np.flatnonzero(splits).tolist(), numbers[splits].tolist()):
             feature[n], cut[n] = int(best[i]), int(at[i])
         kept = splits[node]
-        rows, node, here = rows[kept], node[kept], here[kept]
+        rows, here = rows[kept], here[kept]
+        # Rows keep their order on both sides of their node.
+        node = (np.cumsum(splits) - 1)[node[kept]]
+        best, at, before = best[splits], at[splits], sizes[splits]
         right = here[np.arange(len(rows)), best[node]] > at[node]
-        renumbered = np.cumsum(splits) - 1
-        key = renumbered[node] * 2 + right
         for i, n in enumerate(numbers[splits].tolist()):
             child[n] = len(feature) + 2 * i
-        rows = rows[np.argsort(key, kind="stable")]
-        sizes = np.bincount(key, minlength=2 * int(splits.sum()))
+        sizes = np.bincount(node * 2 + right, minlength=2 * len(before))
+        firsts, passed = np.concatenate([[0], np.cumsum(before)[:-1]]), np.cumsum(right)
+        passed -= np.concatenate([[0], np.cumsum(sizes[1::2])[:-1]])[node]
+        place = np.where(right, firsts[node] + sizes[::2][node] + passed - 1, np.arange(len(rows)) - passed)
+        moved = np.empty_like(rows)
+        moved[place] = rows
+        rows = moved
         parents = hashes[splits]
         with np.errstate(over="ignore"):
             hashes = mixed(np.repeat(parents, 2) * np.uint64(2) + np.tile(np.array([1, 2], dtype=np.uint64), len(parents)))
@@ -217,11 +224,22 @@ def _best_cuts(here, tried, node, starts, sizes, w, one, whole, ones, least):
     return gain, at
 
 
+def _best_cuts_of_large(here, tried, node, starts, sizes, w, one, whole, ones, least):
+    """``_best_cuts`` by sums per node and code, for nodes of more rows than there are codes."""
+    cell = here[np.arange(len(node)), np.maximum(tried, 0)[node]] + node * CODES
+    n, lw, lo = (np.bincount(cell, v, len(sizes) * CODES).reshape(-1, CODES) for v in (None, w, one))
+    left, lw, lo = np.cumsum(n, axis=1), np.cumsum(lw, axis=1), np.cumsum(lo, axis=1)
+    allowed = (n > 0) & (left >= least) & (sizes[:, None] - left >= max(least, 1)) & (tried >= 0)[:, None]
+    found = _purity(lo, lw) + _purity(ones[:, None] - lo, whole[:, None] - lw)
+    found[~allowed] = -np.inf
+    gain = found.max(axis=1)
+    return gain, np.argmax(found >= gain[:, None] * (1 - EQUAL), axis=1)
+
+
 def _row_blobs(batches: Iterator[pa.RecordBatch], tops: Sequence[Top], wanted: dict[int, set[int]], width: int, seed: int) -> Iterator[pa.RecordBatch]:
     """The rows of the wanted nodes, as one blob per node and batch."""
-    for batch in batches:
-        keys = batch.column("key").to_numpy()
-        labels, codes = batch.column("label").to_numpy().astype(np.uint8), code_matrix(batch.column("codes"), width)
+    for keys, labels, codes in unpacked(batches, key=np.int64, label=np.int64, codes=np.uint8):
+        labels, codes = labels.astype(np.uint8), codes.reshape(-1, width)
         found = []
         for tree, nodes in wanted.items():
             counts = counts_of(keys, seed, tree)
@@ -240,8 +258,8 @@ def _bootstrap_totals(rows: DataFrame, settings: ForestSettings) -> dict[int, tu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((settings.trees, 3), dtype=np.int64)
-        for batch in batches:
-            keys, labels = batch.column("key").to_numpy(), batch.column("label").to_numpy() == 1
+        for keys, labels in unpacked(batches, key=np.int64, label=np.int64):
+            labels = labels == 1
             for tree in range(settings.trees):
                 counts = counts_of(keys, settings.seed, tree)
                 sums[tree] += (int(counts[~labels].sum()), int(counts[labels].sum()), int((counts > 0).sum()))
@@ -265,9 +283,8 @@ def _large_splits(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Drawn counts of both labels, and distinct rows, per node, input and code.
         sums = np.zeros((len(places), 3, width * CODES), dtype=np.int64)
-        for batch in batches:
-            keys, labels = batch.column("key").to_numpy(), batch.column("label").to_numpy()
-            codes = code_matrix(batch.column("codes"), width) + np.arange(width) * CODES
+        for keys, labels, codes in unpacked(batches, key=np.int64, label=np.int64, codes=np.uint8):
+            codes = codes.reshape(-1, width) + np.arange(width) * CODES
             for tree, found in nodes.items():
                 counts = counts_of(keys, settings.seed, tree)
                 at = tops[tree].route(codes - np.arange(width) * CODES)
@@ -314,7 +331,7 @@ def fit_forest(rows: DataFrame, inputs: Sequence[str], label: str, key: Sequence
     width = len(inputs)
     edges = bin_edges(rows, inputs, settings.bins)
     table = materialize(
-        coded(rows, inputs, edges, key=key_of(*key), label=F.col(label).cast("bigint")), "forest-rows"
+        coded(rows, inputs, edges, True, key=key_of(*key), label=F.col(label).cast("bigint")), "forest-rows"
     )
     totals = _bootstrap_totals(table, settings)
     # Both labels weigh half of a bootstrap, each row as often as it was drawn.
@@ -394,12 +411,11 @@ def forest_scores(forest: Forest, rows: DataFrame, name: str) -> DataFrame:
     """
     width, tops, trees = len(forest.inputs), forest.tops, len(forest.tops)
     numbered = materialize(rows.withColumn("_place", F.monotonically_increasing_id()), "scored-rows")
-    table = coded(numbered, forest.inputs, forest.edges, row=F.col("_place"))
+    table = coded(numbered, forest.inputs, forest.edges, True, row=F.col("_place"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places, codes = batch.column("row").to_numpy(), code_matrix(batch.column("codes"), width)
-            found = []
+        for places, codes in unpacked(batches, row=np.int64, codes=np.uint8):
+            codes, found = codes.reshape(-1, width), []
             for tree, top in enumerate(tops):
                 at = top.route(codes)
                 for node in np.unique(at).tolist():
