@@ -80,6 +80,18 @@ def test_previous_row_of_groups_over_several_slices(spark):
     )
 
 
+def test_previous_row_of_missing_groups_and_without_a_second_shuffle(spark):
+    rows = [(None, i * 7, i) for i in range(300)] + [("a", 5, 0)]
+    df = spark.createDataFrame(rows, "g string, v int, i long").repartition(4)
+    mine = with_previous(df, ["g"], ["i"], "v", "before")
+    found = {(r["g"], r["i"]): r["before"] for r in mine.collect()}
+    assert found == {("a", 0): None} | {(None, i): (i - 1) * 7 if i else None for i in range(300)}
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    empty = with_previous(df.limit(0), ["g"], ["i"], "v", "before")
+    assert empty.columns == ["g", "v", "i", "before"] and empty.count() == 0
+
+
 def test_intermediates_go_to_the_shared_folder_and_can_be_dropped(spark):
     kept = materialize(spark.range(3), "kept")
     assert shared_folder(spark) in kept.inputFiles()[0]

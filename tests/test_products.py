@@ -96,6 +96,14 @@ def test_segments_statuses_and_bands(spark):
     assert [r[0] for r in ps.select(risk_band(F.col("p"))).collect()] == ["Low", "Medium", "Medium", "High"]
 
 
+def test_invoices_meet_in_one_shuffle_and_customers_need_no_expand(spark):
+    lines = gap_lines(spark)
+    totals = orders.invoice_totals(lines)
+    assert totals._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    measures = customers.lifetime_measures(lines, totals)
+    assert "Expand" not in measures._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_snapshot_window_edges(spark):
     s = dt.date(2010, 9, 1)
     start, end = s - dt.timedelta(180), s + dt.timedelta(90)

@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tillgrain.operators.materialize import materialize
+import __spark_entry__ as entry
+from tillgrain.operators.materialize import materialize, recording_intermediates
 from tillgrain.plans import customers, dashboard, full_run, orders, quality, reports, snapshots, training
 from tillgrain.schemas import CUSTOMER_ANALYTICS, EXPORT_COLUMNS, SOURCE_COLUMNS, TRANSACTIONS
 from tillgrain.sources import commits, layout, star_schema
@@ -312,3 +313,10 @@ def test_snapshots_read_the_months_of_their_windows_only(spark, tmp_path):
     assert sorted(current.collect(), key=str) == sorted(
         snapshots.current_features(lines, sequenced_invoices=sequence).collect(), key=str
     )
+
+
+def test_lines_stored_for_customers_lack_what_these_do_not_read(spark):
+    with recording_intermediates() as written:
+        entry.queries()["churn_distribution"](spark, "/root/testdata/sf0.001").collect()
+    stored = [p for p in written if "lines-" in p]
+    assert len(stored) == 1 and "description" not in spark.read.parquet(stored[0]).columns
