@@ -315,6 +315,13 @@ def test_snapshots_read_the_months_of_their_windows_only(spark, tmp_path):
     )
 
 
+def test_the_exported_dataset_is_not_stored_before_the_export(spark):
+    with recording_intermediates() as written:
+        found = entry.queries()["export_rows"](spark, "/root/testdata/sf0.001")
+        assert found.count() > 0
+    assert not [p for p in written if "/dataset-" in p]
+
+
 def test_lines_stored_for_customers_lack_what_these_do_not_read(spark):
     with recording_intermediates() as written:
         entry.queries()["churn_distribution"](spark, "/root/testdata/sf0.001").collect()
