@@ -169,6 +169,20 @@ def test_repeated_bytes_on_strings_of_few_letters(spark):
     assert tuples(got, *columns) == brute.repeated_bytes(rows)
 
 
+def test_repeated_bytes_counts_bytes_not_words(spark, tmp_path):
+    """A shared passage of 60 words stays at 399 bytes and goes at 400; n_bytes is the length of the input."""
+    pick = np.random.default_rng(4)
+    words = [["".join(pick.choice(list("abcdefgh"), 6 if i % 3 else 5)) for i in range(60)] for _ in range(2)]
+    short, long = " ".join(words[0]), " ".join(words[1]) + "i"
+    assert (len(short), len(long)) == (399, 400)
+    rows = [(0, f"1{short}2"), (1, f"3{short}4"), (2, f"5{long}6"), (3, f"7{long}8")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.queries()["op6_repeated_bytes"](spark, str(tmp_path))
+    assert tuples(found, "doc_id", "n_bytes", "n_removed", "n_spans", "text") == {
+        (0, 401, 0, 0, rows[0][1]), (1, 401, 0, 0, rows[1][1]), (2, 402, 400, 1, "56"), (3, 402, 400, 1, "78")
+    }
+
+
 def test_nearest_neighbours(spark):
     pick = np.random.default_rng(2)
     base = pick.normal(size=(600, 8)).astype(np.float32)
