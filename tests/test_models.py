@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import heapq
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tillgrain.operators import binning, boosting, forest, lloyd, newton
+from tillgrain.operators import binning, boosting, forest, lloyd, materialize, newton
 from tillgrain.plans import clusters, training
 from tillgrain.sources import star_schema
 
@@ -228,6 +229,47 @@ def test_cuts_of_large_nodes_equal_those_by_sorting():
         assert np.allclose(gain[found], wanted[found])
 
 
+def scores_of(tree, codes):
+    return tree[3][forest.descend(codes, *tree[:3])]
+
+
+def test_nodes_split_alone_and_in_groups_give_one_tree(monkeypatch):
+    pick = np.random.default_rng(11)
+    codes = pick.integers(0, 50, (900, 4)).astype(np.uint8)
+    labels = ((codes[:, 0] > 20) ^ (pick.random(900) < 0.2)).astype(np.uint8)
+    counts = forest.counts_of(pick.integers(1, 2**62, 900), 42, 3)
+    codes, labels, counts = (x[counts > 0] for x in (codes, labels, counts))
+    given = (codes, labels, counts, (1.5, 0.75), forest.root_hash(42, 3))
+    for depth in (None, 4):
+        settings = forest.ForestSettings(leaf_rows=3, depth=depth)
+        plain = plain_tree(codes, labels, counts * np.where(labels == 1, 0.75, 1.5), given[-1], settings)
+        wanted = np.array([plain_score(plain, r) for r in codes])
+        for rows in (10, 100, 10_000):
+            monkeypatch.setattr(forest, "GROUP_ROWS", rows)
+            found = forest.grow(*given, settings)
+            # Equal gains may be told apart by rounding.
+            assert (np.abs(scores_of(found, codes) - wanted) > 1e-9).mean() < 0.02
+
+
+def test_large_nodes_are_dealt_to_more_tasks_than_cores(spark):
+    _, df = table_of(spark, 400, seed=12)
+    found = forest.fit_forest(df, INPUTS, "label", ["id"], forest.ForestSettings(trees=60))
+    assert len(found.grown.inputFiles()) > 8  # of four shuffle partitions
+
+
+@pytest.mark.parametrize("local_rows", [10_000, 60])
+def test_scores_do_not_depend_on_the_bundles(spark, monkeypatch, local_rows):
+    _, df = table_of(spark, 300, seed=13)
+    found = forest.fit_forest(df, INPUTS, "label", ["id"], forest.ForestSettings(trees=8, local_rows=local_rows))
+    wanted = None
+    for least, slices_of in ((1, 10**6), (4, 10**6), (10**6, 10**6), (10**6, 100)):
+        monkeypatch.setattr(forest, "LEAST_BUNDLES", least)
+        monkeypatch.setattr(forest, "LOCAL_ROWS", slices_of)
+        scores = {r["id"]: r["p"] for r in forest.forest_scores(found, df, "p").collect()}
+        wanted = wanted or scores
+        assert len(scores) == 300 and all(abs(scores[i] - v) < 1e-12 for i, v in wanted.items())
+
+
 def test_packed_rows_come_back_whole(spark):
     rows, df = table_of(spark, 300, seed=10, missing=0.2)
     edges = binning.bin_edges(df, INPUTS, 20)
@@ -304,6 +346,14 @@ def test_boosting_equals_the_plain_one(spark, local_rows):
     assert np.allclose([got[i] for i in range(len(rows))], made)
 
 
+def test_boosting_keeps_one_table_of_predictions(spark):
+    _, df = table_of(spark, 200, seed=14)
+    folder = Path(materialize.intermediates(spark))
+    before = set(folder.glob("boosted-rows-*"))
+    boosting.fit_boosted(df, INPUTS, "target", ["id"], boosting.BoostingSettings(rounds=6, leaf_rows=10, stored_every=2))
+    assert len(set(folder.glob("boosted-rows-*")) - before) == 1
+
+
 def test_boosting_stops_when_the_held_out_loss_no_longer_falls(spark):
     _, df = table_of(spark, 1200, seed=7)
     settings = boosting.BoostingSettings(rounds=60, step=0.5, leaves=8, stops_above=1000, patience=4)

@@ -24,11 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrain.operators.binning import BINS, LOCAL_ROWS, MISSING, bin_edges, coded, codes_of, drawn, key_of, unpacked
-from tillgrain.operators.materialize import materialize
+from tillgrain.operators.binning import BINS, MISSING, bin_edges, coded, codes_of, drawn, key_of, unpacked
+from tillgrain.operators.materialize import materialize, recording_intermediates
 from tillgrain.session import prepare_workers
+from tillgrain.sources.paths import delete
 
 CODES = 256
+#: Rows of a node that one task grows on its own, in about 0.3 GB. It looks at few of them more than once,
+#: so that a pass over all rows for every level of larger nodes takes longer than its work.
+LOCAL_ROWS = 3_000_000
 
 
 @dataclass(frozen=True)
@@ -45,8 +49,8 @@ class BoostingSettings:
     held_out: float = 0.1
     patience: int = 10
     fall: float = 1e-7
-    #: Rounds after which predictions are stored with the rows.
-    stored_every: int = 25
+    #: Rounds after which predictions are stored with the rows; until then every pass applies their trees.
+    stored_every: int = 5
 
 
 @dataclass(frozen=True)
@@ -212,12 +216,16 @@ class _Trainer:
         self.rows, self.base = table, base
         self.width, self.settings, self.stopping = width, settings, stopping
         self.recent: list[Tree] = []
+        self.stored: list[str] = []
 
     def added(self, tree: Tree) -> None:
         self.recent.append(tree)
         if len(self.recent) >= self.settings.stored_every:
-            self.rows = materialize(self._predicted(), "boosted-rows")
-            self.recent = []
+            with recording_intermediates() as paths:
+                self.rows = materialize(self._predicted(), "boosted-rows")
+            for path in self.stored:  # the predictions before these
+                delete(self.rows.sparkSession, path)
+            self.recent, self.stored = [], paths
 
     def _parts(self):
         """Of a task's batches, per packed row: keys, targets, codes, and predictions with the last trees."""

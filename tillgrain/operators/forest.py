@@ -9,7 +9,7 @@ bounded number of rows however many there are, and a tree is not bounded in dept
 
 A node tries the first inputs, in an order drawn for it, that vary in it. Trees are a table: a row
 per top node that is a leaf or has been grown locally, with the nodes below it as packed arrays.
-Scoring sends rows to the task that holds their node and adds up the trees per row.
+Scoring sends rows to the tasks that hold bundles of trees and adds up the bundles per row.
 """
 
 from __future__ import annotations
@@ -29,6 +29,16 @@ from tillgrain.session import prepare_workers
 CODES = 256
 #: Histograms that a task holds at once; more trees than fit go in further passes.
 HISTOGRAM_BYTES = 256 << 20
+#: A drawn count and a label as one number below KINDS.
+KINDS = 64
+#: Rows that are grown together in one go: they stay in a core's cache.
+GROUP_ROWS = 1 << 17
+#: Sums per code are taken while nodes hold more than one row for so many codes; else rows are sorted.
+SPARSE = 8
+#: More rows than a batch has, so that its rows and drawn counts can be summed as one number.
+ROWS_UNIT = 1 << 26
+#: Bytes of a grown node in a bundle of the scoring, of a bundle at most, and bundles at least.
+BYTES_PER_NODE, BUNDLE_BYTES, LEAST_BUNDLES = 15, 32 << 20, 32
 #: Gains within this share of the greatest are equal, so that rounding does not choose between splits.
 EQUAL = 1e-10
 #: Cumulative probabilities of a Poisson(1) count.
@@ -102,15 +112,29 @@ def input_order(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.argsort(keys, axis=1, kind="stable")
 
 
-def descend(codes: np.ndarray, feature: np.ndarray, cut: np.ndarray, child: np.ndarray) -> np.ndarray:
+def steps_of(feature: np.ndarray, cut: np.ndarray, child: np.ndarray) -> np.ndarray:
+    """Every node as one number: left child, cut and input. Leaves lead to themselves."""
+    leaf = feature < 0
+    led, cuts = np.where(leaf, np.arange(len(feature)), child), np.where(leaf, CODES - 1, cut)
+    return led.astype(np.int64) << 16 | cuts.astype(np.int64) << 8 | np.where(leaf, 0, feature).astype(np.int64)
+
+
+def descended(codes: np.ndarray, steps: np.ndarray) -> np.ndarray:
     """Number of the leaf of every row: left where its code is at most the cut."""
-    at, open_ = np.zeros(len(codes), dtype=np.int64), np.arange(len(codes))
-    while True:
-        open_ = open_[feature[at[open_]] >= 0]
-        if not open_.size:
-            return at
-        node = at[open_]
-        at[open_] = child[node] + (codes[open_, feature[node]] > cut[node])
+    flat, at = codes.ravel(), np.zeros(len(codes), dtype=np.int64)
+    rows, now, first = np.arange(len(codes)), at.copy(), np.arange(0, codes.size, codes.shape[1])
+    while rows.size:
+        for _ in range(4):  # some levels at once; rows at leaves stay there
+            step = steps[now]
+            now = (step >> 16) + (flat[first + (step & 255)] > (step >> 8 & 255))
+        open_ = steps[now] >> 16 != now
+        at[rows[~open_]] = now[~open_]
+        rows, now, first = rows[open_], now[open_], first[open_]
+    return at
+
+
+def descend(codes: np.ndarray, feature: np.ndarray, cut: np.ndarray, child: np.ndarray) -> np.ndarray:
+    return descended(codes, steps_of(feature, cut, child))
 
 
 def counts_of(keys: np.ndarray, seed: int, tree: int) -> np.ndarray:
@@ -123,38 +147,126 @@ def _purity(ones: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return (np.square(ones) + np.square(zeros)) / np.maximum(whole, 1e-300)
 
 
+class _Nodes:
+    """Nodes of a tree as arrays that grow; the children of a split lie side by side."""
+
+    def __init__(self) -> None:
+        self.size = 1
+        self.arrays = [np.empty(64, dtype=k) for k in (np.int16, np.uint8, np.int32, np.float64)]
+        self._clear(0, 1)
+
+    def _clear(self, first: int, end: int) -> None:
+        for array, blank in zip(self.arrays, (-1, 0, -1, 0.0)):
+            array[first:end] = blank
+
+    def split(self, numbers: np.ndarray, features: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """Numbers of the children, left and right in turn."""
+        first, self.size = self.size, self.size + 2 * len(numbers)
+        while self.size > len(self.arrays[0]):
+            self.arrays = [np.concatenate([a, np.empty_like(a)]) for a in self.arrays]
+        self._clear(first, self.size)
+        for array, values in zip(self.arrays, (features, cuts, first + 2 * np.arange(len(numbers)))):
+            array[numbers] = values
+        return np.arange(first, self.size)
+
+    def valued(self, numbers: np.ndarray, values: np.ndarray) -> None:
+        self.arrays[3][numbers] = values
+
+
 def grow(
     codes: np.ndarray, labels: np.ndarray, counts: np.ndarray, weights: Sequence[float], hash_: int,
     settings: ForestSettings, depth: int = 0,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Feature (-1 at leaves), cut, left child and share of label 1 of the nodes of one tree.
 
-    All nodes of a level are split at once: rows lie sorted by node, and a split is a place in the
-    rows sorted by node and code. Where nodes are large, sums per code take the place of the sort.
+    The rows of a node lie together and are moved when it is split, so that they are read in the order
+    in which they lie. A node of more than ``GROUP_ROWS`` rows is split alone; smaller ones are put
+    together to about as many rows, which stay in a core's cache, and each group grows to its end.
+    """
+    nodes, kind = _Nodes(), labels * np.uint8(KINDS // 2) + counts
+    drawn_as = np.arange(KINDS // 2) * np.asarray(weights, dtype=np.float64)[:, None]
+    worth, ones = drawn_as.ravel(), np.concatenate([np.zeros(KINDS // 2), drawn_as[1]])
+    open_ = [(0, codes, kind, np.uint64(hash_), depth)]
+    group: list[tuple] = []
+    held = 0
+    while open_:
+        part = open_.pop()
+        if len(part[2]) > GROUP_ROWS:
+            open_ += _split_alone(nodes, *part, worth, ones, settings)
+            continue
+        if held + len(part[2]) > GROUP_ROWS:
+            _grow_group(nodes, group, worth, ones, settings)
+            group, held = [], 0
+        group.append(part)
+        held += len(part[2])
+    if group:
+        _grow_group(nodes, group, worth, ones, settings)
+    return tuple(a[: nodes.size] for a in nodes.arrays)
+
+
+def _split_alone(
+    nodes: _Nodes, number: int, codes: np.ndarray, kind: np.ndarray, hash_: np.uint64, depth: int,
+    worth: np.ndarray, ones: np.ndarray, settings: ForestSettings,
+) -> list[tuple]:
+    """Split one large node by the rows per code and kind of each tried input; its children."""
+    per_kind, size = np.bincount(kind, minlength=KINDS), len(kind)
+    whole, one = per_kind @ worth, per_kind @ ones
+    nodes.valued(number, one / whole)
+    if not (one > 1e-9 and whole - one > 1e-9 and size >= 2 * settings.leaf_rows) or depth == settings.depth:
+        return []
+    best, tried = (-np.inf, -1, 0), 0
+    for f in input_order(np.array([hash_]), codes.shape[1])[0].tolist():
+        table = np.bincount(codes[:, f] * np.int64(KINDS) + kind, minlength=CODES * KINDS).reshape(CODES, KINDS)
+        n = table.sum(axis=1)
+        if np.count_nonzero(n) < 2:
+            continue
+        left, lw, lo = np.cumsum(n), np.cumsum(table @ worth), np.cumsum(table @ ones)
+        gain = _purity(lo, lw) + _purity(one - lo, whole - lw)
+        gain[(n == 0) | (left < settings.leaf_rows) | (size - left < max(settings.leaf_rows, 1))] = -np.inf
+        most = gain.max()
+        if most > best[0] * (1 + EQUAL):
+            best = (most, f, int(np.argmax(gain >= most * (1 - EQUAL))))
+        tried += 1
+        if tried == settings.tried_inputs:
+            break
+    if best[1] < 0:
+        return []
+    right = codes[:, best[1]] > best[2]
+    sides = nodes.split(np.array([number]), np.array([best[1]]), np.array([best[2]])).tolist()
+    return [
+        (child, np.compress(kept, codes, axis=0), kind[kept], np.uint64(child_hash(int(hash_), side)), depth + 1)
+        for side, (child, kept) in enumerate(zip(sides, (~right, right)))
+    ]
+
+
+def _grow_group(nodes: _Nodes, group: list[tuple], worth: np.ndarray, ones_of: np.ndarray, settings: ForestSettings) -> None:
+    """Grow all that lies below some small nodes, a level at a time.
+
+    A split is a place in the rows sorted by node and code. Where nodes are large, sums per code take
+    the place of the sort.
     """
-    width = codes.shape[1]
-    feature, cut, child, value = [], [], [], []
-    weight = counts * np.asarray(weights, dtype=np.float64)[labels]
-    rows, sizes, hashes = np.arange(len(codes)), np.array([len(codes)]), np.array([hash_], dtype=np.uint64)
-    while len(sizes):
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        w, one = weight[rows], weight[rows] * labels[rows]
+    numbers, depths = np.array([p[0] for p in group]), np.array([p[4] for p in group])
+    here, kind = np.concatenate([p[1] for p in group]), np.concatenate([p[2] for p in group])
+    hashes, sizes = np.array([p[3] for p in group], dtype=np.uint64), np.array([len(p[2]) for p in group])
+    width = here.shape[1]
+    while True:
+        starts = np.cumsum(sizes) - sizes
+        w, one = worth[kind], ones_of[kind]
         whole, ones = np.add.reduceat(w, starts), np.add.reduceat(one, starts)
-        first = len(feature)
-        feature += [-1] * len(sizes)
-        cut += [0] * len(sizes)
-        child += [-1] * len(sizes)
-        value += (ones / whole).tolist()
+        nodes.valued(numbers, ones / whole)
         mixed_node = (ones > 1e-9) & (whole - ones > 1e-9) & (sizes >= 2 * settings.leaf_rows)
-        if not mixed_node.any() or depth == settings.depth:
-            break
-        depth += 1
-        kept = np.repeat(mixed_node, sizes)
-        numbers = first + np.flatnonzero(mixed_node)
-        rows, w, one = rows[kept], w[kept], one[kept]
-        sizes, hashes, whole, ones = sizes[mixed_node], hashes[mixed_node], whole[mixed_node], ones[mixed_node]
-        starts, node = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(sizes)), sizes)
-        here = codes[rows]
+        if settings.depth is not None:
+            mixed_node &= depths != settings.depth
+        if not mixed_node.any():
+            return
+        if not mixed_node.all():
+            kept = np.repeat(mixed_node, sizes)
+            here, kind, w, one = np.compress(kept, here, axis=0), kind[kept], w[kept], one[kept]
+            numbers, depths, sizes, hashes, whole, ones = (
+                x[mixed_node] for x in (numbers, depths, sizes, hashes, whole, ones)
+            )
+            starts = np.cumsum(sizes) - sizes
+        node = np.repeat(np.arange(len(sizes)), sizes)
         varies = np.minimum.reduceat(here, starts, axis=0) < np.maximum.reduceat(here, starts, axis=0)
         order = input_order(hashes, width)
         ranked = np.take_along_axis(varies, order, axis=1)
@@ -165,75 +277,80 @@ def grow(
             tried = np.where(has, order[np.arange(len(sizes)), np.argmax(place == turn, axis=1)], -1)
             if not has.any():
                 break
-            cuts = _best_cuts if len(rows) < CODES * len(sizes) else _best_cuts_of_large
+            cuts = _best_cuts if len(node) * SPARSE < CODES * len(sizes) else _best_cuts_of_large
             found, where = cuts(here, tried, node, starts, sizes, w, one, whole, ones, settings.leaf_rows)
             better = has & (found > gain * (1 + EQUAL))  # -inf stays below any
             gain[better], best[better], at[better] = found[better], tried[better], where[better]
         splits = best >= 0
-        for i, n in zip(np.flatnonzero(splits).tolist(), numbers[splits].tolist()):
-            feature[n], cut[n] = int(best[i]), int(at[i])
-        kept = splits[node]
-        rows, here = rows[kept], here[kept]
+        if not splits.any():
+            return
+        if not splits.all():
+            kept = np.repeat(splits, sizes)
+            here, kind = np.compress(kept, here, axis=0), kind[kept]
+            numbers, depths, sizes, hashes, best, at = (x[splits] for x in (numbers, depths, sizes, hashes, best, at))
+        numbers = nodes.split(numbers, best, at)
         # Rows keep their order on both sides of their node.
-        node = (np.cumsum(splits) - 1)[node[kept]]
-        best, at, before = best[splits], at[splits], sizes[splits]
-        right = here[np.arange(len(rows)), best[node]] > at[node]
-        for i, n in enumerate(numbers[splits].tolist()):
-            child[n] = len(feature) + 2 * i
-        sizes = np.bincount(node * 2 + right, minlength=2 * len(before))
-        firsts, passed = np.concatenate([[0], np.cumsum(before)[:-1]]), np.cumsum(right)
-        passed -= np.concatenate([[0], np.cumsum(sizes[1::2])[:-1]])[node]
-        place = np.where(right, firsts[node] + sizes[::2][node] + passed - 1, np.arange(len(rows)) - passed)
-        moved = np.empty_like(rows)
-        moved[place] = rows
-        rows = moved
-        parents = hashes[splits]
+        right = _picked(here, np.repeat(best, sizes)) > np.repeat(at, sizes)
+        ends = np.cumsum(sizes)
+        passed = np.concatenate([[0], np.cumsum(right)])
+        over = passed[ends] - passed[ends - sizes]
+        moved = np.empty(len(right), dtype=np.int64)
+        first_left, first_right = ends - sizes - (ends - sizes - passed[ends - sizes]), ends - over - passed[ends - sizes]
+        to_left, to_right = np.flatnonzero(~right), np.flatnonzero(right)
+        moved[np.arange(len(to_left)) + np.repeat(first_left, sizes - over)] = to_left
+        moved[np.arange(len(to_right)) + np.repeat(first_right, over)] = to_right
+        here, kind = np.take(here, moved, axis=0), kind[moved]
+        sizes = np.column_stack([sizes - over, over]).ravel()
+        depths = np.repeat(depths + 1, 2)
         with np.errstate(over="ignore"):
-            hashes = mixed(np.repeat(parents, 2) * np.uint64(2) + np.tile(np.array([1, 2], dtype=np.uint64), len(parents)))
-    return (
-        np.array(feature, dtype=np.int16), np.array(cut, dtype=np.uint8),
-        np.array(child, dtype=np.int32), np.array(value, dtype=np.float64),
-    )
+            hashes = mixed(np.repeat(hashes, 2) * np.uint64(2) + np.tile(np.array([1, 2], dtype=np.uint64), len(hashes)))
+
+
+def _picked(here: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The code of every row in a column of its own."""
+    return here.ravel()[np.arange(0, here.size, here.shape[1]) + column]
 
 
 def _best_cuts(here, tried, node, starts, sizes, w, one, whole, ones, least):
     """Greatest gain and its code per node for the input tried in it; -inf where none is allowed."""
-    gain, at = np.full(len(sizes), -np.inf), np.zeros(len(sizes), dtype=np.int64)
-    code = here[np.arange(len(node)), np.maximum(tried, 0)[node]].astype(np.int64)
-    order = np.argsort(node * CODES + code, kind="stable")
-    code, w, one = code[order], np.cumsum(w[order]), np.cumsum(one[order])
-    place = np.arange(len(node))
-    left = place + 1 - starts[node]
-    allowed = (left >= least) & (sizes[node] - left >= least) & (tried[node] >= 0)
-    allowed[:-1] &= code[:-1] < code[1:]  # at a node's last row nothing is left on the right
+    code = _picked(here, np.repeat(np.maximum(tried, 0), sizes))
+    # Numbers that hold their row are sorted faster than an order is found, and equal codes keep theirs.
+    bits = max(len(node) - 1, 1).bit_length()
+    keys = np.sort((node * CODES + code) << bits | np.arange(len(node)))
+    order = keys & (1 << bits) - 1
+    cell, w, one = keys >> bits, np.cumsum(w[order]), np.cumsum(one[order])
+    left = np.arange(1, len(node) + 1) - np.repeat(starts, sizes)
+    last = np.concatenate([cell[:-1] < cell[1:], [False]])  # of its code
+    allowed = last & (left >= least) & (np.repeat(sizes, sizes) - left >= max(least, 1)) & np.repeat(tried >= 0, sizes)
     spot = np.flatnonzero(allowed)
-    if not spot.size:
-        return gain, at
     owner = node[spot]
     before_w = np.concatenate([[0.0], w])[starts[owner]]
     before_one = np.concatenate([[0.0], one])[starts[owner]]
-    lw, lo = w[spot] - before_w, one[spot] - before_one
-    found = _purity(lo, lw) + _purity(ones[owner] - lo, whole[owner] - lw)
-    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    most = np.maximum.reduceat(found, heads)
-    owners = owner[heads]
-    gain[owners] = most
-    hit = np.flatnonzero(found >= gain[owner] * (1 - EQUAL))
-    firsts = hit[np.concatenate([[True], owner[hit][1:] != owner[hit][:-1]])]
-    at[owner[firsts]] = code[spot[firsts]]
-    return gain, at
+    return _greatest(owner, cell[spot] & CODES - 1, w[spot] - before_w, one[spot] - before_one, whole, ones)
 
 
 def _best_cuts_of_large(here, tried, node, starts, sizes, w, one, whole, ones, least):
-    """``_best_cuts`` by sums per node and code, for nodes of more rows than there are codes."""
-    cell = here[np.arange(len(node)), np.maximum(tried, 0)[node]] + node * CODES
+    """``_best_cuts`` by sums per node and code, for nodes that hold many of the codes."""
+    cell = _picked(here, np.repeat(np.maximum(tried, 0), sizes)) + node * CODES
     n, lw, lo = (np.bincount(cell, v, len(sizes) * CODES).reshape(-1, CODES) for v in (None, w, one))
     left, lw, lo = np.cumsum(n, axis=1), np.cumsum(lw, axis=1), np.cumsum(lo, axis=1)
     allowed = (n > 0) & (left >= least) & (sizes[:, None] - left >= max(least, 1)) & (tried >= 0)[:, None]
-    found = _purity(lo, lw) + _purity(ones[:, None] - lo, whole[:, None] - lw)
-    found[~allowed] = -np.inf
-    gain = found.max(axis=1)
-    return gain, np.argmax(found >= gain[:, None] * (1 - EQUAL), axis=1)
+    spot = np.flatnonzero(allowed)
+    return _greatest(spot // CODES, spot % CODES, lw.ravel()[spot], lo.ravel()[spot], whole, ones)
+
+
+def _greatest(owner, code, lw, lo, whole, ones):
+    """Greatest gain per node, and the first code that reaches it, of cuts in order of node and code."""
+    gain, at = np.full(len(whole), -np.inf), np.zeros(len(whole), dtype=np.int64)
+    if not owner.size:
+        return gain, at
+    found = _purity(lo, lw) + _purity(ones[owner] - lo, whole[owner] - lw)
+    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    gain[owner[heads]] = np.maximum.reduceat(found, heads)
+    hit = np.flatnonzero(found >= gain[owner] * (1 - EQUAL))
+    firsts = hit[np.concatenate([[True], owner[hit][1:] != owner[hit][:-1]])]
+    at[owner[firsts]] = code[firsts]
+    return gain, at
 
 
 def _row_blobs(batches: Iterator[pa.RecordBatch], tops: Sequence[Top], wanted: dict[int, set[int]], width: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -284,17 +401,20 @@ def _large_splits(
         # Drawn counts of both labels, and distinct rows, per node, input and code.
         sums = np.zeros((len(places), 3, width * CODES), dtype=np.int64)
         for keys, labels, codes in unpacked(batches, key=np.int64, label=np.int64, codes=np.uint8):
-            codes = codes.reshape(-1, width) + np.arange(width) * CODES
+            codes = codes.reshape(-1, width)
+            cells = codes + np.arange(width) * CODES
             for tree, found in nodes.items():
                 counts = counts_of(keys, settings.seed, tree)
-                at = tops[tree].route(codes - np.arange(width) * CODES)
+                at = np.where(counts > 0, tops[tree].route(codes), -1)
                 for node in found:
-                    for kind, chosen in enumerate(((labels == 0), (labels == 1), np.ones(len(labels), bool))):
-                        mine = np.flatnonzero((at == node) & (counts > 0) & chosen)
-                        values = counts[mine] if kind < 2 else np.ones(len(mine))
-                        sums[number[tree, node], kind] += np.bincount(
-                            codes[mine].ravel(), weights=np.repeat(values, width), minlength=width * CODES
+                    for label in (0, 1):
+                        mine = np.flatnonzero((at == node) & (labels == label))
+                        # Drawn counts and rows share one sum of whole numbers, which is exact.
+                        both = np.bincount(
+                            cells[mine].ravel(), np.repeat(counts[mine] * float(ROWS_UNIT) + 1, width), width * CODES
                         ).astype(np.int64)
+                        sums[number[tree, node], label] += both // ROWS_UNIT
+                        sums[number[tree, node], 2] += both % ROWS_UNIT
         yield pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in places], type=pa.int32()), pa.array([p[1] for p in places], type=pa.int32()),
              pa.array([s.tobytes() for s in sums], type=pa.binary())],
@@ -371,7 +491,10 @@ def fit_forest(rows: DataFrame, inputs: Sequence[str], label: str, key: Sequence
         return pa.Table.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, GROWN)], schema=GROWN)
 
     blobs = prepare_workers(table).mapInArrow(lambda b: _row_blobs(b, tops, local, width, settings.seed), ROWS_DDL)
-    subtrees = blobs.groupBy("tree", "node").applyInArrow(finish, GROWN_DDL)
+    # Several tasks per core: nodes differ in their rows, and a core that is done takes the next.
+    nodes = sum(len(found) for found in local.values())
+    dealt = blobs.repartition(max(1, min(nodes, 4 * _partitions(rows))), "tree", "node")
+    subtrees = dealt.groupBy("tree", "node").applyInArrow(finish, GROWN_DDL)
     if leaves:
         packed = [
             (t, n, size, *[np.array([v], dtype=k).tobytes() for v, k in zip((-1, 0, -1, value), ("<i2", "u1", "<i4", "<f8"))])
@@ -381,6 +504,10 @@ def fit_forest(rows: DataFrame, inputs: Sequence[str], label: str, key: Sequence
     return Forest(tuple(inputs), edges, tops, materialize(subtrees, "forest"))
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _waves(nodes: dict[int, list[int]], size: int) -> Iterator[dict[int, list[int]]]:
     """Nodes in groups whose histograms fit in ``HISTOGRAM_BYTES``."""
     wave: dict[int, list[int]] = {}
@@ -396,57 +523,104 @@ def _waves(nodes: dict[int, list[int]], size: int) -> Iterator[dict[int, list[in
         yield wave
 
 
-PARTS = pa.schema([("batch", pa.int64()), ("tree", pa.int32()), ("node", pa.int32()), ("rows", pa.binary()), ("codes", pa.binary())])
-PARTS_DDL = "batch bigint, tree int, node int, rows binary, codes binary"
-VALUES = pa.schema([("batch", pa.int64()), ("tree", pa.int32()), ("rows", pa.binary()), ("values", pa.binary())])
-VALUES_DDL = "batch bigint, tree int, rows binary, values binary"
+PARTS = pa.schema([("batch", pa.int64()), ("bundle", pa.int32()), ("slice", pa.int32()), ("rows", pa.binary()), ("codes", pa.binary())])
+PARTS_DDL = "batch bigint, bundle int, slice int, rows binary, codes binary"
+VALUES = pa.schema([("batch", pa.int64()), ("bundle", pa.int32()), ("rows", pa.binary()), ("values", pa.binary())])
+VALUES_DDL = "batch bigint, bundle int, rows binary, values binary"
 SCORES = pa.schema([("row", pa.int64()), ("score", pa.float64())])
 
 
+def _bundles(grown: DataFrame) -> dict[tuple[int, int], int]:
+    """A bundle for every grown node: nodes in order, up to ``BUNDLE_BYTES`` or a share of the forest."""
+    found = grown.select("tree", "node", (F.octet_length("value") * BYTES_PER_NODE / 8).alias("size"))
+    sizes = sorted((r["tree"], r["node"], r["size"]) for r in found.collect())  # a row per top node
+    most = min(BUNDLE_BYTES, sum(size for *_, size in sizes) / LEAST_BUNDLES)
+    bundles: dict[tuple[int, int], int] = {}
+    number, held = 0, 0.0
+    for tree, node, size in sizes:
+        if held and held + size > most:
+            number, held = number + 1, 0.0
+        bundles[tree, node] = number
+        held += size
+    return bundles
+
+
 def forest_scores(forest: Forest, rows: DataFrame, name: str) -> DataFrame:
     """``rows`` and ``name``, the mean share of label 1 in the leaves that a row falls into.
 
-    Rows travel to the tasks that hold their nodes, a blob per batch and node, and back as one
-    number per tree; a batch's numbers are added up in the order of the trees.
+    Trees are put into bundles of bounded size. Rows travel to the tasks that hold the bundles with
+    their nodes, a blob per batch and bundle, and back as one number per bundle; with many rows several
+    tasks hold a bundle, each for a slice of the batches. A batch's numbers are added up in order.
     """
     width, tops, trees = len(forest.inputs), forest.tops, len(forest.tops)
     numbered = materialize(rows.withColumn("_place", F.monotonically_increasing_id()), "scored-rows")
     table = coded(numbered, forest.inputs, forest.edges, True, row=F.col("_place"))
+    bundles, slices = _bundles(forest.grown), numbered.count() // LOCAL_ROWS + 1
+    held: dict[int, dict[int, list[int]]] = {}  # bundle -> tree -> nodes
+    for (tree, node), bundle in bundles.items():
+        held.setdefault(bundle, {}).setdefault(tree, []).append(node)
+    leaves = [top.feature.count(-1) for top in tops]
+    whole = {b for b, found in held.items() if any(len(nodes) == leaves[tree] for tree, nodes in found.items())}
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for places, codes in unpacked(batches, row=np.int64, codes=np.uint8):
-            codes, found = codes.reshape(-1, width), []
-            for tree, top in enumerate(tops):
-                at = top.route(codes)
-                for node in np.unique(at).tolist():
-                    chosen = np.flatnonzero(at == node)
-                    found.append((int(places[0]), tree, node, places[chosen].tobytes(), codes[chosen].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*found), PARTS)], schema=PARTS)
+            codes, found, batch = codes.reshape(-1, width), [], int(places[0])
+            part = int(drawn(places[:1], slices)[0] * slices)
+            for bundle, nodes_of in held.items():
+                mine = np.ones(len(codes), dtype=bool)
+                if bundle not in whole:
+                    mine = np.zeros(len(codes), dtype=bool)
+                    for tree, nodes in nodes_of.items():
+                        mine |= np.isin(tops[tree].route(codes), nodes)
+                if mine.any():
+                    found.append((batch, bundle, part, places[mine].tobytes(), codes[mine].tobytes()))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*found), PARTS)], schema=PARTS)
 
     def fall(parts: pa.Table, grown: pa.Table) -> pa.Table:
-        found = []
-        if grown.num_rows:
-            feature, cut, child, value = (
-                np.frombuffer(grown.column(c)[0].as_py(), dtype=k)
-                for c, k in zip(("feature", "cut", "child", "value"), ("<i2", "u1", "<i4", "<f8"))
+        nodes_of: dict[int, dict[int, tuple]] = {}
+        for r in sorted(grown.to_pylist(), key=lambda r: (r["tree"], r["node"])):
+            *splits, value = (
+                np.frombuffer(r[c], dtype=k) for c, k in zip(("feature", "cut", "child", "value"), ("<i2", "u1", "<i4", "<f8"))
             )
-            for part in parts.to_pylist():
-                codes = np.frombuffer(part["codes"], dtype=np.uint8).reshape(-1, width)
-                leaf = descend(codes, feature, cut, child)
-                found.append((part["batch"], part["tree"], part["rows"], value[leaf].tobytes()))
+            nodes_of.setdefault(r["tree"], {})[r["node"]] = steps_of(*splits), value
+        # A tree's nodes stay in the cache while all batches fall through it.
+        blobs = parts.select(["batch", "bundle", "rows", "codes"]).to_pylist()
+        codes = [np.frombuffer(p["codes"], dtype=np.uint8).reshape(-1, width) for p in blobs]
+        sums = [np.zeros(len(c)) for c in codes]
+        for tree, nodes in nodes_of.items():
+            single = len(tops[tree].feature) == 1
+            for each, total in zip(codes, sums):
+                at = None if single else tops[tree].route(each)
+                for node, (steps, value) in nodes.items():
+                    if single:
+                        total += value[descended(each, steps)]
+                        continue
+                    mine = np.flatnonzero(at == node)
+                    total[mine] += value[descended(each[mine], steps)]
+        found = [(p["batch"], p["bundle"], p["rows"], v.tobytes()) for p, v in zip(blobs, sums)]
         columns = list(zip(*found)) or [[] for _ in VALUES]
         return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, VALUES)], schema=VALUES)
 
     def add(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("tree", "ascending")])
+        part = part.sort_by([("bundle", "ascending")])
         places = np.unique(np.concatenate([np.frombuffer(b, dtype=np.int64) for b in part.column("rows").to_pylist()]))
         sums = np.zeros(len(places))
         for where, values in zip(part.column("rows").to_pylist(), part.column("values").to_pylist()):
             sums[np.searchsorted(places, np.frombuffer(where, dtype=np.int64))] += np.frombuffer(values, dtype=np.float64)
         return pa.Table.from_arrays([pa.array(places), pa.array(sums / trees)], schema=SCORES)
 
-    parts = prepare_workers(table).mapInArrow(spread, PARTS_DDL).groupBy("tree", "node")
-    values = parts.cogroup(forest.grown.groupBy("tree", "node")).applyInArrow(fall, VALUES_DDL)
+    spark = rows.sparkSession
+    numbers = spark.createDataFrame([(*k, b) for k, b in bundles.items()] or [], "tree int, node int, bundle int")
+    bundled = forest.grown.join(F.broadcast(numbers), ["tree", "node"]).crossJoin(
+        F.broadcast(spark.range(slices).select(F.col("id").cast("int").alias("slice")))
+    )
+    tasks = max(1, min(len(held) * slices, 4 * _partitions(rows)))
+    parts, bundled = (
+        df.repartition(tasks, "bundle", "slice").groupBy("bundle", "slice")
+        for df in (prepare_workers(table).mapInArrow(spread, PARTS_DDL), bundled)
+    )
+    values = parts.cogroup(bundled).applyInArrow(fall, VALUES_DDL)
     scores = values.groupBy("batch").applyInArrow(add, "row bigint, score double")
     found = scores.select(F.col("row").alias("_place"), F.col("score").alias(name))
     return numbered.join(found, "_place").select(*rows.columns, name)
