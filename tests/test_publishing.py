@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tillgrain.operators import ordered
 from tillgrain.operators.materialize import materialize, recording_intermediates
 from tillgrain.plans import customers, dashboard, full_run, orders, quality, reports, snapshots, training
 from tillgrain.schemas import CUSTOMER_ANALYTICS, EXPORT_COLUMNS, SOURCE_COLUMNS, TRANSACTIONS
-from tillgrain.sources import commits, layout, star_schema
+from tillgrain.sources import commits, export, layout, star_schema
 from tillgrain.sources.export import export_dataset, validate_export
 from tillgrain.sources.raw_lines import load_periods
 from tillgrain.sources.tables import read_csv, write_csv, write_table
@@ -322,6 +323,41 @@ def test_the_exported_dataset_is_not_stored_before_the_export(spark):
     assert not [p for p in written if "/dataset-" in p]
 
 
+@pytest.mark.parametrize("most_files,records", [(256, 0), (256, 7), (2, 0)])
+def test_numbered_rows_lie_in_order_without_a_second_sort(spark, monkeypatch, most_files, records):
+    monkeypatch.setattr(ordered, "MOST_FILES", most_files)
+    rows = spark.range(100).select((F.col("id") * 37 % 100).alias("id"), (F.col("id") % 7).alias("v")).repartition(3)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", records)
+    try:
+        found = ordered.number_rows_in_order(rows, ["v", "id"], "n")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert [tuple(r) for r in found.select("v", "id", "n").collect()] == [
+        (v, i, n) for n, (v, i) in enumerate(sorted((r["v"], r["id"]) for r in rows.collect()), 1)
+    ]
+    assert ("Exchange" in found._jdf.queryExecution().executedPlan().toString()) == (most_files == 2)
+    assert ordered.number_rows_in_order(rows.filter("id < 0"), ["v", "id"], "n").collect() == []
+
+
+def test_the_registered_export_sorts_lines_once_and_lies_in_order(spark, monkeypatch):
+    found = {}
+
+    def written(rows, path):
+        found["plan"] = rows._jdf.queryExecution().executedPlan().toString()
+        write_csv(rows, path)
+        found["ids"] = [
+            row.split(",")[1] for part in sorted(Path(path).glob("part-*.csv")) for row in part.read_text().splitlines()[1:]
+        ]
+
+    monkeypatch.setattr(export, "write_csv", written)
+    entry.queries()["export_rows"](spark, "/root/testdata/sf0.001")
+    customers = [i for i in found["ids"] if i.startswith("C-")]
+    lines = len(found["ids"]) - len(customers)
+    assert customers == sorted(customers) and lines > 1000
+    assert found["ids"] == [*customers, *[f"T-{i}" for i in range(1, lines + 1)]]
+    assert not [x for x in found["plan"].splitlines() if "rangepartitioning" in x and "transaction_id" in x]
+
+
 def test_lines_stored_for_customers_lack_what_these_do_not_read(spark):
     with recording_intermediates() as written:
         entry.queries()["churn_distribution"](spark, "/root/testdata/sf0.001").collect()
